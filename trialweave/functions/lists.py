@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from trialweave.functions.values import bind, strip
+
 _TEXT_LIST = "array<string>"
 # Fixed value: the mark of a list stored as text.
 LIST_TAG = "__list__"
@@ -30,7 +32,7 @@ def parse_literal(c: Column) -> Column:
 
 def split_clean(c: Column, separator: str = ",") -> Column:
     """Split on a literal separator, trim, drop blanks."""
-    items = F.transform(F.split(c, r"\Q" + separator + r"\E"), _strip)
+    items = F.transform(F.split(c, r"\Q" + separator + r"\E"), strip)
     return F.filter(items, lambda item: item != "")
 
 
@@ -43,7 +45,7 @@ def ensure_list(c: Column, is_array: bool = False) -> Column:
     """Array kept, null kept, single value trimmed and wrapped."""
     if is_array:
         return c
-    return F.when(c.isNotNull(), F.array(_strip(c.cast("string"))))
+    return F.when(c.isNotNull(), F.array(strip(c.cast("string"))))
 
 
 def to_text(c: Column, separator: str = ", ") -> Column:
@@ -64,7 +66,7 @@ def bracket_items(c: Column) -> Column:
     body = F.regexp_replace(c, r"^[\[\]]+|[\[\]]+$", "")
     return F.transform(
         F.split(body, ","),
-        lambda item: _cut(_cut(_strip(item), "'"), '"'),
+        lambda item: _cut(_cut(strip(item), "'"), '"'),
     )
 
 
@@ -88,20 +90,36 @@ def tag_decode(c: Column, keep_bad: bool = True) -> Column:
 
 def pairs_to_map(pairs: Column) -> Column:
     """Array of (key, value) structs to a map; of a repeated key the last value counts."""
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["key"]))
-    last = F.transform(keys, lambda k: F.element_at(F.filter(pairs, lambda p: p["key"] == k), -1)["value"])
-    return F.map_from_arrays(keys, last)
+    def build(found: Column) -> Column:
+        keys = F.transform(found, lambda p: p["key"])
+        once = F.array_distinct(keys)
+        last = F.transform(once, lambda k: F.element_at(F.filter(found, lambda p: p["key"] == k), -1)["value"])
+        return F.when(
+            F.size(once) == F.size(keys), F.map_from_arrays(keys, F.transform(found, lambda p: p["value"]))
+        ).otherwise(F.map_from_arrays(once, last))
+
+    return bind(pairs, build)
 
 
 def json_map(c: Column) -> Column:
     """Flat JSON object to a map whose keys are trimmed, with ``_`` for blanks."""
     return pairs_to_map(F.transform(
         F.map_entries(F.from_json(c, "map<string,string>")),
-        lambda e: F.struct(F.replace(_strip(e["key"]), F.lit(" "), F.lit("_")).alias("key"),
+        lambda e: F.struct(F.replace(strip(e["key"]), F.lit(" "), F.lit("_")).alias("key"),
                            e["value"].alias("value")),
     ))
 
 
+def json_object(c: Column) -> Column:
+    """Flat JSON object to a map with trimmed keys; rebuilt only where a key needs it."""
+    def trimmed(found: Column) -> Column:
+        odd = F.exists(F.map_keys(found), lambda k: k != strip(k))
+        pairs = F.transform(F.map_entries(found), lambda e: F.struct(strip(e["key"]).alias("key"), e["value"].alias("value")))
+        return F.when(odd, pairs_to_map(pairs)).otherwise(found)
+
+    return bind(F.from_json(c, "map<string,string>"), trimmed)
+
+
 def has_item(c: Column, value: str, separator: str = ", ") -> Column:
     """1 if a delimited text holds the item, else 0, also for null text."""
     found = F.array_contains(F.split(c, r"\Q" + separator + r"\E"), value)
@@ -118,9 +136,5 @@ def zip_fields(headers: Column, cells: Column, fields: Sequence[str]) -> dict[st
     }
 
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-
-
 def _cut(c: Column, mark: str) -> Column:
     return F.regexp_replace(c, f"^{mark}+|{mark}+$", "")

@@ -8,30 +8,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from trialweave.functions import lists
+from trialweave.functions.values import SPACE_CLASS, bind, strip
 
-# (?U) lets \s and \b follow Unicode, so a no-break space counts as space.
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
-
-
-def strip(c: Column) -> Column:
-    """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
-
+__all__ = ["criteria", "has_word", "labelled_line", "normalise", "one_space", "strip", "terms"]
 
 def normalise(c: Column) -> Column:
     """Collapse white space, trim, lower-case."""
-    return F.lower(strip(F.regexp_replace(c, r"(?U)\s+", " ")))
+    return F.lower(strip(one_space(c)))
+
+
+def one_space(c: Column) -> Column:
+    """Every run of white space to one blank."""
+    return F.regexp_replace(c, f"(?U){SPACE_CLASS}+", " ")
 
 
 def has_word(c: Column, phrase: str) -> Column:
     """Whole-phrase test: ``Phase I`` is not found in ``Phase II``."""
-    return c.rlike(r"(?U)\b\Q" + phrase + r"\E\b")
+    # The plain test comes first: it is cheap and rules most texts out. (?U) lets \b
+    # follow Unicode letters.
+    return c.contains(phrase) & c.rlike(r"(?U)\b\Q" + phrase + r"\E\b")
 
 
 # The headings that open the two parts of a criteria text.
 _CRITERIA = {
-    "inclusion": r"(?isU)Inclusion Criteria.*?:\s*(.*?)(?=Exclusion Criteria|$)",
-    "exclusion": r"(?isU)Exclusion Criteria.*?:\s*(.*)$",
+    "inclusion": rf"(?isU)Inclusion Criteria.*?:{SPACE_CLASS}*(.*?)(?=Exclusion Criteria|$)",
+    "exclusion": rf"(?isU)Exclusion Criteria.*?:{SPACE_CLASS}*(.*)$",
 }
 
 
@@ -45,15 +46,14 @@ def criteria(c: Column, kind: str = "inclusion") -> Column:
         raise ValueError(f"kind must be one of {sorted(_CRITERIA)}")
     text = strip(c)
     body = F.regexp_extract(text, _CRITERIA[kind], 1)
-    body = F.regexp_replace(strip(body), r"\r\n|\r|\n", "; ")
+    body = F.regexp_replace(strip(body), r"\r\n?|\n", "; ")
     body = F.regexp_replace(body, r"[*•\\]", "")
-    body = F.regexp_replace(body, r"≥|≤|>=|<=", " ")
-    body = F.regexp_replace(body, r"(?U)\s{2,}", " ")
-    body = F.regexp_replace(body, r"^[; ]+|[; ]+$", "")
-    items = F.transform(F.split(body, r"(?U);\s*|\d+\.\s+"), strip)
+    body = F.regexp_replace(body, r"[≥≤]|[<>]=", " ")
+    body = F.trim(F.regexp_replace(body, f"(?U){SPACE_CLASS}{{2,}}", " "), F.lit("; "))
+    items = F.transform(F.split(body, rf"(?U);{SPACE_CLASS}*|\d+\.{SPACE_CLASS}+"), strip)
     items = F.filter(items, lambda item: item != "")
     nothing = F.array(F.lit(None).cast("string"))
-    return F.when(c.isNotNull(), F.when(F.size(items) > 0, items).otherwise(nothing))
+    return F.when(c.isNotNull(), bind(items, lambda found: F.when(F.size(found) > 0, found).otherwise(nothing)))
 
 
 def terms(columns: Sequence[Column]) -> Column:
@@ -66,7 +66,7 @@ def terms(columns: Sequence[Column]) -> Column:
     parts = F.flatten(F.array(*[_term_items(c) for c in columns]))
     cleaned = F.transform(parts, _clean_term)
     kept = F.array_distinct(F.filter(cleaned, lambda item: item != ""))
-    return F.when(F.size(kept) > 0, kept)
+    return bind(kept, lambda found: F.when(F.size(found) > 0, found))
 
 
 def _term_items(c: Column) -> Column:

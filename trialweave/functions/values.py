@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The characters that count as white space, edges and runs alike.
+SPACE = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+# The same inside a pattern that starts with (?U); Java's \s lacks four of them.
+SPACE_CLASS = r"[\s\x1c-\x1f]"
+
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
+def strip(c: Column) -> Column:
+    """Trim every kind of white space, not only blanks."""
+    return F.trim(c, F.lit(SPACE))
+
+
 def to_number(c: Column) -> Column:
     """Text to double.
 
@@ -33,7 +46,15 @@ def to_day(c: Column, fmt: str = "yyyy-MM-dd") -> Column:
 def to_flag(c: Column) -> Column:
     """``1``/``0`` in any spelling to a boolean; anything else is null."""
     number = to_number(c)
-    return F.when(number == 1, True).when(number == 0, False)
+    # Nearly every flag is written plainly, so the number is rarely read.
+    return (
+        F.when(c == "1", True).when(c == "0", False).when(number == 1, True).when(number == 0, False)
+    )
+
+
+def bind(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value of c)`` with ``c`` computed once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(c), lambda value: use(value)), F.lit(0))
 
 
 def yes_no(c: Column) -> Column:

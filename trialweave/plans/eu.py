@@ -67,6 +67,13 @@ def _given(df: DataFrame, name: str) -> Column:
     return columns.quoted(name).cast("string") if name in df.columns else F.lit(None).cast("string")
 
 
+def _labelled(mapped: str, label: str) -> Column:
+    """Value under a label, written with blanks or with underscores."""
+    plain = label.replace("_", " ")
+    first = F.try_element_at(mapped, F.lit(plain))
+    return first if plain == label else F.coalesce(first, F.try_element_at(mapped, F.lit(label)))
+
+
 def _first_flag(df: DataFrame, names: list[str]) -> Column:
     return F.coalesce(*[to_flag(_given(df, n)) for n in names])
 
@@ -74,10 +81,10 @@ def _first_flag(df: DataFrame, names: list[str]) -> Column:
 def older_register(raw: DataFrame) -> DataFrame:
     """Older register: flags sit in JSON objects and in one column per age label."""
     df = columns.drop_null_rows(raw)
-    design, scope, phase = (lists.json_map(_given(df, c)) for c in ("trial_design", "trial_scope", "trial_phase"))
+    design, scope, phase = (lists.json_object(_given(df, c)) for c in ("trial_design", "trial_scope", "trial_phase"))
 
     def flags(mapped: str, wanted: dict[str, str]) -> dict[str, Column]:
-        return {out: to_flag(F.try_element_at(mapped, F.lit(key))) for out, key in wanted.items()}
+        return {out: to_flag(_labelled(mapped, key)) for out, key in wanted.items()}
 
     return df.withColumns({"__design": design, "__scope": scope, "__phase": phase}).select(
         *[_given(df, c).alias(c) for c in TEXT_COLUMNS],
@@ -89,7 +96,7 @@ def older_register(raw: DataFrame) -> DataFrame:
             "Gender_F": _first_flag(df, ["Gender_F"]),
             "Gender_M": _first_flag(df, ["Gender_M"]),
         }.items()],
-        F.try_element_at("__design", F.lit(ARMS)).alias("eu_arms"),
+        _labelled("__design", ARMS).alias("eu_arms"),
     )
 
 

@@ -33,31 +33,38 @@ def registry_extract(tables: Mapping[str, DataFrame], country: str, one_row: boo
                      ordered: bool = True) -> DataFrame:
     """One wide row per study of a country.
 
-    The country filter comes first, as a join that thins out the studies, and every list
-    table is aggregated to one row per study before it is joined. ``id_information``,
+    The country's studies are found first and every other table is thinned out to them
+    before it is aggregated to one row per study and joined. ``id_information``,
     ``designs`` and ``calculated_values`` join as they are, so a study may repeat;
     ``one_row`` keeps its first row only. Columns a table lacks are left out.
     """
-    def pick(table: str, wanted: list[str]) -> DataFrame:
-        df = tables[table]
-        return df.select("nct_id", *[c for c in wanted if c in df.columns])
+    here = tables["countries"].where((F.col("name") == country) & ~F.col("removed")).select("nct_id")
+    wanted = here.distinct()
 
-    here = tables["countries"].where((F.col("name") == country) & ~F.col("removed"))
-    studies = joins.filter_by_link(pick("studies", STUDY_COLUMNS), here, "nct_id", semi=one_row)
+    def of_country(table: str) -> DataFrame:
+        return joins.filter_by_link(tables[table], wanted, "nct_id", semi=True)
+
+    def pick(df: DataFrame, names: list[str]) -> DataFrame:
+        return df.select("nct_id", *[c for c in names if c in df.columns])
+
+    studies = joins.filter_by_link(pick(tables["studies"], STUDY_COLUMNS), here, "nct_id", semi=one_row)
+    ids = of_country("id_information").where(matches_or_missing(F.col("id_value"), EU_NUMBER))
+
+    def lists_of(table: str, columns: dict[str, str]) -> DataFrame:
+        return aggregates.distinct_lists(of_country(table), ["nct_id"], columns)
 
-    ids = tables["id_information"].where(matches_or_missing(F.col("id_value"), EU_NUMBER))
     sides = [
         ids.select("nct_id", F.col("id_value").alias("eudract_id")),
         joins.lists_through_dictionary(
-            tables["search_term_results"], tables["search_terms"], "nct_id", "search_term_id", "id",
+            of_country("search_term_results"), tables["search_terms"], "nct_id", "search_term_id", "id",
             {"terms": "term", "grouping": "group"},
         ),
-        pick("designs", DESIGN_COLUMNS),
-        aggregates.distinct_lists(tables["conditions"], ["nct_id"], {"condition": "name"}),
-        pick("calculated_values", AGE_COLUMNS),
-        aggregates.distinct_lists(tables["eligibilities"], ["nct_id"], {"gender": "gender", "criteria": "criteria"}),
-        aggregates.distinct_lists(tables["keywords"], ["nct_id"], {"keys": "name"}),
-        aggregates.distinct_lists(tables["interventions"], ["nct_id"], {"interv": "name"}),
+        pick(of_country("designs"), DESIGN_COLUMNS),
+        lists_of("conditions", {"condition": "name"}),
+        pick(of_country("calculated_values"), AGE_COLUMNS),
+        lists_of("eligibilities", {"gender": "gender", "criteria": "criteria"}),
+        lists_of("keywords", {"keys": "name"}),
+        lists_of("interventions", {"interv": "name"}),
     ]
     wide = joins.star_left(studies, sides, "nct_id")
     if one_row:

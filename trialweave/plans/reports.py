@@ -33,11 +33,12 @@ def _flag(section: str, label: str, condition: Column) -> Column:
 
 def add_up(df: DataFrame, entries: Sequence[Column], lists: Mapping[str, Column] | None = None) -> DataFrame:
     """(section, label, total) of all entries; entries without label are dropped."""
+    def of_list(section: str, c: Column) -> Column:
+        items = F.transform(c, lambda item: _entry(section, item)).cast(_ENTRY)
+        return F.coalesce(items, F.array().cast(_ENTRY))
+
     single = F.array(*entries).cast(_ENTRY)
-    many = [
-        F.coalesce(F.transform(c, lambda item, s=section: _entry(s, item)).cast(_ENTRY), F.array().cast(_ENTRY))
-        for section, c in (lists or {}).items()
-    ]
+    many = [of_list(section, c) for section, c in (lists or {}).items()]
     return (
         df.select(F.inline(F.concat(single, *many)))
         .where("label IS NOT NULL")

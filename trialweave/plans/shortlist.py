@@ -64,22 +64,22 @@ def first_choice(studies: DataFrame, key: str, title: str, date: str | None, sco
     Chunks follow the dates, latest first, or a seeded shuffle; only the first share of
     the chunks is asked about.
     """
-    order = _order(key, date, kind, seed)
-    needed = studies.select(key, *([date] if date and kind == "recent" else []), title)
-    chunks = chunk_rows(needed, order, size, proportion)
-    line = text.labelled_line([("id", F.col(key)), ("Title", F.col(title))])
-    contexts = chunk_context(chunks, line, "List of clinical trials to be filtered by context:")
+    chunks = _chunked(studies, key, date, kind, seed, size, proportion)
+    contexts = _contexts(chunks, studies, key, [("Title", F.col(title))],
+                         "List of clinical trials to be filtered by context:")
     found = ask(contexts, scorer).where("database_index IS NOT NULL")
     return found.select("database_index", "certainty", "chunk")
 
 
-def final_context(chosen: DataFrame, key: str, date: str | None, fields: Sequence[tuple[str, Column]],
-                  kind: str = "recent", seed: int = 123, size: int = 100) -> DataFrame:
-    """Detailed blocks of the chosen studies, of at most ``size`` lines each."""
-    line = text.labelled_line([("id", F.col(key)), *fields]).alias("__line")
-    needed = chosen.select(key, *([date] if date else []), line)
-    chunks = chunk_rows(needed, _order(key, date, kind, seed), size)
-    return chunk_context(chunks, F.col("__line"), "Short list of clinical trials:")
+def final_context(chosen: DataFrame, studies: DataFrame, key: str, date: str | None,
+                  fields: Sequence[tuple[str, Column]], kind: str = "recent", seed: int = 123,
+                  size: int = 100) -> DataFrame:
+    """Detailed blocks of the chosen studies, of at most ``size`` lines each.
+
+    ``chosen`` holds the key, and the date where there is one, of each study once.
+    """
+    chunks = _chunked(chosen, key, date, kind, seed, size)
+    return _contexts(chunks, studies, key, fields, "Short list of clinical trials:")
 
 
 def shortlist(studies: DataFrame, key: str, title: str, date: str | None, fields: Sequence[tuple[str, Column]],
@@ -88,21 +88,37 @@ def shortlist(studies: DataFrame, key: str, title: str, date: str | None, fields
     """The ``best`` studies for a question as (database_index, certainty, Title).
 
     The chosen studies go to the final scorer in blocks as well, so their number has no
-    bound; its best answers over all blocks are the result.
+    bound; its best answers over all blocks are the result. ``key`` is unique.
     """
-    chosen = first_choice(studies, key, title, date, scorer, size, proportion, kind, seed)
-    picked = chosen.where(above(F.col("certainty"), cutoff)).select(F.col("database_index").alias("__chosen"))
-    rows = studies.join(picked.distinct(), studies[key] == picked["__chosen"], "left_semi")
-    contexts = final_context(rows, key, date, fields, kind, seed, size)
+    scored = first_choice(studies, key, title, date, scorer, size, proportion, kind, seed)
+    picked = scored.where(above(F.col("certainty"), cutoff)).select(F.col("database_index").alias(key))
+    chosen = studies.select(*_order_columns(key, date)).join(picked, key, "left_semi")
+    contexts = final_context(chosen, studies, key, date, fields, kind, seed, size)
     answers = ask(contexts, final_scorer or scorer).where("database_index IS NOT NULL")
-    titles = studies.select(F.col(key).alias("__key"), F.col(title).alias("__title"))
     top = answers.orderBy(F.desc_nulls_last("certainty"), "database_index").limit(best)
+    titles = studies.select(F.col(key).alias("__key"), F.col(title).alias("__title"))
     return (
         top.join(titles, top["database_index"] == titles["__key"], "left")
         .select("database_index", "certainty", F.coalesce("Title", "__title").alias("Title"))
     )
 
 
+def _order_columns(key: str, date: str | None) -> list[str]:
+    return [key, date] if date else [key]
+
+
+def _chunked(rows: DataFrame, key: str, date: str | None, kind: str, seed: int, size: int,
+             proportion: float = 1.0) -> DataFrame:
+    """Chunk and ordinal per key. Only keys and dates are sorted, never the texts."""
+    return chunk_rows(rows.select(*_order_columns(key, date)), _order(key, date, kind, seed), size, proportion)
+
+
+def _contexts(chunks: DataFrame, studies: DataFrame, key: str, fields: Sequence[tuple[str, Column]],
+              header: str) -> DataFrame:
+    lines = studies.select(key, text.labelled_line([("id", F.col(key)), *fields]).alias("__line"))
+    return chunk_context(chunks.select(key, "chunk", "ordinal").join(lines, key), F.col("__line"), header)
+
+
 def _order(key: str, date: str | None, kind: str, seed: int) -> list[Column]:
     if kind == "recent":
         return [F.desc_nulls_last(date), F.col(key)]
