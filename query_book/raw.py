@@ -112,7 +112,7 @@ EU = {
         "start_date": "substr(concat(o_orderdate), 1, 10)",
         "end_date": "CASE WHEN o_orderstatus = 'F' THEN '2001-02-30' WHEN o_orderstatus = 'O' THEN '2003-12-31' END",
         "trial_design": "concat('{\"Controlled\": \"', CASE WHEN o_orderpriority = '1-URGENT' THEN '1' ELSE '0' END, "
-                        "'\", \"Randomised \": \"', CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN 'Not known' ELSE '0' END, "
+                        "'\", \"Randomised\": \"', CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN 'Not known' ELSE '0' END, "
                         "'\", \"Open\": \"1\", \"Parallel group\": \"0\", \"Number of treatment arms in the trial\": \"', o_custkey % 7, '\"}')",
         "trial_scope": "CASE WHEN o_orderstatus <> 'P' THEN '{\"Therapy\": \"1\", \"Dose response\": \"0\"}' END",
         "trial_phase": "concat('{\"Human pharmacology (Phase I)\": \"', o_custkey % 2, '\", \"Therapeutic use (Phase IV)\": \"', o_orderkey % 2, '\"}')",

@@ -105,7 +105,7 @@ HARMONISED = f"""{ctes(EU)},
 stacked AS (
   SELECT eudract_nr, title, "Protocol", url, {unique_items('"Sponsor"')} AS sponsor, NULL AS types, status, {parsed_day("start_date")} AS start_date,
     {parsed_day("end_date")} AS end_date, NULL AS nr_enrolled, therapeutic_area, condition, inclusion_crt, exclusion_crt,
-    {design("trial_design", "Controlled")} AS controlled, {design("trial_design", "Randomised ")} AS randomised,
+    {design("trial_design", "Controlled")} AS controlled, {design("trial_design", "Randomised")} AS randomised,
     {design("trial_design", "Open")} AS open, {design("trial_design", "Parallel group")} AS parallel_group,
     {design("trial_scope", "Therapy")} AS therapy, {design("trial_scope", "Dose response")} AS dose,
     coalesce({design("trial_phase", "Human pharmacology (Phase I)")}, false) AS p1, false AS p2, false AS p3,

@@ -44,11 +44,12 @@ def to_day(c: Column, fmt: str = "yyyy-MM-dd") -> Column:
 
 
 def to_flag(c: Column) -> Column:
-    """``1``/``0`` in any spelling to a boolean; anything else is null."""
-    number = to_number(c)
-    # Nearly every flag is written plainly, so the number is rarely read.
+    """``1``/``0``, also as ``1.0`` or with white space, to a boolean; else null."""
+    text = c.cast("string")
+    # Nearly every flag is written plainly; the patterns see the others only.
     return (
-        F.when(c == "1", True).when(c == "0", False).when(number == 1, True).when(number == 0, False)
+        F.when(text == "1", True).when(text == "0", False)
+        .when(text.rlike(r"^\s*\+?0*1(\.0*)?\s*$"), True).when(text.rlike(r"^\s*[+-]?0+(\.0*)?\s*$"), False)
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialweave.functions import lists, text
-from trialweave.functions.values import is_value, to_day, to_flag
+from trialweave.functions.values import to_day, to_flag, to_number
 from trialweave.operators import aggregates, columns, sets
 
 # Labels of the older register and items of the newer one, by output flag.
@@ -74,30 +74,34 @@ def _labelled(mapped: str, label: str) -> Column:
     return first if plain == label else F.coalesce(first, F.try_element_at(mapped, F.lit(label)))
 
 
-def _first_flag(df: DataFrame, names: list[str]) -> Column:
-    return F.coalesce(*[to_flag(_given(df, n)) for n in names])
+def _first_number(df: DataFrame, names: list[str]) -> Column:
+    """First of the columns that holds a number; the others are passed over."""
+    present = [_given(df, n) for n in names if n in df.columns]
+    return F.coalesce(*[F.when(to_number(c).isNotNull(), c) for c in present], F.lit(None).cast("string"))
 
 
 def older_register(raw: DataFrame) -> DataFrame:
     """Older register: flags sit in JSON objects and in one column per age label."""
     df = columns.drop_null_rows(raw)
-    design, scope, phase = (lists.json_object(_given(df, c)) for c in ("trial_design", "trial_scope", "trial_phase"))
-
-    def flags(mapped: str, wanted: dict[str, str]) -> dict[str, Column]:
-        return {out: to_flag(_labelled(mapped, key)) for out, key in wanted.items()}
-
-    return df.withColumns({"__design": design, "__scope": scope, "__phase": phase}).select(
+    objects = {"__design": "trial_design", "__scope": "trial_scope", "__phase": "trial_phase"}
+    mapped = df.withColumns({out: lists.json_object(_given(df, c)) for out, c in objects.items()})
+    # The texts behind the flags are looked up once, in a step of their own.
+    answers = {
+        **{out: _labelled("__design", key) for out, key in DESIGN_FLAGS.items()},
+        **{out: _labelled("__scope", key) for out, key in SCOPE_FLAGS.items()},
+        **{out: _labelled("__phase", key) for out, key in PHASE_FLAGS.items()},
+        "Age_0_17_years": _first_number(df, MINOR_COLUMNS),
+        "Age_18_64_years": _given(df, ADULT_COLUMN),
+        "Age_65p_years": _given(df, ELDERLY_COLUMN),
+        "Gender_F": _given(df, "Gender_F"),
+        "Gender_M": _given(df, "Gender_M"),
+    }
+    texts = mapped.select(
         *[_given(df, c).alias(c) for c in TEXT_COLUMNS],
-        *[c.alias(n) for n, c in {
-            **flags("__design", DESIGN_FLAGS), **flags("__scope", SCOPE_FLAGS), **flags("__phase", PHASE_FLAGS),
-            "Age_0_17_years": _first_flag(df, MINOR_COLUMNS),
-            "Age_18_64_years": _first_flag(df, [ADULT_COLUMN]),
-            "Age_65p_years": _first_flag(df, [ELDERLY_COLUMN]),
-            "Gender_F": _first_flag(df, ["Gender_F"]),
-            "Gender_M": _first_flag(df, ["Gender_M"]),
-        }.items()],
+        *[c.alias(n) for n, c in answers.items()],
         _labelled("__design", ARMS).alias("eu_arms"),
     )
+    return texts.withColumns({name: to_flag(F.col(name)) for name in answers})
 
 
 def newer_register(raw: DataFrame) -> DataFrame:
