@@ -1,7 +1,8 @@
 """Row predicates and their composition into faceted search.
 
-Predicates are plain column expressions, so Catalyst pushes what it can to the scan.
-Every one of them is false, not null, where the tested value is missing.
+Every predicate is false, not null, where the tested value is missing. Where the test is
+one a scan can take over, that is said as "known and ...": a coalesce around it would
+hide it from the scan.
 """
 
 from __future__ import annotations
@@ -21,27 +22,27 @@ def positive_and_known(positive: Column, known: Column) -> Column:
 
 
 def is_in(c: Column, values: Sequence) -> Column:
-    return holds(c.isin(*values))
+    return c.isNotNull() & c.isin(*values)
 
 
 def is_in_ignoring_case(c: Column, values: Sequence[str]) -> Column:
-    return holds(F.lower(c).isin(*[v.lower() for v in values]))
+    return c.isNotNull() & F.lower(c).isin(*[v.lower() for v in values])
 
 
 def flag_choice(c: Column, choice: bool | None) -> Column | None:
     """Three-way choice: no predicate for ``None``, else the flag must equal it."""
-    return None if choice is None else holds(c == choice)
+    return None if choice is None else c.isNotNull() & (c == choice)
 
 
 def contains(c: Column, part: str) -> Column:
     """Case-sensitive substring."""
-    return holds(c.contains(part))
+    return c.isNotNull() & c.contains(part)
 
 
 def matches(c: Column, term: str, literal: bool = False) -> Column:
     """Case-insensitive pattern; ``literal`` takes the term as plain text."""
     pattern = r"\Q" + term + r"\E" if literal else term
-    return holds(c.rlike("(?iu)" + pattern))
+    return c.isNotNull() & c.rlike("(?iu)" + pattern)
 
 
 def any_item_equals(c: Column, terms: Sequence[str]) -> Column:
@@ -70,7 +71,7 @@ def any_known(*columns: Column) -> Column:
 
 
 def above(c: Column, cutoff: float) -> Column:
-    return holds(c > cutoff)
+    return c.isNotNull() & (c > cutoff)
 
 
 def where_all(df: DataFrame, predicates: Iterable[Column | None]) -> DataFrame:

@@ -54,9 +54,11 @@ def merge_registries(eu: DataFrame, registry: DataFrame, null_keys_match: bool =
     left = eu.withColumnsRenamed({c: f"E_{c}" for c in eu.columns if c != "eudract_nr"})
     right = registry.withColumnsRenamed({c: f"R_{c}" for c in registry.columns if c != "eudract_nr"})
     joined = joins.full_outer_coalesce(left, right, "eudract_nr", null_keys_match=null_keys_match)
+    have = set(joined.columns)
 
     def side(which: str, name: str) -> Column:
-        return F.col(f"{which}_{name}")
+        """A side's column, null where the source came without it."""
+        return F.col(f"{which}_{name}") if f"{which}_{name}" in have else F.lit(None)
 
     def E(name: str) -> Column:
         return side("E", name)
@@ -104,7 +106,7 @@ def merge_registries(eu: DataFrame, registry: DataFrame, null_keys_match: bool =
         "number_of_arms": F.coalesce(to_number(R("number_of_arms")), to_number(E("eu_arms"))).try_cast("int"),
         "source_dataset": origin(R("nct_id"), ruled("Sponsor_type")),
     }
-    kept = [side(which, c).alias(c) for which, names in KEPT.items() for c in names if f"{which}_{c}" in joined.columns]
+    kept = [side(which, c).alias(c) for which, names in KEPT.items() for c in names if f"{which}_{c}" in have]
     return joined.select("eudract_nr", *kept, *[c.alias(n) for n, c in merged.items()])
 
 
