@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialweave.llm import mixing, pages, sharding, topk, toxicity, urls
+from trialweave.llm import mixing, pages, repeats, sharding, simhash, topk, toxicity, urls
 from trialweave.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,16 @@ def op3_urls(spark, folder):
     return urls.judge(table(spark, folder, "pages"), URL_RULES)
 
 
+@query()
+def op4_simhash(spark, folder):
+    return simhash.fingerprint_classes(table(spark, folder, "documents"))
+
+
+@query()
+def op5_repeats(spark, folder):
+    return repeats.remove_repeats(table(spark, folder, "documents"))
+
+
 @query()
 def op8_mixing(spark, folder):
     return mixing.schedule(table(spark, folder, "documents"))
