@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialweave.llm import mixing, pages, repeats, sharding, simhash, topk, toxicity, urls
+from trialweave.llm import benchmarks, mixing, pages, repeats, sharding, simhash, surrogates, topk, toxicity, urls
 from trialweave.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# For the check only; a user brings a secret of their own.
+SURROGATE_KEY = "example key"
 URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
 
@@ -62,6 +64,16 @@ def op5_repeats(spark, folder):
     return repeats.remove_repeats(table(spark, folder, "documents"))
 
 
+@query()
+def op6_leaks(spark, folder):
+    return benchmarks.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op7_surrogates(spark, folder):
+    return surrogates.replace_entities(table(spark, folder, "documents"), SURROGATE_KEY)
+
+
 @query()
 def op8_mixing(spark, folder):
     return mixing.schedule(table(spark, folder, "documents"))
