@@ -118,3 +118,9 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     found = common.withColumn("similarity", F.col("c") / total).where(F.col("similarity") >= similarity)
     best = F.max(F.struct("similarity", (-F.col("first")).alias("f"))).alias("m")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", F.col("m.similarity").alias("similarity"), (-F.col("m.f")).cast("long").alias("first_word"))
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the documents that hold an item; rows with a null key stay."""
+    found = stage(leaks(docs, items, key, text).select(F.col("doc_id").alias("__id")).distinct(), "leaks")
+    return docs.join(found, docs[key] == found["__id"], "left_anti")

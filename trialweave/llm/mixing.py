@@ -20,8 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trialweave.session import stage
-
 PERIOD = 1000
 MAX_SOURCES = 500
 BLOCK_ROWS = 32
@@ -100,6 +98,35 @@ def numbered_blocks(df: DataFrame, source: str, key: str, block_rows: int) -> Da
         "__salt", "__s", "__t", "__start", "__place")
 
 
+def with_steps(df: DataFrame, weights: Mapping[str | None, float] | None = None, source: str = "source", key: str = "doc_id",
+               block_rows: int = BLOCK_ROWS, period: int = PERIOD, temperature: float = 0.7) -> DataFrame:
+    """``df`` with ``__block`` and ``__step``, the step at which the row's block is due; see ``schedule``."""
+    spark = df.sparkSession
+    blocks = numbered_blocks(df, source, key, block_rows)
+    counts = blocks.groupBy(F.col(source).alias("s")).agg(F.max("__block").alias("last"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
+    if len(counts) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources; group them first")
+    names = [r["s"] for r in sorted(counts, key=lambda r: (r["s"] is None, r["s"]))]
+    number = {name: i for i, name in enumerate(names)}
+    if weights:
+        least = min(weights.values())
+        target = {number[s]: weights.get(s, least) for s in names}
+    else:
+        target = {number[r["s"]]: r["n"] ** temperature for r in counts}
+    plan = phases({number[r["s"]]: r["last"] + 1 for r in counts}, target, period)
+    # Bounded by sources, phases (at most one per source) and the period.
+    steps = spark.createDataFrame([(names[k], *rest) for k, *rest in plan],
+                                  "__s string, __low long, __high long, __per long, __index long, __start long, __offset long, __length long")
+    ranges = F.broadcast(steps.select("__s", "__low", "__high", "__per", "__start", "__length").distinct())
+    b = F.col("__block")
+    phased = blocks.join(ranges, F.col(source).cast("string").eqNullSafe(F.col("__s")) & (b >= F.col("__low")) & (b < F.col("__high"))).drop("__s")
+    placed = phased.withColumns({"__nth": F.pmod(b - F.col("__low"), F.col("__per")), "__turn": F.floor((b - F.col("__low")) / F.col("__per"))})
+    offsets = F.broadcast(steps.select("__s", F.col("__start").alias("__from"), "__index", "__offset"))
+    on = F.col(source).cast("string").eqNullSafe(F.col("__s")) & (F.col("__start") == F.col("__from")) & (F.col("__nth") == F.col("__index"))
+    step = (F.col("__start") + F.col("__turn") * F.col("__length") + F.col("__offset")).cast("long")
+    return placed.join(offsets, on).withColumn("__step", step).select(*df.columns, F.col("__block").cast("long").alias("__block"), "__step")
+
+
 def schedule(df: DataFrame, weights: Mapping[str | None, float] | None = None, source: str = "source", key: str = "doc_id",
              block_rows: int = BLOCK_ROWS, period: int = PERIOD, temperature: float = 0.7) -> DataFrame:
     """One row per row of ``df``: key, source, block and the step at which the block is due.
@@ -107,33 +134,15 @@ def schedule(df: DataFrame, weights: Mapping[str | None, float] | None = None, s
     Every row is kept. Without ``weights`` a source's target is its row count to the power ``temperature``; a source
     the weights do not name, null included, gets the smallest weight given. Ordering by (step, key) gives the mix;
     steps that an exhausted source leaves free are missing numbers. Null keys and repeated rows are rows like any
-    other; an empty table gives none. The number of sources is bounded (``MAX_SOURCES``, an error beyond it), as
-    their counts and the periods of a schedule pass the driver.
+    other; an empty table gives none; other columns are not read. The number of sources is bounded (``MAX_SOURCES``, an
+    error beyond it), as their counts and the periods of a schedule pass the driver.
     """
-    spark = df.sparkSession
     slim = df.select(F.col(key).alias("doc_id"), F.col(source).alias("source"))
-    blocks = stage(numbered_blocks(slim, "source", "doc_id", block_rows), "mix-blocks")
-    counts = blocks.groupBy("source").agg(F.max("__block").alias("last"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(counts) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; group them first")
-    names = [r["source"] for r in sorted(counts, key=lambda r: (r["source"] is None, r["source"]))]
-    number = {name: i for i, name in enumerate(names)}
-    rows_of = {r["source"]: r["n"] for r in counts}
-    if weights:
-        least = min(weights.values())
-        target = {number[s]: weights.get(s, least) for s in names}
-    else:
-        target = {number[s]: rows_of[s] ** temperature for s in names}
-    plan = phases({number[r["source"]]: r["last"] + 1 for r in counts}, target, period)
-    steps = spark.createDataFrame([(names[k], *rest) for k, *rest in plan] or [(None, 0, 0, 1, 0, 0, 0, 1)],
-                                  "s string, low long, high long, per long, idx long, start long, offset long, length long")
-    due = blocks.select("doc_id", "source", F.col("__block").alias("block"))
-    # A row of the plan stands for every block of its phase that falls on the same place of a period.
-    ranges = steps.select("s", "low", "high", "per", "start", "length").distinct()
-    phased = due.join(F.broadcast(ranges), due["source"].eqNullSafe(ranges["s"]) & (F.col("block") >= F.col("low")) & (F.col("block") < F.col("high"))).drop("s")
-    placed = phased.withColumns({"idx_": F.pmod(F.col("block") - F.col("low"), F.col("per")),
-                                 "turn": F.floor((F.col("block") - F.col("low")) / F.col("per"))})
-    offsets = F.broadcast(steps.select(F.col("s").alias("s2"), F.col("start").alias("start2"), "idx", "offset"))
-    return placed.join(offsets, placed["source"].eqNullSafe(offsets["s2"]) & (F.col("start") == F.col("start2")) & (F.col("idx_") == F.col("idx"))).select(
-        "doc_id", "source", F.col("block").cast("long").alias("block"),
-        (F.col("start") + F.col("turn") * F.col("length") + F.col("offset")).cast("long").alias("step"))
+    placed = with_steps(slim, weights, "source", "doc_id", block_rows, period, temperature)
+    return placed.select("doc_id", "source", F.col("__block").alias("block"), F.col("__step").alias("step"))
+
+
+def mixed(df: DataFrame, weights: Mapping[str | None, float] | None = None, source: str = "source", key: str = "doc_id") -> DataFrame:
+    """All rows and columns of ``df`` in the order of the schedule, over range partitions."""
+    placed = with_steps(df, weights, source, key)
+    return placed.orderBy("__step", key).select(*df.columns)

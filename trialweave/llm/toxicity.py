@@ -6,10 +6,10 @@ term of a labelled sentence is swapped for another one, so that a group's mere m
 The model is fitted on a bounded sample of the labelled rows (``SAMPLE``); scoring reads every text as a whole.
 """
 
-from __future__ import annotations
-
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,7 +77,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label
 def feature_counts(rows: DataFrame) -> DataFrame:
     """Per feature the toxic and other rows that have it, added up in each task first."""
     def count(batches):
-        import pandas as pd
 
         distinct, features = word_features()
         counts: dict = {}
@@ -111,8 +110,6 @@ def sparse_rows(rows: DataFrame, names: list[str]) -> list:
     def look_up(batches):
         import re
 
-        import pandas as pd
-
         distinct, features = word_features()
         group = {term: kind for kind in kinds for term in kind}
         ends = re.compile(r"[.!?\n]+")
@@ -184,23 +181,21 @@ def fit(rows: DataFrame, features: int = FEATURES, penalty: float = PENALTY, shr
     return Model(float(b), {f: float(x) for f, x in zip(names, w) if x})
 
 
-def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key and score of every row, from its whole text; null and empty texts get the model's bias."""
-    short_batches(docs.sparkSession)
+def score_of(model: Model):
+    """A column function from text to score; null and empty texts get the model's bias."""
     bias, weights = model.bias, model.weights
 
-    def score(batches):
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import numpy as np
-        import pandas as pd
 
         distinct, features = word_features()
-        names = list(weights)
-        number = {f: i for i, f in enumerate(names)}
-        value = [weights[f] for f in names]
+        number = {f: i for i, f in enumerate(weights)}
+        value = list(weights.values())
         cache: dict = {}
-        for pdf in batches:
+        for texts in batches:
             z = []
-            for text in pdf["text"]:
+            for text in texts:
                 ids = set()
                 for w in distinct(text) if text else ():
                     hit = cache.get(w)
@@ -211,10 +206,9 @@ def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
                 z.append(bias + sum(value[i] for i in sorted(ids)))
             if len(cache) > 500_000:
                 cache.clear()
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": 1 / (1 + np.exp(-np.clip(np.array(z, dtype=float), -30, 30)))})
+            yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(z, dtype=float), -30, 30))))
 
-    kind = dict(docs.dtypes)[key]
-    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInPandas(score, f"doc_id {kind}, score double")
+    return score
 
 
 def learned_model(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -232,6 +226,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     Null and empty texts are scored like others, by the bias alone; a null key is held in; repeated rows stay; an empty table
     gives none. Other columns are not read.
     """
-    rows = scored(docs, learned_model(docs, labels, key, text, label, sample), key, text)
+    score = score_of(learned_model(docs, labels, key, text, label, sample))
+    rows = docs.select(F.col(key).alias("doc_id"), score(F.col(text)).alias("score"))
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     return rows.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+    """``docs`` without the rows that the classifier rejects; all columns stay."""
+    score = score_of(learned_model(docs, labels, key, text, label))
+    return docs.where(score(F.col(text)) < TOXIC_FROM)
