@@ -65,6 +65,19 @@ REGISTRY = {
         "start_date": "CAST(o_orderdate AS DATE) + 30",
         "completion_date": "CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) + 365 END",
         "has_expanded_access": "CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus = 'P' END",
+        "baseline_population": "CASE WHEN o_orderstatus = 'F' THEN concat('adults of ', o_custkey % 7) END",
+        "enrollment_type": by("o_orderstatus", {"F": "ACTUAL", "O": "ESTIMATED"}),
+        "number_of_groups": "CASE WHEN o_orderstatus = 'O' THEN CAST(o_custkey % 3 + 1 AS INT) END",
+        "why_stopped": "CASE WHEN o_orderstatus = 'P' THEN concat('reason ', o_custkey % 4) END",
+        "start_month_year": "substr(concat(o_orderdate), 1, 7)",
+        "start_date_type": by("o_orderstatus", {"F": "ACTUAL", "O": "ESTIMATED"}),
+        "completion_month_year": "CASE WHEN o_orderstatus <> 'P' THEN substr(concat(o_orderdate), 1, 7) END",
+        "completion_date_type": by("o_orderstatus", {"F": "ACTUAL"}),
+        "expanded_access_nctid": "CASE WHEN o_orderstatus = 'P' THEN concat('NCT', o_custkey) END",
+        "expanded_access_status_for_nctid": by("o_orderstatus", {"P": "AVAILABLE"}),
+        "expanded_access_type_individual": "o_orderstatus = 'P'",
+        "expanded_access_type_intermediate": "CASE WHEN o_orderstatus = 'P' THEN o_custkey % 2 = 0 END",
+        "expanded_access_type_treatment": "CASE WHEN o_orderstatus = 'P' THEN o_custkey % 3 = 0 END",
     }),
     "countries": Raw("orders", {"nct_id": NCT, "name": "n_name", "removed": "c_acctbal < 0"},
                      links=(("customer", "o_custkey = c_custkey"), ("nation", "c_nationkey = n_nationkey"))),
@@ -76,9 +89,17 @@ REGISTRY = {
     "designs": Raw("orders", {
         "nct_id": NCT,
         "allocation": by("o_orderstatus", {"F": "RANDOMIZED", "O": "NON_RANDOMIZED"}),
-        "intervention_model": by("o_orderpriority", {URGENT: "PARALLEL", HIGH: "CROSSOVER", MEDIUM: "SINGLE_GROUP"}),
+        "intervention_model": by("o_orderpriority", {URGENT: "PARALLEL", HIGH: "CROSSOVER", MEDIUM: "SINGLE_GROUP", SOME: "FACTORIAL", LOW: "SEQUENTIAL"}),
         "primary_purpose": by("o_orderpriority", {URGENT: "TREATMENT", HIGH: "PREVENTION", LOW: "SCREENING"}),
-        "masking": by("o_orderpriority", {URGENT: "NONE", HIGH: "SINGLE", MEDIUM: "DOUBLE", SOME: "QUADRUPLE"})}),
+        "masking": by("o_orderpriority", {URGENT: "NONE", HIGH: "SINGLE", MEDIUM: "DOUBLE", SOME: "QUADRUPLE", LOW: "TRIPLE"}),
+        "masking_description": "CASE WHEN o_orderstatus = 'F' THEN 'sealed' END",
+        "intervention_model_description": "CASE WHEN o_orderstatus = 'F' THEN concat('arm ', o_custkey % 3) END",
+        "observational_model": by("o_orderstatus", {"O": "COHORT"}),
+        "time_perspective": by("o_orderstatus", {"O": "PROSPECTIVE"}),
+        "subject_masked": "o_orderpriority = '2-HIGH'",
+        "caregiver_masked": "o_orderpriority = '3-MEDIUM'",
+        "investigator_masked": "CASE WHEN o_orderstatus = 'F' THEN o_orderpriority = '3-MEDIUM' END",
+        "outcomes_assessor_masked": "CASE WHEN o_orderstatus = 'F' THEN o_orderpriority = '4-NOT SPECIFIED' END"}),
     "conditions": Raw("lineitem", {
         "nct_id": LINE_NCT, "name": by("l_returnflag", {"A": "Asthma (adult)", "N": "Neoplasms"})}),
     "calculated_values": Raw("orders", {

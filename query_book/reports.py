@@ -60,10 +60,16 @@ def is_any(column: str, *values: str) -> str:
     return f"coalesce({column} IN ({shown}), false)"
 
 
+# Registry columns that reach the merged table as they are.
+CARRIED = ["expanded_access_nctid", "expanded_access_status_for_nctid", "expanded_access_type_individual", "expanded_access_type_intermediate",
+           "expanded_access_type_treatment", "baseline_population", "enrollment_type", "number_of_groups", "why_stopped", "start_month_year",
+           "start_date_type", "completion_month_year", "completion_date_type", "intervention_model_description", "observational_model",
+           "time_perspective", "subject_masked", "caregiver_masked", "investigator_masked", "outcomes_assessor_masked"]
+
 CLEAN = f"""{EXTRACT},
 clean AS (SELECT nct_id, eudract_id AS eudract_nr, official_title AS title, acronym AS "Protocol", study_type, overall_status, source,
   source_class, enrollment, number_of_arms, study_first_submitted_date, start_date, completion_date, has_expanded_access,
-  intervention_model, primary_purpose, masking, criteria, keys, interv,
+  intervention_model, primary_purpose, masking, masking_description, criteria, keys, interv, {", ".join(CARRIED)},
   nullif(array_to_string(terms, ' | '), '') AS terms, nullif(array_to_string(grouping, ' | '), '') AS grouping,
   nullif(array_to_string(condition, ' | '), '') AS condition,
   {is_any("phase", "EARLY_PHASE1")} AS p0, {is_any("phase", "PHASE1", "PHASE1/PHASE2")} AS p1,
@@ -72,6 +78,8 @@ clean AS (SELECT nct_id, eudract_id AS eudract_nr, official_title AS title, acro
   {is_any("allocation", "NON_RANDOMIZED")} AS non_randomized, {is_any("intervention_model", "PARALLEL")} AS parallel,
   {is_any("intervention_model", "CROSSOVER")} AS crossover, {is_any("intervention_model", "SINGLE_GROUP")} AS single_group,
   {is_any("masking", "NONE")} AS mask_none, {is_any("masking", "SINGLE")} AS mask_single, {is_any("masking", "DOUBLE")} AS mask_double,
+  {is_any("masking", "TRIPLE")} AS mask_triple, {is_any("masking", "QUADRUPLE")} AS mask_quadruple,
+  {is_any("intervention_model", "FACTORIAL")} AS factorial, {is_any("intervention_model", "SEQUENTIAL")} AS sequential,
   list_has_any(coalesce(gender, []), ['FEMALE', 'ALL']) AS female, list_has_any(coalesce(gender, []), ['MALE', 'ALL']) AS male,
   {years("minimum_age_num", "minimum_age_unit")} AS low, {years("maximum_age_num", "maximum_age_unit")} AS high FROM wide)"""
 
@@ -158,7 +166,9 @@ areas AS (SELECT *, {clean_terms(f"list_concat({term_items('therapeutic_area')},
 merged AS (SELECT coalesce(e_nr, r_nr) AS eudract_nr, nct_id, coalesce(r_title, e_title) AS title, coalesce(r_protocol, e_protocol) AS "Protocol",
   least(e_start, r_start) AS start_date, greatest(end_date, completion_date) AS end_date, coalesce(sponsor, source) AS "Sponsor",
   coalesce(sponsor_type, source_class) AS "Sponsor_type", coalesce(e_status, overall_status) AS status, study_type,
-  intervention_model, study_first_submitted_date, has_expanded_access,
+  intervention_model, primary_purpose, study_first_submitted_date, has_expanded_access, {", ".join(CARRIED)},
+  mask_triple AS "masking_TRIPLE", mask_quadruple AS "masking_QUADRUPLE", single_group AS "intervention_model_SINGLE_GROUP",
+  factorial AS "intervention_model_FACTORIAL", sequential AS "intervention_model_SEQUENTIAL", url, NULL::VARCHAR AS nct_nr, dose,
   coalesce(p0, false) AS "trial_Early_Phase_I", coalesce(r1, e1) AS "trial_Phase_I", coalesce(r2, e2) AS "trial_Phase_II",
   coalesce(r3, e3) AS "trial_Phase_III", coalesce(r4, e4) AS "trial_Phase_IV",
   nullif(list_filter(found, lambda x, i: list_position(found, x) = i), []) AS therapeutic_area, keys AS keywords, interv AS interventions,
@@ -171,7 +181,7 @@ merged AS (SELECT coalesce(e_nr, r_nr) AS eudract_nr, nct_id, coalesce(r_title,
   coalesce(CASE WHEN low IS NOT NULL THEN low >= 65 END, elderly, false) AS "Age_65p_years",
   coalesce(randomised, nullif(randomized, false), NOT non_randomized) AS "trial_design_Randomised",
   coalesce(controlled, NOT single_group) AS "trial_design_Controlled", coalesce(parallel_group, parallel) AS "trial_design_Parallel_group",
-  crossover AS "trial_design_Cross_over", coalesce(mask_none, open) AS "masking_OPEN", mask_single AS "masking_SINGLE",
+  crossover AS "trial_design_Cross_over", coalesce(mask_none, open) AS "masking_OPEN", dose AS "trial_scope_Dose_response", mask_single AS "masking_SINGLE",
   mask_double AS "masking_DOUBLE", therapy AS "trial_scope_Therapy", coalesce(number_of_arms, try_cast(eu_arms AS INTEGER)) AS number_of_arms,
   CASE WHEN nct_id IS NOT NULL THEN 'clinicaltrials.gov' WHEN coalesce(sponsor_type, source_class) IS NOT NULL THEN 'clinicaltrials.eu'
        ELSE 'unknown' END AS source_dataset FROM areas)"""
@@ -181,12 +191,22 @@ MERGED_COLUMNS = [
     "has_expanded_access", "trial_Early_Phase_I", "trial_Phase_I", "trial_Phase_II", "trial_Phase_III", "trial_Phase_IV", "enrollment",
     "Gender_F", "Gender_M", "Age_0_17_years", "Age_18_64_years", "Age_65p_years", "trial_design_Randomised",
     "trial_design_Controlled", "trial_design_Parallel_group", "trial_design_Cross_over", "masking_OPEN", "masking_SINGLE",
-    "masking_DOUBLE", "trial_scope_Therapy", "number_of_arms", "source_dataset",
+    "masking_DOUBLE", "trial_scope_Therapy", "number_of_arms", "source_dataset", "primary_purpose", *CARRIED, "masking_TRIPLE", "masking_QUADRUPLE",
+    "intervention_model_SINGLE_GROUP", "intervention_model_FACTORIAL", "intervention_model_SEQUENTIAL", "url", "trial_scope_Dose_response",
 ]
 MERGED_DAYS = ["start_date", "end_date", "study_first_submitted_date"]
 MERGED_LISTS = ["therapeutic_area", "keywords", "interventions", "inclusion_crt", "exclusion_crt"]
 
 
+# Every other plain column of the merged table is blank for a programme.
+_TEXT = ["eudract_nr", "nct_id", "Protocol", "Sponsor", "Sponsor_type", "status", "study_type", "intervention_model", "primary_purpose",
+         "expanded_access_nctid", "expanded_access_status_for_nctid", "baseline_population", "enrollment_type", "why_stopped", "start_month_year",
+         "start_date_type", "completion_month_year", "completion_date_type", "intervention_model_description", "observational_model",
+         "time_perspective", "url"]
+PROGRAMME_BLANKS = {c: "VARCHAR" if c in _TEXT else "INTEGER" if c.startswith("number_of") else "BOOLEAN"
+                    for c in MERGED_COLUMNS if c not in ("title", "enrollment", "source_dataset")}
+
+
 def shown_sql(plain: list[str], days: list[str] = (), lists: list[str] = ()) -> str:
     return ", ".join([*[f'"{c}"' for c in plain], *[f"strftime({c}, '%Y-%m-%d') AS {c}" for c in days],
                       *[f"array_to_string(list_transform({c}, lambda x: coalesce(x, 'null')), '|') AS {c}" for c in lists]])
@@ -200,7 +220,7 @@ def shown(df: DataFrame, plain: list[str], days: list[str] = (), lists: list[str
 
 EXTRACT_PLAIN = ["nct_id", "eudract_id", "official_title", "acronym", "phase", "study_type", "overall_status", "source", "source_class",
                  "enrollment", "number_of_arms", "has_expanded_access", "allocation", "intervention_model", "primary_purpose", "masking",
-                 "minimum_age_num", "minimum_age_unit", "maximum_age_num", "maximum_age_unit"]
+                 "masking_description", "minimum_age_num", "minimum_age_unit", "maximum_age_num", "maximum_age_unit", *CARRIED]
 EXTRACT_DAYS = ["study_first_submitted_date", "start_date", "completion_date"]
 EXTRACT_LISTS = ["terms", "grouping", "condition", "gender", "criteria", "keys", "interv"]
 
@@ -224,13 +244,23 @@ def harmonise_sources(t):
 
 
 @query(f"""
-WITH {CLEAN} SELECT nct_id, eudract_nr, title, terms, grouping, condition, p0 AS "trial_Early_Phase_I", p1 AS "trial_Phase_I",
+WITH {CLEAN} SELECT nct_id, eudract_nr, title, "Protocol", study_type, overall_status, source, source_class, enrollment, number_of_arms,
+  has_expanded_access, intervention_model, primary_purpose, masking, masking_description, {", ".join(CARRIED)}, non_randomized AS "allocation_NON_RANDOMIZED",
+  parallel AS "intervention_model_PARALLEL", crossover AS "intervention_model_CROSSOVER", factorial AS "intervention_model_FACTORIAL",
+  sequential AS "intervention_model_SEQUENTIAL", mask_single AS "masking_SINGLE", mask_double AS "masking_DOUBLE", mask_triple AS "masking_TRIPLE",
+  mask_quadruple AS "masking_QUADRUPLE", {shown_sql([], EXTRACT_DAYS, ["criteria", "keys", "interv"])}, terms, grouping, condition, p0 AS "trial_Early_Phase_I", p1 AS "trial_Phase_I",
   p2 AS "trial_Phase_II", p3 AS "trial_Phase_III", p4 AS "trial_Phase_IV", randomized AS "allocation_RANDOMIZED",
   single_group AS "intervention_model_SINGLE_GROUP", mask_none AS "masking_NONE", female AS "Gender_FEMALE", male AS "Gender_MALE",
   round(low, 6) AS minimum_age_num, round(high, 6) AS maximum_age_num FROM clean""")
 def clean_registry(t):
     df = registry.clean_registry(extract(t, ordered=False))
-    return df.select("nct_id", "eudract_nr", "title", "terms", "grouping", "condition", "trial_Early_Phase_I", "trial_Phase_I",
+    return df.select("nct_id", "eudract_nr", "title", "Protocol", "study_type", "overall_status", "source", "source_class", "enrollment",
+                     "number_of_arms", "has_expanded_access", "intervention_model", "primary_purpose", "masking", "masking_description", *CARRIED,
+                     "allocation_NON_RANDOMIZED", "intervention_model_PARALLEL", "intervention_model_CROSSOVER",
+                     "intervention_model_FACTORIAL", "intervention_model_SEQUENTIAL", "masking_SINGLE", "masking_DOUBLE", "masking_TRIPLE",
+                     "masking_QUADRUPLE", *[day(F.col(c)).alias(c) for c in EXTRACT_DAYS],
+                     *[F.array_join(c, "|", "null").alias(c) for c in ("criteria", "keys", "interv")],
+                     "terms", "grouping", "condition", "trial_Early_Phase_I", "trial_Phase_I",
                      "trial_Phase_II", "trial_Phase_III", "trial_Phase_IV", "allocation_RANDOMIZED",
                      "intervention_model_SINGLE_GROUP", "masking_NONE", "Gender_FEMALE", "Gender_MALE",
                      F.round("minimum_age_num", 6).alias("minimum_age_num"), F.round("maximum_age_num", 6).alias("maximum_age_num"))
@@ -244,10 +274,11 @@ def merge_registries(t):
 @query(f"""
 WITH p AS ({PROGRAMMES.sql()})
 SELECT "Nome" AS title, strftime(try_strptime(data_decisao, '%d/%m/%Y'), '%Y-%m-%d') AS start_date,
-  try_cast(string_split(n_doentes, '/')[1] AS DOUBLE) AS enrollment, NULL::VARCHAR AS "Sponsor", 'PAP Infarmed' AS source_dataset FROM p""")
+  try_cast(string_split(n_doentes, '/')[1] AS DOUBLE) AS enrollment, "DCI" AS interventions, detalhes AS therapeutic_area,
+  {", ".join(f'NULL::{t} AS "{c}"' for c, t in PROGRAMME_BLANKS.items())}, 'PAP Infarmed' AS source_dataset FROM p""")
 def align_programmes(t):
     aligned = merge.align_programmes(programmes(t), merged(t).schema)
-    return shown(aligned, ["title", "enrollment", "Sponsor", "source_dataset"], ["start_date"])
+    return shown(aligned, ["title", "enrollment", "source_dataset", *PROGRAMME_BLANKS], ["start_date"], ["interventions", "therapeutic_area"])
 
 
 @query("""

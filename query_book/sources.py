@@ -15,11 +15,17 @@ def scan_parquet(t):
     return files.read_parquet(t.spark, t.path("orders"))
 
 
-@query("SELECT * FROM customer")
+@query("""
+SELECT * REPLACE (CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN '  ' || c_name || ' ' WHEN 2 THEN 'a "quoted", ' || c_name WHEN 3 THEN NULL
+  ELSE 'two' || chr(10) || 'lines' END AS c_name) FROM customer""")
 def csv_roundtrip(t):
+    """Empty, padded, quoted, missing and two-line names."""
+    name, kind = F.col("c_name"), F.col("c_custkey") % 5
+    odd = (F.when(kind == 0, "").when(kind == 1, F.concat(F.lit("  "), name, F.lit(" "))).when(kind == 2, F.concat(F.lit('a "quoted", '), name))
+           .when(kind == 3, F.lit(None)).otherwise("two\nlines"))
     path = t.scratch("csv")
-    files.write_csv(t.customer, path)
-    return files.read_csv(t.spark, path, t.customer.schema)
+    files.write_csv(t.customer.withColumn("c_name", odd), path)
+    return files.read_csv(t.spark, path, t.customer.schema, line_breaks=True)
 
 
 @query("SELECT * FROM supplier")
@@ -29,14 +35,20 @@ def land_source(t):
 
 
 @query("""
-SELECT event_id, ts, user_id, event_type, value, nullif(event_id % 7, 0) AS gaps, event_type = 'view' AS viewed FROM events""")
+SELECT event_id, ts, user_id, event_type, value, nullif(event_id % 7, 0) AS gaps, event_type = 'view' AS viewed,
+  '00' || user_id AS code, '1234567890123456789' || lpad(event_id::VARCHAR, 8, '0') AS long_id FROM events""")
 def infer_types(t):
     landed = t.events.select(
         F.col("event_id").cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
         F.col("user_id").cast("string"), "event_type", F.col("value").cast("string"),
         F.nullif(F.col("event_id") % 7, F.lit(0)).cast("string").alias("gaps"),
-        (F.col("event_type") == "view").cast("string").alias("viewed"))
-    return files.infer_types(landed)
+        (F.col("event_type") == "view").cast("string").alias("viewed"),
+        F.concat(F.lit("00"), F.col("user_id")).alias("code"),
+        F.concat(F.lit("1234567890123456789"), F.lpad(F.col("event_id").cast("string"), 8, "0")).alias("long_id"))
+    df = files.infer_types(landed)
+    # Shown as text, as engines print long decimals alike.
+    assert dict(df.dtypes)["long_id"] == "decimal(38,0)"
+    return df.withColumn("long_id", F.col("long_id").cast("string"))
 
 
 def priority_lists(t):
@@ -67,10 +79,10 @@ def tagged_list_decode(t):
 
 
 @query(f"""
-WITH {PRIORITIES} SELECT o_custkey, array_to_string(items, ', ') AS items FROM p WHERE items IS NOT NULL""")
+WITH {PRIORITIES} SELECT o_custkey, array_to_string(items, ', ') || ', null' AS items FROM p""")
 def export_csv(t):
     path = t.scratch("export")
-    files.write_csv(priority_lists(t).where("items IS NOT NULL"), path)
+    files.write_csv(priority_lists(t), path)
     return files.read_csv(t.spark, path, "o_custkey long, items string")
 
 
@@ -112,10 +124,11 @@ def html_label_values(t):
 
 
 @query(r"""
-WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*href="([^"]*)"', 1)) AS href FROM pages)
-SELECT page_id, url, CASE WHEN href LIKE '/%' THEN regexp_extract(url, '^[^:]+://[^/?#]*') || href ELSE href END AS link FROM h""")
+WITH a AS (SELECT page_id, url, regexp_extract_all(html, '(?i)<a\s[^>]*href="([^"]*)"', 1) AS found FROM pages),
+h AS (SELECT page_id, url, unnest(found) AS href, unnest(range(len(found)))::INTEGER AS place FROM a)
+SELECT page_id, url, place, CASE WHEN href LIKE '/%' THEN regexp_extract(url, '^[^:]+://[^/?#]*') || href ELSE href END AS link FROM h""")
 def page_links(t):
-    return html.links(t.pages, "html", "url").drop("place")
+    return html.links(t.pages, "html", "url")
 
 
 @query("SELECT p_partkey, p_name AS title, p_brand AS substance, CASE WHEN p_size > 25 THEN p_type END AS decision FROM part")
@@ -125,12 +138,21 @@ def header_map(t):
     return listings.header_map(df, "headers", "cells", ["title", "substance", "decision"])
 
 
-@query(" UNION ALL ".join(f"SELECT '{n}' AS source, count(*) AS total_records FROM {n}" for n in TABLES))
+@query(" UNION ALL ".join(f"SELECT '{n}' AS source, count(*) AS total_records, true AS dated FROM {n}" for n in TABLES))
 def source_inventory(t):
-    return files.inventory(t.spark, {n: t.path(n) for n in TABLES}).select("source", "total_records")
+    found = files.inventory(t.spark, {n: t.path(n) for n in TABLES})
+    return found.select("source", "total_records", F.col("last_update").isNotNull().alias("dated"))
 
 
-@query("SELECT 'orders' AS source, count(*) AS items, count(*) FILTER (o_totalprice > 400000) AS errors, 'finished' AS reason FROM orders")
+@query("""
+SELECT 'orders' AS source, count(*) AS items, count(*) FILTER (o_totalprice > 400000) AS errors, 'finished' AS reason, true AS timed FROM orders
+UNION ALL SELECT 'broken', NULL, NULL, 'failed', true""")
 def run_report(t):
-    run = files.land_with_report(t.orders, t.scratch("landing"), "orders", F.col("o_totalprice") > 400000)
-    return run.select("source", "items", "errors", "reason")
+    """Two runs in the table of runs; the second cannot write its rows."""
+    root, runs = t.scratch("landing"), t.scratch("runs")
+    files.append_run(files.land_with_report(t.orders, root, "orders", F.col("o_totalprice") > 400000), runs)
+    broken = t.orders.withColumn("bad", F.raise_error(F.lit("bad record")))
+    files.append_run(files.land_with_report(broken, root, "broken", F.col("o_totalprice") > 400000), runs)
+    timed = F.col("started").isNotNull() & (F.col("seconds") >= 0)
+    return files.read_parquet(t.spark, runs).select(
+        "source", "items", "errors", F.split("reason", ":")[0].alias("reason"), timed.alias("timed"))

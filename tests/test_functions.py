@@ -96,3 +96,8 @@ def test_answers(values):
 def test_flag_fallback_is_kleene(spark):
     df = spark.createDataFrame([(None, False, True), (None, False, None), (None, True, True), (False, True, None)], "a boolean, b boolean, n boolean")
     assert [r[0] for r in df.select(v.flag_with_fallback(F.col("a"), F.col("b"), F.col("n"))).collect()] == [False, None, True, False]
+
+
+def test_bare_words_after_any_blanks_and_never_inside_quotes(values):
+    texts = ["['a'," + " " * 9 + "None]", "['x, None, y', None]", "[None]", "['it', \"o'k\", True]"]
+    assert values(lists.parse_literal(F.col("c")), texts) == [["a", None], ["x, None, y", None], [None], ["it", "o'k", "true"]]

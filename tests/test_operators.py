@@ -27,13 +27,53 @@ def brute_full_outer(left, right, nulls):
 
 @pytest.mark.parametrize("nulls", [False, True])
 def test_full_outer_against_brute_force_with_hot_and_null_keys(spark, nulls):
-    left, right = HOT, [("hot", 7), ("hot", 8), ("k3", 1), ("new", 2), (None, 5), (None, 5)]
+    # Nulls that match may repeat on one side only.
+    left, right = HOT, [("hot", 7), ("hot", 8), ("k3", 1), ("new", 2), (None, 5), *([] if nulls else [(None, 5)])]
     a = spark.createDataFrame(left, "k string, a int")
     b = spark.createDataFrame(right, "k string, b int")
     got = Counter(tuple(r) for r in joins.full_outer_coalesce(a, b, "k", null_keys_match=nulls).select("k", "a", "b").collect())
     assert got == brute_full_outer(left, right, nulls)
 
 
+def test_full_outer_refuses_all_pairs_of_null_keys(spark):
+    df = spark.createDataFrame([(None, i) for i in range(50)], "k string, a int")
+    with pytest.raises(ValueError, match="null keys"):
+        joins.full_outer_coalesce(df, df.withColumnRenamed("a", "b"), "k", null_keys_match=True)
+    assert joins.full_outer_coalesce(df, df.withColumnRenamed("a", "b"), "k").count() == 100
+
+
+def test_full_outer_splits_a_hot_right_key(spark):
+    left = spark.createDataFrame([("hot", 1), ("k", 2)], "k string, a int")
+    right = spark.range(3000).select(F.when(F.col("id") > 1000, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("b"))
+    df = joins.full_outer_coalesce(left, right, "k")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # A full or left join could not split the right side; an inner join can.
+    assert "Join Inner" in plan and "FullOuter" not in plan and "LeftOuter" not in plan
+    assert df.count() == 3001
+
+
+@pytest.mark.parametrize("size", [2, 1001])
+def test_mappings_of_any_size_behave_alike(spark, size):
+    df = spark.createDataFrame([("1", "x"), ("9999", "y"), (None, "z")], "a string, b string")
+    got = joins.map_lookup(df, "a", {i: f"v{i}" for i in range(size)}, "a")
+    assert got.columns == ["a", "b"] and sorted(map(tuple, got.collect()), key=str) == [("v1", "x"), (None, "y"), (None, "z")]
+
+
+def test_terms_with_pattern_marks_and_capitals(spark):
+    df = spark.createDataFrame([("a\\Eb", ["Asthma "]), ("ab", ["flu"]), (None, None)], "c string, l array<string>")
+    assert df.where(filters.matches(F.col("c"), "\\Eb", literal=True)).count() == 1
+    assert df.where(filters.any_item_equals(F.col("l"), [" Asthma"])).count() == 1
+    assert columns.list_indicators(df.select("c"), "c", "\\E").columns == ["c.a", "c.ab", "c.b"]
+
+
+def test_items_of_one_name_share_an_indicator(spark):
+    df = spark.createDataFrame([("A b",), ("A_b, c",), ("c",), (None,)], "t string")
+    got = columns.list_indicators(df, "t")
+    assert got.columns == ["t.A_b", "t.c"] and [tuple(r) for r in got.collect()] == [(1, 0), (1, 1), (0, 1), (0, 0)]
+    with pytest.raises(ValueError, match="more than 1"):
+        columns.list_indicators(df, "t", limit=1)
+
+
 def test_full_outer_of_one_frame_with_itself_and_precedence(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "k int, x string")
     left, right = df.where("k < 3"), df.where("k > 1").withColumn("x", F.lit("r"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import __spark_entry__ as book
+import query_book
 from trialweave.plans import eu, merge, registry, reports, search, shortlist as short
 
 DATA = "/root/testdata/sf0.001"
@@ -138,14 +139,30 @@ def test_shortlist_finds_the_best_over_all_chunks(spark):
 
 
 def test_every_query_has_sql_and_none_pairs_rows_without_a_key(spark):
-    queries, oracles = book.queries(), book.oracle_sql()
-    assert set(queries) == set(oracles) and len(queries) > 100
+    queries = query_book.QUERIES
+    assert set(queries) == set(query_book.ORACLES) and len(queries) > 100
+    assert set(queries) <= set(book.queries())
     for name in ("registry_extract", "merge_registries", "full_outer_coalesce", "full_outer_nullsafe", "chunk_rows", "describe_numeric",
                  "overview_kpis", "faceted_search", "source_inventory"):
         plan = queries[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
 
 
+def test_the_merge_computes_the_star_join_once(spark):
+    plan = query_book.QUERIES["merge_registries"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    # Both sides are staged, so the join reads two written tables and nothing of the sources.
+    assert plan.count("Join ") <= 3 and "orders.parquet" not in plan
+
+
+def test_chunks_move_no_table_for_their_offsets(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = query_book.QUERIES["chunk_rows"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_scans_are_pruned_and_filters_pushed(spark):
     plan = book.queries()["filter_isin"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderpriority:string>" in plan and "In(o_orderpriority" in plan.split("PushedFilters")[1]

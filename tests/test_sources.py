@@ -80,7 +80,7 @@ def test_files_round_trip(spark, tmp_path):
     files.write_tagged(df, f"{tmp_path}/tagged")
     assert sorted(files.read_tagged(spark, f"{tmp_path}/tagged", ["l"]).collect()) == sorted(df.collect())
     files.write_csv(df, f"{tmp_path}/csv")
-    back = {r["i"]: r["s"] for r in files.read_csv(spark, f"{tmp_path}/csv", "i int, l string, s string").collect()}
+    back = {r["i"]: r["s"] for r in files.read_csv(spark, f"{tmp_path}/csv", "i int, l string, s string", line_breaks=True).collect()}
     assert back == {1: 'q"\n,', 2: None}
     run = files.land_with_report(df, str(tmp_path), "src", F.col("l").isNull())
     files.append_run(run, f"{tmp_path}/runs")
@@ -96,3 +96,35 @@ def test_jdbc_options():
     assert (parts["lowerBound"], parts["upperBound"], parts["numPartitions"]) == ("1", "9", "4")
     with pytest.raises(ValueError):
         jdbc.jdbc_options("jdbc:x", "t", "u", "p", "id")
+
+
+def test_labels_stay_with_their_values_over_markup(values):
+    page = "<dl><dt>A</dt><dd><b>1</b></dd><dt>None</dt><dt>B <i>x</i></dt><dd>2</dd></dl>"
+    assert values(html.label_values(F.col("c"), "dt", "dd"), [page, "", None]) == [{"A": "1", "B x": "2"}, {}, None]
+
+
+def test_links_in_any_quotes_and_with_dots(spark):
+    page = """<a href=' ../b?x=1&amp;y=2 '>1</a><a class=k href=c/./d.html>2</a><a href="../../../up/..">3</a>"""
+    df = spark.createDataFrame([(page, "http://h/a/c/e")], "html string, url string")
+    assert [r["link"] for r in html.links(df, "html", "url").orderBy("place").collect()] == [
+        "http://h/a/b?x=1&y=2", "http://h/a/c/c/d.html", "http://h/"]
+
+
+def test_codes_and_long_numbers_keep_their_digits(spark):
+    df = spark.createDataFrame([("007", "12345678901234567890", "1.5"), ("012", "12345678901234567891", "2")], "a string, b string, c string")
+    got = files.infer_types(df)
+    assert [k for _, k in got.dtypes] == ["string", "decimal(38,0)", "double"] and got.select("b").distinct().count() == 2
+
+
+def test_csv_files_are_cut_unless_they_may_hold_line_breaks(spark, tmp_path):
+    df = spark.createDataFrame([("", 1), (None, 2), ("  pad ", 3), ('q"', 4)], "s string, i int")
+    files.write_csv(df, f"{tmp_path}/x")
+    got = files.read_csv(spark, f"{tmp_path}/x", "s string, i int")
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == [tuple(r) for r in df.collect()]
+
+
+def test_an_unreadable_document_does_not_lose_its_trial(spark):
+    body = '{"pagination":{"currentPage":1},"data":[{"ctNumber":"1","ctTitle":"t"},{"ctNumber":"2","ctTitle":"u"}]}'
+    pages = spark.createDataFrame([(body,)], "body string")
+    details = spark.createDataFrame([('{"ctNumber":"1"}', "u1"), ("broken", "u2")], "doc string, url string")
+    assert sorted(r["eudract_nr"] for r in listings.newer_register(pages, "body", details, "doc").collect()) == ["1", "2"]

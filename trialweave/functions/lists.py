@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -12,27 +13,35 @@ from trialweave.functions.values import bind, strip
 _TEXT_LIST = "array<string>"
 # Fixed value: the mark of a list stored as text.
 LIST_TAG = "__list__"
+# Up to the end of the text every quoted string is whole.
+_OUTSIDE_QUOTES = r"""(?:[^'"]++|'[^']*+'|"[^"]*+")*+$"""
 
 
 def parse_literal(c: Column) -> Column:
     """``["a"]`` or ``['a', None]`` to an array; null where the text is no list.
 
     Bare ``None``/``True``/``False`` are tried as JSON words only after a plain parse
-    fails, so the same words inside quotes stay untouched.
+    fails. A word counts as bare if only whole quoted strings follow it, so the same
+    words inside quotes stay untouched.
     """
     options = {"allowSingleQuotes": "true"}
     json_words = c
     for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
-        json_words = F.regexp_replace(json_words, rf"(?<=[\[,]\s{{0,8}}){word}(?=\s*[,\]])", json_word)
+        json_words = F.regexp_replace(json_words, rf"([\[,]\s*){word}(?=\s*[,\]]{_OUTSIDE_QUOTES})", f"$1{json_word}")
     parsed = F.coalesce(
         F.from_json(c, _TEXT_LIST, options), F.from_json(json_words, _TEXT_LIST, options)
     )
     return F.when(c.rlike(r"(?s)^\s*\[.*\]\s*$"), parsed)
 
 
+def split_at(c: Column, separator: str) -> Column:
+    """Split on a literal separator, whatever its characters mean in a pattern."""
+    return F.split(c, re.escape(separator))
+
+
 def split_clean(c: Column, separator: str = ",") -> Column:
     """Split on a literal separator, trim, drop blanks."""
-    items = F.transform(F.split(c, r"\Q" + separator + r"\E"), strip)
+    items = F.transform(split_at(c, separator), strip)
     return F.filter(items, lambda item: item != "")
 
 
@@ -48,14 +57,14 @@ def ensure_list(c: Column, is_array: bool = False) -> Column:
     return F.when(c.isNotNull(), F.array(strip(c.cast("string"))))
 
 
-def to_text(c: Column, separator: str = ", ") -> Column:
-    """Array to text."""
-    return F.array_join(c, separator)
+def to_text(c: Column, separator: str = ", ", null_item: str | None = None) -> Column:
+    """Array to text; null items are left out unless ``null_item`` says how to show them."""
+    return F.array_join(c, separator) if null_item is None else F.array_join(c, separator, null_item)
 
 
 def unique_inside(c: Column, separator: str = ", ") -> Column:
     """Remove repeats inside a delimited text, first occurrence kept in place."""
-    return F.array_join(F.array_distinct(F.split(c, r"\Q" + separator + r"\E")), separator)
+    return F.array_join(F.array_distinct(split_at(c, separator)), separator)
 
 
 def bracket_items(c: Column) -> Column:
@@ -122,7 +131,7 @@ def json_object(c: Column) -> Column:
 
 def has_item(c: Column, value: str, separator: str = ", ") -> Column:
     """1 if a delimited text holds the item, else 0, also for null text."""
-    found = F.array_contains(F.split(c, r"\Q" + separator + r"\E"), value)
+    found = F.array_contains(split_at(c, separator), value)
     return F.when(found, 1).otherwise(0)
 
 

@@ -126,10 +126,11 @@ def list_options(df: DataFrame, name: str, out: str = "option") -> DataFrame:
     return items.select(txt.normalise(F.col("item")).alias(out)).distinct().orderBy(out)
 
 
-def pivot_counts(df: DataFrame, keys: Sequence[str], name: str, values: Sequence[str] | None = None) -> DataFrame:
+def pivot_counts(df: DataFrame, keys: Sequence[str], name: str, values: Sequence[str] | None = None,
+                 limit: int = 5000) -> DataFrame:
     """Rows per key and category, one column per category, 0 where none."""
     if values is None:
-        values = learn_names(df, F.array(quoted(name).cast("string")))
+        values = learn_names(df, F.array(quoted(name).cast("string")), limit)
     return df.groupBy(*keys).agg(*[F.count_if(quoted(name) == v).alias(v) for v in values])
 
 

@@ -81,14 +81,15 @@ def learn_names(df: DataFrame, items: Column, limit: int = 5000) -> list[str]:
     return sorted(found)
 
 
-def json_to_columns(df: DataFrame, name: str, keys: Sequence[str] | None = None) -> DataFrame:
+def json_to_columns(df: DataFrame, name: str, keys: Sequence[str] | None = None, limit: int = 5000) -> DataFrame:
     """Flat JSON object to one text column per key, named ``name.Key_with_underscores``.
 
-    Pass ``keys`` when they are known; otherwise one job learns them.
+    Pass ``keys`` when they are known; otherwise one job learns them, up to ``limit``.
+    For open key sets ``lists.json_map`` gives one map column instead.
     """
     mapped = lists.json_map(quoted(name))
     if keys is None:
-        keys = learn_names(df, F.map_keys(mapped))
+        keys = learn_names(df, F.map_keys(mapped), limit)
     taken = df.withColumn("__map", mapped)
     return taken.select(
         *[quoted(c) for c in df.columns if c != name],
@@ -97,23 +98,28 @@ def json_to_columns(df: DataFrame, name: str, keys: Sequence[str] | None = None)
 
 
 def list_indicators(df: DataFrame, name: str, separator: str = ", ",
-                    values: Sequence[str] | None = None) -> DataFrame:
-    """Delimited text to one 0/1 column per item, named ``name.Item_with_underscores``."""
+                    values: Sequence[str] | None = None, limit: int = 5000) -> DataFrame:
+    """Delimited text to one 0/1 column per item, named ``name.Item_with_underscores``.
+
+    Items that give one name, such as "A b" and "A_b", share a column, 1 if either is there.
+    """
     if values is None:
-        items = F.filter(F.split(quoted(name), r"\Q" + separator + r"\E"), lambda i: i != "")
-        values = learn_names(df, items)
+        items = F.filter(lists.split_at(quoted(name), separator), lambda i: i != "")
+        values = learn_names(df, items, limit)
+    named: dict[str, list[Column]] = {}
+    for v in values:
+        named.setdefault(f"{name}.{v.strip().replace(' ', '_')}", []).append(lists.has_item(quoted(name), v, separator))
     return df.select(
         *[quoted(c) for c in df.columns if c != name],
-        *[lists.has_item(quoted(name), v, separator).alias(f"{name}.{v.strip().replace(' ', '_')}")
-          for v in values],
+        *[(F.greatest(*found) if len(found) > 1 else found[0]).alias(n) for n, found in named.items()],
     )
 
 
 def category_indicators(df: DataFrame, name: str, values: Sequence[str] | None = None,
-                        prefix: str | None = None) -> DataFrame:
+                        prefix: str | None = None, limit: int = 5000) -> DataFrame:
     """Category to one boolean column per value, false where the category is missing."""
     if values is None:
-        values = learn_names(df, F.array(quoted(name).cast("string")))
+        values = learn_names(df, F.array(quoted(name).cast("string")), limit)
     start = f"{prefix}_" if prefix else ""
     return df.withColumns(
         {f"{start}{v}": F.coalesce(quoted(name) == v, F.lit(False)) for v in values}

@@ -7,6 +7,7 @@ hide it from the scan.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -41,14 +42,13 @@ def contains(c: Column, part: str) -> Column:
 
 def matches(c: Column, term: str, literal: bool = False) -> Column:
     """Case-insensitive pattern; ``literal`` takes the term as plain text."""
-    pattern = r"\Q" + term + r"\E" if literal else term
-    return c.isNotNull() & c.rlike("(?iu)" + pattern)
+    return c.isNotNull() & c.rlike("(?iu)" + (re.escape(term) if literal else term))
 
 
 def any_item_equals(c: Column, terms: Sequence[str]) -> Column:
     """Array holds one of the terms, compared trimmed and lower-cased."""
     items = F.transform(c, lambda item: F.lower(txt.strip(item)))
-    return holds(F.arrays_overlap(items, F.array(*[F.lit(t) for t in terms])))
+    return holds(F.arrays_overlap(items, F.array(*[F.lit(t.strip().lower()) for t in terms])))
 
 
 def any_item_contains(c: Column, term: str) -> Column:

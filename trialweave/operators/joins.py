@@ -16,9 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialweave.operators.aggregates import distinct_lists
-
-# Above this many entries a mapping is joined as a table instead of sitting in the plan.
-LITERAL_MAP_LIMIT = 1000
+from trialweave.session import stage
 
 
 def filter_by_link(df: DataFrame, link: DataFrame, key: str, semi: bool = False) -> DataFrame:
@@ -54,22 +52,29 @@ def full_outer_coalesce(left: DataFrame, right: DataFrame, key: str, prefer_righ
     """Full outer join; columns on both sides become one.
 
     The left value wins unless the column is named in ``prefer_right``. Null keys match
-    nothing, or each other with ``null_keys_match``.
+    nothing, or each other with ``null_keys_match``; as that would pair all with all,
+    one side may then have at most one row with a null key.
 
-    Built as a left join plus the right rows without partner: a hot key, null included,
-    stays splittable, and the partner test compares one row per key.
+    Both sides are staged, so each is computed once. Then matches, left rows without
+    partner and right rows without partner are put together: of an inner join Spark can
+    split a hot key on either side, and the partner tests compare one row per key.
     """
+    left, right = stage(left, "left"), stage(right, "right")
+    if null_keys_match and all(len(side.where(F.col(key).isNull()).select(key).take(2)) > 1 for side in (left, right)):
+        raise ValueError("null keys on both sides repeat; reduce one side to one row per key")
     shared = [c for c in left.columns if c in right.columns and c != key]
     right_key = "__right_key"
     renamed = right.withColumnsRenamed({key: right_key, **{c: f"__right_{c}" for c in shared}})
-    keys = left.select(F.col(key).alias("__left_key")).distinct()
+    left_keys = left.select(F.col(key).alias("__left_key")).distinct()
+    right_keys = right.select(F.col(key).alias("__key_of_right")).distinct()
 
     def same(a: Column, b: Column) -> Column:
         return a.eqNullSafe(b) if null_keys_match else a == b
 
-    matched = left.join(renamed, same(left[key], renamed[right_key]), "left")
-    unmatched = renamed.join(keys, same(renamed[right_key], keys["__left_key"]), "left_anti")
-    both = matched.unionByName(unmatched, allowMissingColumns=True)
+    matched = left.join(renamed, same(left[key], renamed[right_key]))
+    left_only = left.join(right_keys, same(left[key], right_keys["__key_of_right"]), "left_anti")
+    right_only = renamed.join(left_keys, same(renamed[right_key], left_keys["__left_key"]), "left_anti")
+    both = matched.unionByName(left_only, allowMissingColumns=True).unionByName(right_only, allowMissingColumns=True)
 
     def merged(c: str) -> Column:
         mine, theirs = F.col(c), F.col(f"__right_{c}")
@@ -92,19 +97,17 @@ def join_on_pairs(left: DataFrame, right: DataFrame, pairs: Mapping[str, str], h
 def map_lookup(df: DataFrame, name: str, mapping: Mapping | DataFrame, out: str) -> DataFrame:
     """Translate a column; unknown values give null.
 
-    A mapping frame has the columns ``key`` and ``value`` with one row per key.
+    A mapping, of any size, or a frame with the columns ``key`` and ``value`` and one row per key is joined; keys are
+    read as the column's type, those it cannot hold match nothing. A replaced column keeps its place.
     """
     if not isinstance(mapping, DataFrame):
-        if not mapping:
-            return df.withColumn(out, F.lit(None).cast("string"))
-        if len(mapping) <= LITERAL_MAP_LIMIT:
-            pairs = F.create_map(*[F.lit(x) for item in mapping.items() for x in item])
-            return df.withColumn(out, F.try_element_at(pairs, F.col(name)))
-        mapping = df.sparkSession.createDataFrame(list(mapping.items()), ["key", "value"])
-    side = mapping.select(F.col("key").alias("__key"), F.col("value").alias("__value"))
-    joined = df.join(side, df[name] == side["__key"], "left")
-    kept = [joined[c] for c in df.columns if c != out]
-    return joined.select(*kept, F.col("__value").alias(out))
+        rows = [(str(k), v) for k, v in mapping.items() if k is not None]
+        kind = {bool: "boolean", int: "long", float: "double"}.get(type(rows[0][1]) if rows else str, "string")
+        mapping = df.sparkSession.createDataFrame(rows, f"key string, value {kind}")
+    side = mapping.select(F.col("key").try_cast(df.schema[name].dataType).alias("__key"), F.col("value").alias("__value"))
+    joined = df.join(side.where(F.col("__key").isNotNull()), df[name] == F.col("__key"), "left")
+    columns = [F.col("__value").alias(out) if c == out else joined[c] for c in df.columns]
+    return joined.select(*columns, *([] if out in df.columns else [F.col("__value").alias(out)]))
 
 
 def rows_by_ids(ids: DataFrame, df: DataFrame, id_name: str, position: str) -> DataFrame:

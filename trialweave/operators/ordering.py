@@ -70,9 +70,9 @@ def with_ordinals(df: DataFrame, order: Sequence[Column], out: str = "ordinal")
 
 def _shift(placed: DataFrame, starts: dict[int, int], out: str) -> DataFrame:
     spark = placed.sparkSession
-    # One row per partition of the sort; Spark broadcasts it by its size.
-    offsets = spark.createDataFrame(list(starts.items()) or [(0, 0)], "__p long, __start long")
-    joined = placed.join(offsets, placed["__part"] == offsets["__p"])
+    # One row per partition of the sort, hence a bounded broadcast: the table itself does not move.
+    offsets = F.broadcast(spark.createDataFrame(list(starts.items()), "__p long, __start long"))
+    joined = placed.join(offsets, placed["__part"] == F.col("__p"))
     return joined.withColumn(out, F.col("__start") + F.col("__row"))
 
 

@@ -12,6 +12,7 @@ from trialweave.functions.values import (
 )
 from trialweave.operators import columns, joins
 
+# Column names of the registers and of the published table.
 # Which side wins where both registers have a column of the same meaning. "R" is the
 # registry, "E" the EU registers; the first known value counts.
 PRECEDENCE: dict[str, list[tuple[str, str]]] = {
@@ -31,10 +32,15 @@ PRECEDENCE: dict[str, list[tuple[str, str]]] = {
     "masking_SINGLE": [("R", "masking_SINGLE"), ("E", "trial_design_Single_blind")],
     "masking_DOUBLE": [("R", "masking_DOUBLE"), ("E", "trial_design_Double_blind")],
 }
-# Columns taken over unchanged from the one side that has them.
+# Columns taken over unchanged from the one side that has them.
 KEPT = {
     "R": ["nct_id", "study_type", "primary_purpose", "intervention_model", "study_first_submitted_date",
-          "has_expanded_access"],
+          "has_expanded_access", "expanded_access_nctid", "expanded_access_status_for_nctid",
+          "expanded_access_type_individual", "expanded_access_type_intermediate", "expanded_access_type_treatment",
+          "baseline_population", "enrollment_type", "number_of_groups", "why_stopped", "start_month_year",
+          "start_date_type", "completion_month_year", "completion_date_type", "intervention_model_description",
+          "observational_model", "time_perspective", "subject_masked", "caregiver_masked", "investigator_masked",
+          "outcomes_assessor_masked"],
     "E": ["nct_nr", "url", "trial_design_Other_medicinal_product", "trial_design_Placebo",
           "trial_scope_Diagnosis", "trial_scope_Prophylaxis", "trial_scope_Therapy", "trial_scope_Safety",
           "trial_scope_Efficacy", "trial_scope_Pharmacokinetic", "trial_scope_Pharmacodynamic",
@@ -44,16 +50,17 @@ KEPT = {
 }
 
 
-def merge_registries(eu: DataFrame, registry: DataFrame, null_keys_match: bool = False,
-                     overlapping_ages: bool = False) -> DataFrame:
-    """Full outer join on the EU number with a rule per column.
+def merge_registries(eu: DataFrame, registry: DataFrame, overlapping_ages: bool = False) -> DataFrame:
+    """Full outer join on the EU number with a rule per column; studies without a number stay alone.
+
+    Indicators of the registry's categories beyond those that the rules merge are kept under their own names.
 
     ``eu`` comes from :func:`trialweave.plans.eu.harmonise` and ``registry`` from
     :func:`trialweave.plans.registry.clean_registry`.
     """
     left = eu.withColumnsRenamed({c: f"E_{c}" for c in eu.columns if c != "eudract_nr"})
     right = registry.withColumnsRenamed({c: f"R_{c}" for c in registry.columns if c != "eudract_nr"})
-    joined = joins.full_outer_coalesce(left, right, "eudract_nr", null_keys_match=null_keys_match)
+    joined = joins.full_outer_coalesce(left, right, "eudract_nr")
     have = set(joined.columns)
 
     def side(which: str, name: str) -> Column:
@@ -80,10 +87,14 @@ def merge_registries(eu: DataFrame, registry: DataFrame, null_keys_match: bool =
         name: F.coalesce(F.when(bound_known[name], band), E(name), F.lit(False))
         for name, band in age_bands(low, high, overlapping_ages).items()
     }
-    criteria = F.get(R("criteria"), F.lit(0))
 
     def criteria_list(name: str, kind: str) -> Column:
-        return F.coalesce(lists.parse_literal(E(name)), lists.ensure_list(E(name)), text.criteria(criteria, kind))
+        # Every criteria text of a study counts; without one the registry says nothing.
+        texts = R("criteria").cast("array<string>")
+        found = F.array_distinct(F.flatten(F.transform(texts, lambda c: text.criteria(c, kind))))
+        known = F.filter(found, lambda item: item.isNotNull())
+        own = F.when(F.size(texts) > 0, F.when(F.size(known) > 0, known).otherwise(F.array(F.lit(None).cast("string"))))
+        return F.coalesce(lists.parse_literal(E(name)), lists.ensure_list(E(name)), own)
 
     merged = {
         **{name: ruled(name) for name in PRECEDENCE if name != "condition"},
@@ -107,6 +118,9 @@ def merge_registries(eu: DataFrame, registry: DataFrame, null_keys_match: bool =
         "source_dataset": origin(R("nct_id"), ruled("Sponsor_type")),
     }
     kept = [side(which, c).alias(c) for which, names in KEPT.items() for c in names if f"{which}_{c}" in have]
+    used = {source for rule in PRECEDENCE.values() for _, source in rule} | set(KEPT["R"])
+    kept += [F.col(c).alias(c[2:]) for c in joined.columns
+             if c.startswith(("R_intervention_model_", "R_masking_")) and c[2:] not in used | {"masking_description"}]
     return joined.select("eudract_nr", *kept, *[c.alias(n) for n, c in merged.items()])
 
 
@@ -114,10 +128,12 @@ def align_programmes(programmes: DataFrame, schema: T.StructType) -> DataFrame:
     """Early-access programmes in the schema of the merged table."""
     # Column names, date pattern and label of the published table.
     named = columns.rename(programmes, {
-        "Nome": "title", "DCI": "intervention", "data_decisao": "start_date",
-        "detalhes": "condition", "n_doentes": "enrollment",
+        "Nome": "title", "data_decisao": "start_date", "n_doentes": "enrollment",
     })
+    # The schema has lists where a programme has one text: its substance and its details.
     typed = named.withColumns({
+        "interventions": lists.ensure_list(F.col("DCI")),
+        "therapeutic_area": lists.ensure_list(F.col("detalhes")),
         "start_date": to_day(F.col("start_date"), "dd/MM/yyyy"),
         "enrollment": to_number(F.col("enrollment")),
     })

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trialweave.functions.values import age_in_years, is_value
 from trialweave.operators import aggregates, joins
+from trialweave.operators.columns import learn_names
 from trialweave.operators.filters import matches_or_missing
 
 # Columns taken from the registry's tables, and the shape of an EU number.
@@ -35,8 +36,9 @@ def registry_extract(tables: Mapping[str, DataFrame], country: str, one_row: boo
 
     The country's studies are found first and every other table is thinned out to them
     before it is aggregated to one row per study and joined. ``id_information``,
-    ``designs`` and ``calculated_values`` join as they are, so a study may repeat;
-    ``one_row`` keeps its first row only. Columns a table lacks are left out.
+    ``designs`` and ``calculated_values`` join as they are, so a study may repeat; with
+    ``one_row`` each of them, and ``studies``, is first reduced to its least row per study, all
+    columns in order. Columns a table lacks are left out.
     """
     here = tables["countries"].where((F.col("name") == country) & ~F.col("removed")).select("nct_id")
     wanted = here.distinct()
@@ -44,8 +46,14 @@ def registry_extract(tables: Mapping[str, DataFrame], country: str, one_row: boo
     def of_country(table: str) -> DataFrame:
         return joins.filter_by_link(tables[table], wanted, "nct_id", semi=True)
 
+    def least(df: DataFrame) -> DataFrame:
+        if not one_row:
+            return df
+        order = [F.col(c).asc_nulls_last() for c in df.columns if c != "nct_id"]
+        return aggregates.dedup_keep_first(df, ["nct_id"], order) if order else df.distinct()
+
     def pick(df: DataFrame, names: list[str]) -> DataFrame:
-        return df.select("nct_id", *[c for c in names if c in df.columns])
+        return least(df.select("nct_id", *[c for c in names if c in df.columns]))
 
     studies = joins.filter_by_link(pick(tables["studies"], STUDY_COLUMNS), here, "nct_id", semi=one_row)
     ids = of_country("id_information").where(matches_or_missing(F.col("id_value"), EU_NUMBER))
@@ -54,7 +62,7 @@ def registry_extract(tables: Mapping[str, DataFrame], country: str, one_row: boo
         return aggregates.distinct_lists(of_country(table), ["nct_id"], columns)
 
     sides = [
-        ids.select("nct_id", F.col("id_value").alias("eudract_id")),
+        least(ids.select("nct_id", F.col("id_value").alias("eudract_id"))),
         joins.lists_through_dictionary(
             of_country("search_term_results"), tables["search_terms"], "nct_id", "search_term_id", "id",
             {"terms": "term", "grouping": "group"},
@@ -67,13 +75,20 @@ def registry_extract(tables: Mapping[str, DataFrame], country: str, one_row: boo
         lists_of("interventions", {"interv": "name"}),
     ]
     wide = joins.star_left(studies, sides, "nct_id")
-    if one_row:
-        wide = aggregates.dedup_keep_first(wide, ["nct_id"], [F.col("eudract_id").asc_nulls_last()])
     return wide.orderBy(F.desc_nulls_last("study_first_submitted_date"), "nct_id") if ordered else wide
 
 
-def clean_registry(extract: DataFrame) -> DataFrame:
-    """Names of the merged schema, category indicators, ages in years."""
+def learn_categories(extract: DataFrame, limit: int = 5000) -> dict[str, list[str]]:
+    """The categories of masking, allocation and intervention model a table has; one job each."""
+    return {name: learn_names(extract, F.array(F.col(name)), limit) for name in ("allocation", "intervention_model", "masking")}
+
+
+def clean_registry(extract: DataFrame, more_categories: Mapping[str, list[str]] | None = None) -> DataFrame:
+    """Names of the merged schema, category indicators, ages in years.
+
+    The registry's categories are fixed; ``more_categories``, as ``learn_categories`` finds them, adds
+    indicators for others.
+    """
     phase, allocation = F.col("phase"), F.col("allocation")
     gender = F.coalesce(F.col("gender"), F.array())
 
@@ -93,12 +108,19 @@ def clean_registry(extract: DataFrame) -> DataFrame:
         "intervention_model_PARALLEL": is_value(F.col("intervention_model"), "PARALLEL"),
         "intervention_model_CROSSOVER": is_value(F.col("intervention_model"), "CROSSOVER"),
         "intervention_model_SINGLE_GROUP": is_value(F.col("intervention_model"), "SINGLE_GROUP"),
+        "intervention_model_FACTORIAL": is_value(F.col("intervention_model"), "FACTORIAL"),
+        "intervention_model_SEQUENTIAL": is_value(F.col("intervention_model"), "SEQUENTIAL"),
         "masking_NONE": is_value(F.col("masking"), "NONE"),
         "masking_SINGLE": is_value(F.col("masking"), "SINGLE"),
         "masking_DOUBLE": is_value(F.col("masking"), "DOUBLE"),
+        "masking_TRIPLE": is_value(F.col("masking"), "TRIPLE"),
+        "masking_QUADRUPLE": is_value(F.col("masking"), "QUADRUPLE"),
         "Gender_FEMALE": sex("FEMALE"),
         "Gender_MALE": sex("MALE"),
     }
+    # Categories beyond the known ones become indicators too.
+    for name, values in (more_categories or {}).items():
+        indicators |= {f"{name}_{v}": is_value(F.col(name), v) for v in values if f"{name}_{v}" not in indicators}
     # An empty list is no value, so it must not win over the EU register's condition.
     lists_as_text = {c: F.nullif(F.array_join(c, " | "), F.lit("")) for c in ("terms", "grouping", "condition")}
     ages = {

@@ -20,6 +20,7 @@ from trialweave.functions.answers import FENCE, scored_rows
 from trialweave.operators import ordering
 from trialweave.operators.filters import above
 from trialweave.operators.ordering import chunk_context, chunk_rows
+from trialweave.session import stage
 
 Scorer = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 ANSWER_SCHEMA = "chunk long, answer string"
@@ -58,11 +59,11 @@ def bad_answers(contexts: DataFrame, scorer: Scorer) -> DataFrame:
 
 
 def first_choice(studies: DataFrame, key: str, title: str, date: str | None, scorer: Scorer, size: int = 100,
-                 proportion: float = 0.5, kind: str = "recent", seed: int = 123) -> DataFrame:
+                 proportion: float = 1.0, kind: str = "recent", seed: int = 123) -> DataFrame:
     """(database_index, certainty, chunk) from one scorer call per chunk of titles.
 
-    Chunks follow the dates, latest first, or a seeded shuffle; only the first share of
-    the chunks is asked about.
+    Chunks follow the dates, latest first, or a seeded shuffle. All are asked about; a
+    ``proportion`` below 1, such as 0.5, asks about the first share of them only.
     """
     chunks = _chunked(studies, key, date, kind, seed, size, proportion)
     contexts = _contexts(chunks, studies, key, [("Title", F.col(title))],
@@ -83,7 +84,7 @@ def final_context(chosen: DataFrame, studies: DataFrame, key: str, date: str | N
 
 
 def shortlist(studies: DataFrame, key: str, title: str, date: str | None, fields: Sequence[tuple[str, Column]],
-              scorer: Scorer, final_scorer: Scorer | None = None, size: int = 100, proportion: float = 0.5,
+              scorer: Scorer, final_scorer: Scorer | None = None, size: int = 100, proportion: float = 1.0,
               cutoff: float = 0.5, kind: str = "recent", seed: int = 123, best: int = 5) -> DataFrame:
     """The ``best`` studies for a question as (database_index, certainty, Title).
 
@@ -96,7 +97,11 @@ def shortlist(studies: DataFrame, key: str, title: str, date: str | None, fields
     contexts = final_context(chosen, studies, key, date, fields, kind, seed, size)
     answers = ask(contexts, final_scorer or scorer).where("database_index IS NOT NULL")
     top = answers.orderBy(F.desc_nulls_last("certainty"), "database_index").limit(best)
-    titles = studies.select(F.col(key).alias("__key"), F.col(title).alias("__title"))
+    # At most ``best`` rows: the studies are cut down to them where they lie, before their titles are made.
+    top = stage(top, "best")
+    wanted = F.broadcast(top.select(F.col("database_index").alias("__wanted")))
+    few = studies.join(wanted, studies[key] == F.col("__wanted"), "left_semi")
+    titles = few.select(F.col(key).alias("__key"), F.col(title).alias("__title"))
     return (
         top.join(titles, top["database_index"] == titles["__key"], "left")
         .select("database_index", "certainty", F.coalesce("Title", "__title").alias("Title"))

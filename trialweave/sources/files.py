@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 from trialweave.functions import lists
 from trialweave.operators.columns import quoted
 
+# How null is written in CSV, so that empty text stays empty text.
+NULL_MARK = "\\N"
 RUN_SCHEMA = "source string, started timestamp, seconds double, items long, errors long, reason string"
 
 
@@ -22,27 +24,32 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, line_breaks: bool = False,
+             null_mark: str = NULL_MARK) -> DataFrame:
     """CSV with a header; the schema is given, so no pass is spent on guessing it.
 
-    Quoted cells may hold line breaks and doubled quotes.
+    Quoted cells may hold doubled quotes, and line breaks with ``line_breaks``: then a file cannot be
+    cut and is read by one task. Blanks around a text are its own; empty text is not null.
     """
     return (
         spark.read.schema(schema)
-        .option("header", True).option("multiLine", True).option("escape", '"')
+        .options(header=True, multiLine=line_breaks, escape='"', nullValue=null_mark, emptyValue="",
+                 ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(path)
     )
 
 
-def write_csv(df: DataFrame, path: str, separator: str = ", ") -> None:
-    """CSV with a header; arrays become joined text."""
-    flatten_arrays(df, separator).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, separator: str = ", ", null_item: str = "null", null_mark: str = NULL_MARK) -> None:
+    """CSV with a header; arrays become joined text, their null items ``null_item``, nulls ``null_mark``."""
+    flatten_arrays(df, separator, null_item).write.mode("overwrite").options(
+        header=True, escape='"', nullValue=null_mark, emptyValue='""',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
-def flatten_arrays(df: DataFrame, separator: str = ", ") -> DataFrame:
-    """Array columns as joined text, the others unchanged."""
+def flatten_arrays(df: DataFrame, separator: str = ", ", null_item: str = "null") -> DataFrame:
+    """Array columns as joined text, null items shown as ``null_item``; the others unchanged."""
     return df.select(*[
-        F.array_join(quoted(f.name).cast("array<string>"), separator).alias(f.name)
+        lists.to_text(quoted(f.name).cast("array<string>"), separator, null_item).alias(f.name)
         if isinstance(f.dataType, T.ArrayType) else quoted(f.name)
         for f in df.schema.fields
     ])
@@ -71,12 +78,19 @@ def land(df: DataFrame, root: str, source: str) -> str:
 
 
 def land_with_report(df: DataFrame, root: str, source: str, is_bad: Column) -> DataFrame:
-    """Land a source and return its run record; counted while the rows are written."""
+    """Land a source and return its run record; counted while the rows are written.
+
+    A landing that fails leaves a record too: its reason is the error's name, its counts are null.
+    """
     watch = Observation(f"landing {source}")
     observed = df.observe(watch, F.count(F.lit(1)).alias("items"), F.count_if(is_bad).alias("errors"))
     started, clock, reason = datetime.now(timezone.utc), time.monotonic(), "finished"
-    land(observed, root, source)
-    seen = watch.get
+    seen: dict = {"items": None, "errors": None}
+    try:
+        land(observed, root, source)
+        seen = watch.get
+    except Exception as error:  # whatever stops a landing is what the record is for
+        reason = f"failed: {type(error).__name__}"
     row = (source, started, time.monotonic() - clock, seen["items"], seen["errors"], reason)
     return df.sparkSession.createDataFrame([row], RUN_SCHEMA)
 
@@ -101,13 +115,15 @@ def inventory(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
 def infer_types(df: DataFrame) -> DataFrame:
     """Give landed text columns the narrowest type that reads all their values.
 
-    Tried in order: whole number, number, boolean, date, timestamp. One pass counts the
-    values each type can read; a column without values stays text.
+    Tried in order: whole number, long whole number, number, boolean, date, timestamp. One
+    pass counts the values each type can read; a column without values stays text, as do
+    codes with leading zeros and whole numbers that no type holds exactly.
     """
     # Candidate types and the shape a value must have for each.
     candidates = {
         "bigint": r"^[+-]?(0|[1-9]\d*)$",
-        "double": r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$",
+        "decimal(38,0)": r"^[+-]?(0|[1-9]\d*)$",
+        "double": r"^[+-]?((0|[1-9]\d*)\.\d*|\.\d+|(0|[1-9]\d{0,14})|(0|[1-9]\d*)(\.\d*)?[eE][+-]?\d+|\.\d+[eE][+-]?\d+)$",
         "boolean": r"^(true|false|True|False)$",
         "date": r"^\d{4}-\d{2}-\d{2}$",
         "timestamp_ntz": r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from trialweave.functions import lists, text
 from trialweave.functions.values import keyword_flag, split_ratio, yes_no
 from trialweave.operators.columns import learn_names
+from trialweave.session import stage
 
 # One element per table row: is it a header, and per cell its own text nodes, all text
 # nodes, and the text nodes that are direct children of cells of a nested table.
@@ -33,32 +35,70 @@ def meta_values(html: Column, attribute: str) -> Column:
 
 
 def label_values(html: Column, label_tag: str, value_tag: str) -> Column:
-    """Labels zipped with values in page order; the longer list is cut to the shorter.
+    """Map of labels to the values that directly follow them; markup inside either is cut.
 
-    Labels are trimmed; of a repeated label the last value counts.
+    A label without a value of its own is left out, so the pairs after it stay right. Texts
+    are trimmed; of a repeated label the last value counts.
     """
-    labels = F.transform(tag_texts(html, label_tag), text.strip)
-    values = F.transform(tag_texts(html, value_tag), text.strip)
-    zipped = F.arrays_zip(labels.alias("key"), values.alias("value"))
-    return lists.pairs_to_map(F.slice(zipped, 1, F.least(F.size(labels), F.size(values))))
+    inside = rf"((?:(?!</?(?:{label_tag}|{value_tag})\b).)*)"
+    pair = rf"(?is)<{label_tag}(?:\s[^>]*)?>{inside}(?:</{label_tag}>)?\s*<{value_tag}(?:\s[^>]*)?>{inside}"
+
+    def side(group: int) -> Column:
+        found = F.regexp_extract_all(html, F.lit(pair), F.lit(group))
+        return F.transform(found, lambda c: text.strip(F.regexp_replace(F.regexp_replace(c, r"<[^>]*>", ""), r"\s+", " ")))
+
+    return lists.pairs_to_map(F.arrays_zip(side(1).alias("key"), side(2).alias("value")))
+
+
+def decoded(c: Column) -> Column:
+    """The character references that occur in addresses as characters."""
+    for name, mark in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("#39", "'"), ("#x27", "'"), ("amp", "&")):
+        c = F.replace(c, F.lit(f"&{name};"), F.lit(mark))
+    return c
+
+
+_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+
+def hrefs(html: Column) -> Column:
+    """Addresses of all links in page order, in double, single or no quotes, decoded and trimmed."""
+    double, single, bare = [F.regexp_extract_all(html, F.lit(_HREF), F.lit(i)) for i in (1, 2, 3)]
+    either = F.transform(F.arrays_zip(double.alias("d"), single.alias("s"), bare.alias("b")), lambda x: F.concat(x["d"], x["s"], x["b"]))
+    return F.transform(either, lambda c: text.strip(decoded(c)))
 
 
 def links(df: DataFrame, html: str, url: str, out: str = "link") -> DataFrame:
     """All links of a page with their place, made absolute against the page address."""
-    found = F.regexp_extract_all(F.col(html), F.lit(r'(?i)<a\s[^>]*href="([^"]*)"'), F.lit(1))
-    listed = df.select("*", F.posexplode(found).alias("place", "href"))
+    listed = df.select("*", F.posexplode(hrefs(F.col(html))).alias("place", "href"))
     return listed.withColumn(out, absolute(F.col("href"), F.col(url))).drop("href", html)
 
 
+def without_dots(address: Column) -> Column:
+    """Resolve . and .. in the path of an absolute address; .. never leaves the site."""
+    site = F.regexp_extract(address, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(address, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    rest = F.regexp_extract(address, r"^[^?#]*(.*)$", 1)
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.when(F.size(done) > 1, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(done)
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+
+    # A path that ends in a dot segment names a folder.
+    marked = F.regexp_replace(path, r"/(\.\.?)$", "/$1/")
+    resolved = F.array_join(F.aggregate(F.split(marked, "/"), F.array().cast("array<string>"), step), "/")
+    dotted = (site != "") & path.rlike(r"/\.\.?(/|$)")
+    return F.when(dotted, F.concat(site, resolved, rest)).otherwise(address)
+
+
 def absolute(href: Column, base: Column) -> Column:
-    """Relative to absolute: full, protocol-relative, rooted, query, fragment and plain links."""
+    """Relative to absolute: full, protocol-relative, rooted, query, fragment and plain links, dot segments resolved."""
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     site = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     page = F.regexp_extract(base, r"^([^?#]*)", 1)
     folder = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*[^?#]*/)", 1)
     # A bare host such as http://h has no folder of its own: its root is meant.
     folder = F.when(F.length(folder) > F.length(site), folder).otherwise(F.concat(site, F.lit("/")))
-    return (
+    return without_dots(
         F.when(href == "", base)
         .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
@@ -71,88 +111,96 @@ def absolute(href: Column, base: Column) -> Column:
 
 def next_page(html: Column, marker: str) -> Column:
     """Address of the first link whose text holds the marker, else null."""
-    found = F.regexp_extract(html, r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(?:(?!</a>).)*?\Q' + marker + r"\E", 1)
-    return F.nullif(found, F.lit(""))
-
-
-class _Rows(HTMLParser):
-    """Collects table rows; nested tables also report to the cell around them."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.rows: list[dict] = []
-        self.open: list[dict] = []  # open rows, innermost last
-        self.path: list[str] = []
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "tr":
-            self._close("tr", until="table")
-            row = {"header": False, "cells": [], "in_cell": False}
-            self.rows.append(row)
-            self.open.append(row)
-        elif tag in ("td", "th") and self.open:
-            self._close(tag, until="tr")
-            row = self.open[-1]
-            row["header"] = row["header"] or tag == "th"
-            row["cells"].append({"own": [], "all": [], "nested": []})
-            row["in_cell"] = True
-        if tag not in ("br", "img", "input", "hr", "meta", "link"):
-            self.path.append(tag)
-
-    def _close(self, tag: str, until: str):
-        """End an element that was left open before its next sibling."""
-        for i in range(len(self.path) - 1, -1, -1):
-            if self.path[i] == until:
-                return
-            if self.path[i] == tag:
-                self.handle_endtag(tag)
-                return
+    pattern = _HREF + r"[^>]*>(?:(?!</a>).)*?" + re.escape(marker)
+    found = F.concat(*[F.regexp_extract(html, pattern, i) for i in (1, 2, 3)])
+    return F.nullif(text.strip(decoded(found)), F.lit(""))
 
-    def handle_endtag(self, tag):
-        if tag not in self.path:
-            return
-        while self.path:
-            closed = self.path.pop()
-            if closed == "tr" and self.open:
-                self.open.pop()
-            elif closed in ("td", "th") and self.open:
-                self.open[-1]["in_cell"] = False
-            if closed == tag:
-                return
 
-    def handle_data(self, data):
-        if not data.strip():
-            return
-        direct = bool(self.path) and self.path[-1] in ("td", "th")
-        holders = [row["cells"][-1] for row in self.open if row["in_cell"]]
-        for depth, cell in enumerate(reversed(holders)):
-            cell["all"].append(data)
-            if direct and depth == 0:
-                cell["own"].append(data)
-            elif direct:
-                cell["nested"].append(data)
+def table_rows(pages: str) -> Column:
+    """Rows of all tables of a page; nesting is beyond what a pattern can follow.
 
+    The parser is made here, so that it travels to the workers by value.
+    """
+    class _Rows(HTMLParser):
+        """Collects table rows; nested tables also report to the cell around them."""
+
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.rows: list[dict] = []
+            self.open: list[dict] = []  # open rows, innermost last
+            self.path: list[str] = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "tr":
+                self._close("tr", until="table")
+                row = {"header": False, "cells": [], "in_cell": False}
+                self.rows.append(row)
+                self.open.append(row)
+            elif tag in ("td", "th") and self.open:
+                self._close(tag, until="tr")
+                row = self.open[-1]
+                row["header"] = row["header"] or tag == "th"
+                row["cells"].append({"own": [], "all": [], "nested": []})
+                row["in_cell"] = True
+            if tag not in ("br", "img", "input", "hr", "meta", "link"):
+                self.path.append(tag)
+
+        def _close(self, tag: str, until: str):
+            """End an element that was left open before its next sibling."""
+            for i in range(len(self.path) - 1, -1, -1):
+                if self.path[i] == until:
+                    return
+                if self.path[i] == tag:
+                    self.handle_endtag(tag)
+                    return
+
+        def handle_endtag(self, tag):
+            if tag not in self.path:
+                return
+            while self.path:
+                closed = self.path.pop()
+                if closed == "tr" and self.open:
+                    self.open.pop()
+                elif closed in ("td", "th") and self.open:
+                    self.open[-1]["in_cell"] = False
+                if closed == tag:
+                    return
+
+        def handle_data(self, data):
+            if not data.strip():
+                return
+            direct = bool(self.path) and self.path[-1] in ("td", "th")
+            holders = [row["cells"][-1] for row in self.open if row["in_cell"]]
+            for depth, cell in enumerate(reversed(holders)):
+                cell["all"].append(data)
+                if direct and depth == 0:
+                    cell["own"].append(data)
+                elif direct:
+                    cell["nested"].append(data)
 
-def _parse_rows(page: str | None) -> list[dict]:
-    parser = _Rows()
-    parser.feed(page or "")
-    parser.close()
-    return [{"header": r["header"], "cells": r["cells"]} for r in parser.rows]
+    @F.pandas_udf(TABLE_ROWS)
+    def parse(column: pd.Series) -> pd.Series:
+        def rows(page):
+            parser = _Rows()
+            parser.feed(page or "")
+            parser.close()
+            return [{"header": r["header"], "cells": r["cells"]} for r in parser.rows]
 
+        return column.map(rows)
 
-@F.pandas_udf(TABLE_ROWS)
-def table_rows(pages: pd.Series) -> pd.Series:
-    """Rows of all tables of a page; nesting is beyond what a pattern can follow."""
-    return pages.map(_parse_rows)
+    return parse(pages)
 
 
-def older_register(df: DataFrame, html: str, url: str, age_labels: list[str] | None = None) -> DataFrame:
+def older_register(df: DataFrame, html: str, url: str, age_labels: list[str] | None = None, limit: int = 5000) -> DataFrame:
     """Records of the older EU register from its detail pages.
 
     A page row has a section code, a label and a value. ``age_labels`` name the columns
-    ``Age_<label>``; without them one job learns the labels.
+    ``Age_<label>``; without them one job learns the labels, up to ``limit``, from the
+    parsed rows, which are staged so that no page is parsed twice.
     """
     rows = df.select(F.col(url).alias("url"), table_rows(html).alias("rows"))
+    if age_labels is None:
+        rows = stage(rows, "page-rows")
 
     def cell_text(row: Column, i: int, part: str) -> Column:
         return F.get(row["cells"], F.lit(i))[part]
@@ -188,7 +236,7 @@ def older_register(df: DataFrame, html: str, url: str, age_labels: list[str] | N
 
     ages = labelled("F.1.")
     if age_labels is None:
-        age_labels = learn_names(rows, F.map_keys(ages))
+        age_labels = learn_names(rows, F.map_keys(ages), limit)
     # Section codes and labels of the register's page.
     return rows.select(
         text.strip(F.array_join(nested("A.3"), "\n")).alias("title"),

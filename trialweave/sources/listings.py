@@ -75,7 +75,8 @@ def newer_register(pages: DataFrame, page_body: str, details: DataFrame, detail_
     def criteria(name: str) -> Column:
         return F.when(F.size(name) > 0, F.to_json(F.transform(name, lambda x: F.coalesce(x, F.lit("")))))
 
-    return listed.join(detail, listed["ctNumber"] == detail["number"]).select(
+    # A listed trial whose document is missing or unreadable stays, with what the listing says.
+    return listed.join(detail, listed["ctNumber"] == detail["number"], "left").select(
         F.col("ctTitle").alias("title"),
         F.col("ctNumber").alias("eudract_nr"),
         "trial_phase",
