@@ -33,6 +33,8 @@ WEAK_BITS = 6
 # within the other for more; between them the shingles decide.
 FAR_BITS = 150
 SURE_BITS = 76
+# Below so many shingles the bits are too coarse for either bound.
+FEW_SHINGLES = 40
 
 
 def shingle_hasher(width: int):
@@ -145,7 +147,7 @@ def fingerprint_classes(docs: DataFrame, width: int = 3, key: str = "doc_id", te
 
 
 def near_signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per document ``fps`` (lanes of 64 bits), ``n`` shingles, ``digest`` of its words, and per segment of the fingerprint its
+    """Per document ``fps`` (lanes of 64 bits) over its ``n`` distinct shingles, ``digest`` of its words, and per segment of the fingerprint its
     ``bits`` and the ``weak`` places in it, those with the narrowest majority: they are the ones that flip."""
     short_batches(docs.sparkSession)
 
@@ -161,7 +163,7 @@ def near_signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
         for pdf in batches:
             out = []
             for t in pdf["text"]:
-                h = hashes(t)
+                h = np.unique(hashes(t))
                 c = counts(h) * 2 - len(h)
                 bits = c > 0
                 value = (bits[:used].reshape(segments, SEGMENT_BITS) * place).sum(axis=1, dtype=np.int32)
@@ -195,11 +197,13 @@ def shingle_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
 def similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """The pairs (a, b) whose shingle sets are similar. Fingerprints settle those far apart and those all but equal."""
     def side(name: str) -> DataFrame:
-        return nodes.select(F.col("node").alias(name), F.col("fps").alias(f"f{name}"))
+        return nodes.select(F.col("node").alias(name), F.col("fps").alias(f"f{name}"), F.col("n").alias(f"n{name}"))
 
     far = F.expr(" + ".join(f"bit_count(fa[{i}] ^ fb[{i}])" for i in range(NEAR_LANES)))
-    near = stage(pairs.join(side("a"), "a").join(side("b"), "b").withColumn("bits", far).where(F.col("bits") <= FAR_BITS).select("a", "b", "bits"), "near-pairs")
-    open_ = near.where(F.col("bits") > SURE_BITS).select("a", "b")
+    few = F.least("na", "nb") < FEW_SHINGLES
+    compared = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("na", "nb") >= NEAR_SIMILARITY * F.greatest("na", "nb")).withColumn("bits", far)
+    near = stage(compared.where(few | (F.col("bits") <= FAR_BITS)).select("a", "b", (~few & (F.col("bits") <= SURE_BITS)).alias("sure")), "near-pairs")
+    open_ = near.where("NOT sure").select("a", "b")
     wanted = stage(open_.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "open-nodes")
     texts = docs.join(wanted, docs[key] == wanted["w"], "left_semi")
     sets = stage(shingle_sets(texts, key, text).dropDuplicates(["node"]), "shingle-sets")
@@ -207,7 +211,7 @@ def similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str,
         sets.select(F.col("node").alias("b"), F.col("sh").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     alike = both.where(common >= NEAR_SIMILARITY * (F.size("sa") + F.size("sb") - common)).select("a", "b")
-    return near.where(F.col("bits") <= SURE_BITS).select("a", "b").unionByName(alike)
+    return near.where("sure").select("a", "b").unionByName(alike)
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -239,7 +243,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     a = small.select("k", *[F.col(x).alias(f"{x}a") for x in ("n", "lane", "node", "c")])
     b = small.select("k", *[F.col(x).alias(f"{x}b") for x in ("n", "lane", "node", "c")])
     apart = (F.col("nodea") < F.col("nodeb")) & (F.col("ca") != F.col("cb"))
-    likely = (F.bit_count(F.col("lanea").bitwiseXOR(F.col("laneb"))) <= 24) & (F.least("na", "nb") >= NEAR_SIMILARITY * 0.8 * F.greatest("na", "nb"))
+    likely = (F.bit_count(F.col("lanea").bitwiseXOR(F.col("laneb"))) <= 28) & (F.least("na", "nb") >= NEAR_SIMILARITY * F.greatest("na", "nb"))
     more = a.join(b, "k").where(apart & likely).select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct()
     all_ = edges.unionByName(similar_pairs(more, nodes, docs, key, text))
     linked = stage(components(all_), "near-classes")
