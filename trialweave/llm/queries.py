@@ -39,8 +39,8 @@ def op1_sharding(spark, folder):
 
 
 @query("""
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i]))::BIGINT AS score
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""")
@@ -49,7 +49,37 @@ def op2_topk(spark, folder):
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
-@query()
+def url_sql() -> str:
+    """The URL filter in SQL: rules, then level by level the branches kept, then the purity of templates."""
+    ordered = sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [(kind, h + p, f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')") for kind, h, p in ordered]
+    names = " ".join(f"WHEN {c} THEN '{n}'" for _, n, c in fits)
+    kinds = " ".join(f"WHEN {c} THEN '{k}'" for k, _, c in fits)
+    steps = [f"""a0 AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+a1 AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM a0),
+a2 AS (SELECT *, CASE {names} END AS rule, CASE {kinds} END AS ruled, list_filter(string_split(path, '/'), lambda x: x <> '') AS parts FROM a1),
+r0 AS (SELECT *, {", ".join(f"coalesce(regexp_replace(parts[{i}], '[0-9]+', '#', 'g'), '') AS s{i}" for i in (1, 2, 3))} FROM a2)"""]
+    above = ["host"]
+    for i in (1, 2, 3):
+        up = ", ".join(above)
+        steps.append(f"""b{i} AS (SELECT {up}, s{i}, count(ruled) AS lab, count(*) FILTER (ruled = 'block') AS blk FROM r{i - 1} GROUP BY {up}, s{i}),
+k{i} AS (SELECT {up}, s{i} FROM (SELECT *, (sum(blk) OVER (PARTITION BY {up}) + 1) / (sum(lab) OVER (PARTITION BY {up}) + 2) AS p FROM b{i})
+  WHERE s{i} <> '' AND NOT contains(s{i}, '#') AND abs(blk - lab * p) > 1 + {urls.Z} * sqrt(lab * p * (1 - p))),
+r{i} AS (SELECT r.*, CASE WHEN k.host IS NOT NULL THEN r.s{i} WHEN r.s{i} = '' THEN '' ELSE '*' END AS t{i} FROM r{i - 1} r
+  LEFT JOIN k{i} k ON {" AND ".join(f"r.{c} = k.{c}" for c in [*above, f"s{i}"])})""")
+        above.append(f"t{i}")
+    up = ", ".join(above)
+    steps.append(f"""p AS (SELECT *, (sum(lab) OVER (PARTITION BY host) + {urls.STRENGTH}) AS hl, (sum(blk) OVER (PARTITION BY host) + {urls.STRENGTH * urls.PRIOR}) AS hb
+  FROM (SELECT {up}, count(ruled) AS lab, count(*) FILTER (ruled = 'block') AS blk FROM r3 GROUP BY {up})),
+q AS (SELECT {up}, round((blk + {urls.STRENGTH} * (hb / hl)) / (lab + {urls.STRENGTH}), 9) AS purity FROM p)""")
+    shape = " || ".join(f"CASE WHEN t{i} = '' THEN '' ELSE '/' || t{i} END" for i in (1, 2, 3))
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN purity > {urls.THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict, {shape} AS template, purity
+FROM r3 JOIN q USING ({up})"""
+
+
+@query(url_sql())
 def op3_urls(spark, folder):
     return urls.judge(table(spark, folder, "pages"), URL_RULES)
 
