@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from query_book import day, query
 from query_book.raw import EU, PROGRAMMES, REGISTRY, ctes
 from trialweave.functions import text
+from trialweave.operators import ordering
 from trialweave.functions.values import to_day
-from trialweave.plans import eu, merge, registry, reports, shortlist as short, two_sources
+from trialweave.plans import eu, merge, registry, reports, search, shortlist as short, two_sources
+from trialweave.sources import files
 from trialweave.sources.html import programme_fields
 
 COUNTRY = "NATION_3"
@@ -230,6 +232,12 @@ def registry_extract(t):
     return shown(extract(t), EXTRACT_PLAIN, EXTRACT_DAYS, EXTRACT_LISTS)
 
 
+@query(f"WITH {EXTRACT} SELECT {shown_sql(EXTRACT_PLAIN, EXTRACT_DAYS, EXTRACT_LISTS)} FROM wide")
+def registry_extract_one_row(t):
+    """Every study has one row in each table here, so one row per study is all of them."""
+    return shown(extract(t, one_row=True), EXTRACT_PLAIN, EXTRACT_DAYS, EXTRACT_LISTS)
+
+
 @query(f"""
 WITH {HARMONISED} SELECT eudract_nr, title, sponsor AS "Sponsor", sponsor_type AS "Sponsor_type", status, nr_enrolled,
   strftime(start_date, '%Y-%m-%d') AS start_date, strftime(end_date, '%Y-%m-%d') AS end_date, minor AS "Age_0_17_years",
@@ -331,6 +339,44 @@ def enrolment_by_year(t):
     return reports.enrolment_by_year(merged(t))
 
 
+CHOSEN = """chosen AS (SELECT * FROM merged WHERE lower(study_type) IN ('interventional') AND len(list_intersect(therapeutic_area, ['asthma', 'red bolt'])) > 0
+  AND len(list_filter(interventions, lambda x: lower(x) IN ('drug 1', 'drug 2', 'drug 3', 'drug 4', 'drug 5', 'drug 6', 'drug 7'))) > 0)"""
+
+
+def chosen(t) -> DataFrame:
+    return reports.filter_studies(merged(t), ["Interventional"], ["Asthma ", "red bolt"], [f"Drug {i}" for i in range(1, 8)])
+
+
+@query(f"WITH {MERGED}, {CHOSEN} " + OVERVIEW.replace("FROM merged", "FROM chosen"))
+def overview_filtered(t):
+    return reports.overview(chosen(t))
+
+
+@query(f"WITH {MERGED} " + OVERVIEW.replace(" ORDER BY total DESC, label LIMIT 30", "").replace(" ORDER BY total DESC, label LIMIT 10", ""))
+def overview_whole(t):
+    """All labels of every section."""
+    return reports.overview(merged(t), sizes=None)
+
+
+@query(f"""
+WITH {MERGED} SELECT title, strftime(start_date, '%Y-%m-%d') AS start_date, source_dataset, array_to_string(therapeutic_area, ', ') AS therapeutic_area,
+  enrollment FROM merged""")
+def overview_export(t):
+    path = t.scratch("overview")
+    files.write_csv(reports.export_table(merged(t), "eudract_nr", "nct_id"), path)
+    return files.read_csv(t.spark, path, "title string, start_date string, source_dataset string, therapeutic_area string, enrollment double")
+
+
+@query(f"""
+WITH {MERGED} SELECT title, strftime(start_date, '%Y-%m-%d') AS start_date, array_to_string(therapeutic_area, ', ') AS therapeutic_area,
+  array_to_string(interventions, ', ') AS interventions, study_type, status FROM merged WHERE "Gender_F" AND status ILIKE '%complet%'""")
+def search_export(t):
+    path = t.scratch("search")
+    found = search.faceted_search(merged(t), sex="Female", status="complet")
+    files.write_csv(search.details(found, "title"), path)
+    return files.read_csv(t.spark, path, "title string, start_date string, therapeutic_area string, interventions string, study_type string, status string")
+
+
 PROGRAMME_ROWS = f"""rows AS (SELECT *, try_strptime(data_decisao, '%d/%m/%Y') AS decided FROM ({PROGRAMMES.sql()}) WHERE decisao IS NOT NULL),
 active AS (SELECT * FROM rows WHERE decided IS NOT NULL AND cond_observ LIKE '%PAP ativo%')"""
 
@@ -345,6 +391,36 @@ def programme_report(t):
     return reports.programme_report(reports.filter_programmes(df, active=True))
 
 
+def dated_programmes(t) -> DataFrame:
+    return programmes(t).withColumn("data_decisao", to_day(F.col("data_decisao"), "dd/MM/yyyy"))
+
+
+@query(f"WITH {PROGRAMME_ROWS} SELECT count(*) FILTER (decisao = 'Deferido') / count(*) AS share FROM rows WHERE decided IS NOT NULL")
+def programme_share(t):
+    return reports.approved_share(reports.programme_report(reports.filter_programmes(dated_programmes(t))))
+
+
+@query(f"""
+WITH {PROGRAMME_ROWS}, y AS (SELECT max(year(decided)) AS top FROM rows)
+SELECT "Nome", decisao, year(decided)::INTEGER AS decided FROM rows, y WHERE year(decided) = top AND decisao IN ('Deferido', 'Indeferido')
+  AND cond_observ LIKE '%com custos%'""")
+def programme_filters(t):
+    df = dated_programmes(t)
+    last = df.agg(F.max(F.year("data_decisao"))).first()[0]
+    found = reports.filter_programmes(df, [last], ["Deferido", "Indeferido"], with_costs=True)
+    return found.select("Nome", "decisao", F.year("data_decisao").alias("decided"))
+
+
+@query(f"""
+WITH {PROGRAMME_ROWS} SELECT "Nome", "DCI", decisao, strftime(decided, '%Y-%m-%d') AS data_decisao, try_cast(string_split(n_doentes, '/')[1] AS DOUBLE) AS n_doentes,
+  cond_observ LIKE '%PAP ativo%' AS "PAP_act", CASE WHEN cond_observ LIKE '%com custos%' THEN true WHEN cond_observ LIKE '%sem custos%' THEN false END AS c_custos
+FROM (SELECT * REPLACE (coalesce(cond_observ, '') AS cond_observ) FROM rows) WHERE decided IS NOT NULL""")
+def programme_table(t):
+    path = t.scratch("programmes")
+    files.write_csv(reports.programme_table(reports.filter_programmes(dated_programmes(t)), "Nome"), path)
+    return files.read_csv(t.spark, path, "Nome string, DCI string, decisao string, data_decisao string, n_doentes double, PAP_act boolean, c_custos boolean")
+
+
 WORDS = ["the", "que", "und", "erin", "with", "para", "des"]
 
 
@@ -365,3 +441,17 @@ def shortlist(t):
         [("Title", F.col("title")), ("Language", F.col("lang")), ("Source", F.col("source"))],
         short.keyword_scorer(WORDS), size=100, proportion=0.5, cutoff=0.5)
     return best.withColumn("certainty", F.round("certainty", 9))
+
+
+@query("""
+WITH o AS (SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC NULLS LAST, doc_id) - 1 AS ordinal FROM documents)
+SELECT count(DISTINCT ordinal // 50) FILTER ((ordinal // 50) % 2 = 1) AS bad_answers FROM o""")
+def bad_answer_count(t):
+    """Every other chunk gets an answer without a list; counted from the rows of the one pass."""
+    def unreadable(batches):
+        for b in batches:
+            yield b[["chunk"]].assign(answer=["no list" if c % 2 else "```json\n[]\n```" for c in b["chunk"]])
+
+    chunks = ordering.chunk_rows(t.documents.select("doc_id", "n_chars"), [F.desc_nulls_last("n_chars"), F.col("doc_id")], 50)
+    contexts = ordering.chunk_context(chunks, text.labelled_line([("id", F.col("doc_id"))]), "Studies:")
+    return short.bad_answers(short.ask(contexts, unreadable))

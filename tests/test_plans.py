@@ -135,7 +135,7 @@ def test_shortlist_finds_the_best_over_all_chunks(spark):
         for b in batches:
             yield b[["chunk"]].assign(answer=["no list" if c else "```json\n[]\n```" for c in b["chunk"]])
     contexts = spark.createDataFrame([(0, "x"), (1, "y")], "chunk long, context string")
-    assert short.bad_answers(contexts, broken).first()["bad_answers"] == 1
+    assert short.bad_answers(short.ask(contexts, broken)).first()["bad_answers"] == 1
 
 
 def test_every_query_has_sql_and_none_pairs_rows_without_a_key(spark):

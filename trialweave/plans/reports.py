@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from trialweave.functions.values import holds, to_number
 from trialweave.operators import aggregates
+from trialweave.operators.columns import select_available
 from trialweave.operators.filters import (
     any_item_equals, any_known, flag_choice, is_in, is_in_ignoring_case, matches, where_all,
 )
+from trialweave.sources import files
 
 _ENTRY = "array<struct<section:string,label:string,weight:double>>"
 
@@ -60,10 +62,18 @@ def filter_studies(df: DataFrame, study_types: Sequence[str] = (), areas: Sequen
     ])
 
 
-def overview(studies: DataFrame, recruiting: str = "Recruiting", strict_case: bool = False) -> DataFrame:
+# Sizes of the published charts, and columns of the published tables.
+CHART_SIZES = {"area": 30, "sponsor type": 10, "keyword": 10}
+PROGRAMME_CHART_SIZES = {"substance": 10}
+EXPORTED = ["title", "start_date", "source_dataset", "therapeutic_area", "enrollment"]
+PROGRAMME_COLUMNS = ["Nome", "DCI", "decisao", "data_decisao", "n_doentes", "PAP_act", "c_custos"]
+
+
+def overview(studies: DataFrame, recruiting: str = "Recruiting", strict_case: bool = False,
+             sizes: Mapping[str, int] | None = CHART_SIZES) -> DataFrame:
     """KPIs, trend and distributions as (section, label, total).
 
-    Areas keep their 30, sponsor types and keywords their 10 most frequent labels.
+    Sections named in ``sizes`` keep that many of their most frequent labels; ``None`` keeps all.
     """
     have = set(studies.columns)
     status = F.col("status").contains(recruiting) if strict_case else matches(F.col("status"), recruiting, literal=True)
@@ -90,8 +100,13 @@ def overview(studies: DataFrame, recruiting: str = "Recruiting", strict_case: bo
         "study type": "study_type", "intervention model": "intervention_model"}.items() if c in have]
     lists = {s: F.col(c) for s, c in {"area": "therapeutic_area", "keyword": "keywords"}.items() if c in have}
     totals = add_up(studies, entries, lists)
-    return aggregates.top_per_section(totals, "section", "total", "label",
-                                      {"area": 30, "sponsor type": 10, "keyword": 10})
+    return aggregates.top_per_section(totals, "section", "total", "label", sizes) if sizes else totals
+
+
+def export_table(studies: DataFrame, *ties: str) -> DataFrame:
+    """The table of studies for download: the columns there are, lists as text, latest start first."""
+    ordered = studies.orderBy(F.desc_nulls_last("start_date"), *ties) if "start_date" in studies.columns else studies
+    return files.flatten_arrays(select_available(ordered, EXPORTED))
 
 
 def enrolment_by_year(studies: DataFrame) -> DataFrame:
@@ -117,8 +132,14 @@ def filter_programmes(programmes: DataFrame, years: Sequence[int] | None = None,
     ])
 
 
-def programme_report(programmes: DataFrame, approved: str = "Deferido") -> DataFrame:
-    """KPIs, decisions, years and the ten most frequent substances.
+def programme_table(programmes: DataFrame, *ties: str) -> DataFrame:
+    """The table of programmes, latest decision first."""
+    return select_available(programmes.orderBy(F.desc_nulls_last("data_decisao"), *ties), PROGRAMME_COLUMNS)
+
+
+def programme_report(programmes: DataFrame, approved: str = "Deferido",
+                     sizes: Mapping[str, int] | None = PROGRAMME_CHART_SIZES) -> DataFrame:
+    """KPIs, decisions, years and the most frequent substances, all of them without ``sizes``.
 
     The share approved is given by two totals, the decisions known and those approved.
     """
@@ -132,7 +153,7 @@ def programme_report(programmes: DataFrame, approved: str = "Deferido") -> DataF
         _entry("decision", F.col("decisao")),
         _entry("substance", F.col("DCI")),
     ])
-    return aggregates.top_per_section(totals, "section", "total", "label", {"substance": 10})
+    return aggregates.top_per_section(totals, "section", "total", "label", sizes) if sizes else totals
 
 
 def approved_share(report: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from trialweave.functions import text
@@ -47,19 +47,24 @@ def keyword_scorer(words: Sequence[str]) -> Scorer:
 
 
 def ask(contexts: DataFrame, scorer: Scorer) -> DataFrame:
-    """Answers of the scorer as rows; chunks with a bad answer give a row without index."""
+    """Answers of the scorer as rows; a chunk without rows gives one without index, ``bad`` if its answer is unreadable."""
     answers = contexts.select("chunk", "context").mapInPandas(scorer, ANSWER_SCHEMA)
-    return answers.select("chunk", F.inline_outer(scored_rows(F.col("answer"))))
+    rows = answers.select("chunk", scored_rows(F.col("answer")).alias("rows"))
+    return rows.select("chunk", F.col("rows").isNull().alias("bad"), F.inline_outer("rows"))
 
 
-def bad_answers(contexts: DataFrame, scorer: Scorer) -> DataFrame:
-    """Number of answers without a readable list."""
-    answers = contexts.select("chunk", "context").mapInPandas(scorer, ANSWER_SCHEMA)
-    return answers.agg(F.count_if(scored_rows(F.col("answer")).isNull()).alias("bad_answers"))
+def bad_answers(asked: DataFrame) -> DataFrame:
+    """Number of chunks whose answer was unreadable, from the rows of :func:`ask`; the scorer is not asked again."""
+    return asked.agg(F.count_if("bad").alias("bad_answers"))
+
+
+def watched(asked: DataFrame, watch: Observation | None) -> DataFrame:
+    """Counts unreadable answers as ``bad_answers`` of ``watch`` while the rows pass."""
+    return asked.observe(watch, F.count_if("bad").alias("bad_answers")) if watch else asked
 
 
 def first_choice(studies: DataFrame, key: str, title: str, date: str | None, scorer: Scorer, size: int = 100,
-                 proportion: float = 1.0, kind: str = "recent", seed: int = 123) -> DataFrame:
+                 proportion: float = 1.0, kind: str = "recent", seed: int = 123, watch: Observation | None = None) -> DataFrame:
     """(database_index, certainty, chunk) from one scorer call per chunk of titles.
 
     Chunks follow the dates, latest first, or a seeded shuffle. All are asked about; a
@@ -68,7 +73,7 @@ def first_choice(studies: DataFrame, key: str, title: str, date: str | None, sco
     chunks = _chunked(studies, key, date, kind, seed, size, proportion)
     contexts = _contexts(chunks, studies, key, [("Title", F.col(title))],
                          "List of clinical trials to be filtered by context:")
-    found = ask(contexts, scorer).where("database_index IS NOT NULL")
+    found = watched(ask(contexts, scorer), watch).where("database_index IS NOT NULL")
     return found.select("database_index", "certainty", "chunk")
 
 
@@ -85,13 +90,14 @@ def final_context(chosen: DataFrame, studies: DataFrame, key: str, date: str | N
 
 def shortlist(studies: DataFrame, key: str, title: str, date: str | None, fields: Sequence[tuple[str, Column]],
               scorer: Scorer, final_scorer: Scorer | None = None, size: int = 100, proportion: float = 1.0,
-              cutoff: float = 0.5, kind: str = "recent", seed: int = 123, best: int = 5) -> DataFrame:
+              cutoff: float = 0.5, kind: str = "recent", seed: int = 123, best: int = 5,
+              watch: Observation | None = None) -> DataFrame:
     """The ``best`` studies for a question as (database_index, certainty, Title).
 
     The chosen studies go to the final scorer in blocks as well, so their number has no
     bound; its best answers over all blocks are the result. ``key`` is unique.
     """
-    scored = first_choice(studies, key, title, date, scorer, size, proportion, kind, seed)
+    scored = first_choice(studies, key, title, date, scorer, size, proportion, kind, seed, watch)
     picked = scored.where(above(F.col("certainty"), cutoff)).select(F.col("database_index").alias(key))
     chosen = studies.select(*_order_columns(key, date)).join(picked, key, "left_semi")
     contexts = final_context(chosen, studies, key, date, fields, kind, seed, size)
