@@ -57,5 +57,5 @@ def joined(c: Column) -> Column:
 
 
 def load() -> None:
-    for name in ("sources", "values", "rows", "joining", "counting", "order", "reports"):
+    for name in ("sources", "values", "rows", "joining", "counting", "order", "reports", "crawled"):
         importlib.import_module(f"query_book.{name}")
