@@ -96,6 +96,8 @@ def test_jdbc_options():
     assert (parts["lowerBound"], parts["upperBound"], parts["numPartitions"]) == ("1", "9", "4")
     with pytest.raises(ValueError):
         jdbc.jdbc_options("jdbc:x", "t", "u", "p", "id")
+    assert jdbc.prefix_predicates("nct_id", ["NCT03", "NCT01"]) == [
+        "nct_id < 'NCT01' OR nct_id IS NULL", "nct_id >= 'NCT01' AND nct_id < 'NCT03'", "nct_id >= 'NCT03'"]
 
 
 def test_labels_stay_with_their_values_over_markup(values):

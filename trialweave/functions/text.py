@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -26,7 +27,7 @@ def has_word(c: Column, phrase: str) -> Column:
     """Whole-phrase test: ``Phase I`` is not found in ``Phase II``."""
     # The plain test comes first: it is cheap and rules most texts out. (?U) lets \b
     # follow Unicode letters.
-    return c.contains(phrase) & c.rlike(r"(?U)\b\Q" + phrase + r"\E\b")
+    return c.contains(phrase) & c.rlike(r"(?U)\b" + re.escape(phrase) + r"\b")
 
 
 # The headings that open the two parts of a criteria text.
@@ -36,6 +37,13 @@ _CRITERIA = {
 }
 
 
+# Line breaks, marks to delete, comparison signs, and where single criteria begin.
+_LINE_BREAK = r"\r\n|\r|\n"
+_MARKS = r"[*•\\]"
+_COMPARISONS = r"≥|≤|>=|<="
+_ITEM_START = rf"(?U);{SPACE_CLASS}*|\d+\.{SPACE_CLASS}+"
+
+
 def criteria(c: Column, kind: str = "inclusion") -> Column:
     """List of single criteria under one heading of a free text.
 
@@ -46,11 +54,11 @@ def criteria(c: Column, kind: str = "inclusion") -> Column:
         raise ValueError(f"kind must be one of {sorted(_CRITERIA)}")
     text = strip(c)
     body = F.regexp_extract(text, _CRITERIA[kind], 1)
-    body = F.regexp_replace(strip(body), r"\r\n?|\n", "; ")
-    body = F.regexp_replace(body, r"[*•\\]", "")
-    body = F.regexp_replace(body, r"[≥≤]|[<>]=", " ")
+    body = F.regexp_replace(strip(body), _LINE_BREAK, "; ")
+    body = F.regexp_replace(body, _MARKS, "")
+    body = F.regexp_replace(body, _COMPARISONS, " ")
     body = F.trim(F.regexp_replace(body, f"(?U){SPACE_CLASS}{{2,}}", " "), F.lit("; "))
-    items = F.transform(F.split(body, rf"(?U);{SPACE_CLASS}*|\d+\.{SPACE_CLASS}+"), strip)
+    items = F.transform(F.split(body, _ITEM_START), strip)
     items = F.filter(items, lambda item: item != "")
     nothing = F.array(F.lit(None).cast("string"))
     return F.when(c.isNotNull(), bind(items, lambda found: F.when(F.size(found) > 0, found).otherwise(nothing)))

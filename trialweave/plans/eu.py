@@ -22,10 +22,17 @@ DESIGN_FLAGS = {
     "trial_design_Placebo": "Placebo",
 }
 SCOPE_FLAGS = {
-    f"trial_scope_{name}": name
-    for name in ("Diagnosis", "Prophylaxis", "Therapy", "Safety", "Efficacy", "Pharmacokinetic",
-                 "Pharmacodynamic", "Bioequivalence", "Dose_response", "Pharmacogenetic",
-                 "Pharmacogenomic")
+    "trial_scope_Diagnosis": "Diagnosis",
+    "trial_scope_Prophylaxis": "Prophylaxis",
+    "trial_scope_Therapy": "Therapy",
+    "trial_scope_Safety": "Safety",
+    "trial_scope_Efficacy": "Efficacy",
+    "trial_scope_Pharmacokinetic": "Pharmacokinetic",
+    "trial_scope_Pharmacodynamic": "Pharmacodynamic",
+    "trial_scope_Bioequivalence": "Bioequivalence",
+    "trial_scope_Dose_response": "Dose_response",
+    "trial_scope_Pharmacogenetic": "Pharmacogenetic",
+    "trial_scope_Pharmacogenomic": "Pharmacogenomic",
 }
 PHASE_FLAGS = {
     "trial_phase_First_administration_to_humans": "First_administration_to_humans",
@@ -55,6 +62,7 @@ ADULT_COLUMN = "Age_Adults_(18-64_years)"
 ELDERLY_COLUMN = "Age_Elderly_(>=65_years)"
 NEW_AGES = {"Age_0_17_years": "0-17 years", "Age_18_64_years": "18-64 years", "Age_65p_years": "65+ years"}
 
+# Text columns of the registers.
 TEXT_COLUMNS = [
     "title", "eudract_nr", "nct_nr", "Protocol", "Sponsor", "Sponsor_type", "condition",
     "therapeutic_area", "inclusion_crt", "exclusion_crt", "nr_enrolled", "status", "url",
