@@ -22,7 +22,7 @@ FEATURES = 4096
 LEAST_ROWS = 4
 BEGINNINGS = (4, 5, 6, 7)
 PENALTY = 5.0
-SHRINK = 2e-4
+SHRINK = 1e-5
 TOXIC_FROM = 0.7
 
 # Neutral mentions of groups, by kind; terms of a kind are swapped for one another.
@@ -95,10 +95,11 @@ def feature_counts(rows: DataFrame) -> DataFrame:
 
 
 def telling_features(counts: DataFrame, other: int, toxic: int, most: int) -> list[str]:
-    """The features whose log odds differ most, in standard errors."""
+    """The features that speak most for toxicity, by log odds in standard errors. Those that speak against it are only
+    frequent elsewhere; they would let a long text outvote what it says."""
     t, n = F.col("toxic") + 0.5, F.col("other") + 0.5
     odds = F.log(t / (F.lit(toxic + 1.0) - t)) - F.log(n / (F.lit(other + 1.0) - n))
-    scored = counts.where(F.col("toxic") + F.col("other") >= LEAST_ROWS).withColumn("z", F.abs(odds) / F.sqrt(1 / t + 1 / n))
+    scored = counts.where(F.col("toxic") + F.col("other") >= LEAST_ROWS).withColumn("z", odds / F.sqrt(1 / t + 1 / n))
     return [r["feature"] for r in scored.where("z >= 2.5").orderBy(F.desc("z"), "feature").limit(most).select("feature").collect()]
 
 
@@ -143,7 +144,7 @@ def sparse_rows(rows: DataFrame, names: list[str]) -> list:
     return rows.mapInPandas(look_up, "label int, ids array<int>, swaps array<array<int>>").collect()
 
 
-def fit(rows: DataFrame, features: int = FEATURES, penalty: float = PENALTY, shrink: float = SHRINK, rounds: int = 400) -> Model:
+def fit(rows: DataFrame, features: int = FEATURES, penalty: float = PENALTY, shrink: float = SHRINK, rounds: int = 800) -> Model:
     """Fit on rows of text and label. With one class only, the score is that class's share, smoothed."""
     import numpy as np
 
@@ -163,13 +164,15 @@ def fit(rows: DataFrame, features: int = FEATURES, penalty: float = PENALTY, shr
     s_row = np.repeat(np.arange(len(swaps)), [len(s) for s in swaps]).astype(np.int64)
     s_col = np.array([f if f >= 0 else -1 - f for s in swaps for f in s], dtype=np.int64)
     s_sign = np.array([1.0 if f >= 0 else -1.0 for s in swaps for f in s])
-    w, b = np.zeros(len(names)), prior
+    # Either class weighs half, so that a single telling word can outweigh the rarity of toxic rows.
+    share = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    w, b = np.zeros(len(names)), 0.0
     # Adam over all sampled rows at once: deterministic.
     m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     for step in range(1, rounds + 1):
         z = np.bincount(row, w[col], len(data)) + b
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(data)
-        grad = np.bincount(col, error[row], len(names)) + 2 * shrink * w * 0.05
+        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
+        grad = np.bincount(col, error[row], len(names)) + 2 * shrink * w
         if swaps:
             change = np.bincount(s_row, s_sign * w[s_col], len(swaps))
             grad += 2 * penalty * np.bincount(s_col, s_sign * change[s_row], len(names)) / len(swaps)
