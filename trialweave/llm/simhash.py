@@ -11,7 +11,7 @@ matches with high probability, and candidates are verified by their shingles.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -24,6 +24,9 @@ HALF = 32
 # Variant groups up to this size are joined pair by pair.
 SMALL_GROUP = 24
 
+# Rounds in which each near copy is compared with one first member only, before all that is left is compared.
+LEADER_ROUNDS = 2
+
 NEAR_WIDTH = 5
 NEAR_SIMILARITY = 0.8
 NEAR_LANES = 12
@@ -214,14 +217,38 @@ def similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str,
     return near.where("sure").select("a", "b").unionByName(alike)
 
 
+def likely_pair(lane_a: str, lane_b: str, n_a: str, n_b: str) -> Column:
+    """What any similar pair meets: sizes within the similarity, and one lane's bits within five standard deviations."""
+    return (F.bit_count(F.col(lane_a).bitwiseXOR(F.col(lane_b))) <= 28) & (F.least(n_a, n_b) >= NEAR_SIMILARITY * F.greatest(n_a, n_b))
+
+
+def placed(shared: DataFrame, nodes: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """Variant rows with the node's number of shingles, first lane and the component ``c`` it is known to be in."""
+    known = nodes.select("node", "n", F.expr("fps[0]").alias("lane"))
+    known = known.withColumn("c", F.col("node")) if classes is None else known.join(classes, "node", "left").select(
+        "node", "n", "lane", F.coalesce("component", "node").alias("c"))
+    return shared.join(known, "node").select("k", "node", "n", "lane", "c")
+
+
+def leader_pairs(shared: DataFrame, nodes: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """(a, b): the first member of a variant's group and each likely other one it is not connected to yet; repeats included.
+
+    The first member comes to the others by a window, so no join ever meets a whole group with itself.
+    """
+    first = F.min(F.struct("node", "c", F.col("lane").alias("l"), F.col("n").alias("m"))).over(Window.partitionBy("k"))
+    rows = placed(shared, nodes, classes).withColumn("f", first).select("node", "n", "lane", "c", "f.l", "f.m", F.col("f.node").alias("a"), F.col("f.c").alias("d"))
+    return rows.where((F.col("c") != F.col("d")) & likely_pair("lane", "l", "n", "m")).select("a", F.col("node").alias("b"))
+
+
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document with a key: ``doc_id``, ``crc`` of its text and ``component_id``, the smallest key of its group.
 
     A group: documents whose sets of five-word shingles are at least 0.8 similar (Jaccard), chains included. Texts with equal words,
     letter case aside, are one node; texts without words are copies of each other. Of 768 bits the fingerprints of such
     a pair differ in 116 on average, too many for a guarantee by segments of a useful length: of the 34 segments of 22 bits one differs by at most
-    one weak bit with a probability of about 0.985 at similarity 0.8 and 0.999 at 0.85. First every member of a variant's
-    group is compared with the group's first member; then, in groups up to ``SMALL_GROUP``, with all those it is not connected to yet.
+    one weak bit with a probability of about 0.985 at similarity 0.8 and 0.999 at 0.85. A member of a variant's
+    group is compared with the group's first member, in a few rounds with the likeliest one only, then with all it is not connected to yet; in
+    groups up to ``SMALL_GROUP`` with all such members.
     Rows that share a key share a class. Null keys have no row; an empty table gives none; other columns are not read.
     """
     rows = stage(near_signatures(docs, key, text), "near-signatures")
@@ -232,20 +259,22 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     blank = F.expr("transform(concat(array(cast(-1 as tinyint)), weak[i]), p -> shiftleft(cast(i as bigint), 40) | shiftleft(cast(p + 1 as bigint), 32)"
                    " | (cast(v as bigint) & if(p < 0, -1L, ~shiftleft(1L, cast(p as int)))))")
     variants = segments.select("node", F.explode(blank).alias("k"))
-    by_key = Window.partitionBy("k")
-    grouped = variants.withColumns({"size": F.count("*").over(by_key), "first": F.min("node").over(by_key)}).where("size > 1")
-    shared = stage(grouped, "near-variants")
-    firsts = shared.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    edges = stage(similar_pairs(firsts, nodes, docs, key, text), "near-edges")
-    classes = components(edges)
-    known = nodes.join(classes, "node", "left").select("node", "n", F.expr("fps[0]").alias("lane"), F.coalesce("component", "node").alias("c"))
-    small = shared.where(F.col("size") <= SMALL_GROUP).join(known, "node").select("k", "n", "lane", "node", "c")
-    a = small.select("k", *[F.col(x).alias(f"{x}a") for x in ("n", "lane", "node", "c")])
-    b = small.select("k", *[F.col(x).alias(f"{x}b") for x in ("n", "lane", "node", "c")])
-    apart = (F.col("nodea") < F.col("nodeb")) & (F.col("ca") != F.col("cb"))
-    likely = (F.bit_count(F.col("lanea").bitwiseXOR(F.col("laneb"))) <= 28) & (F.least("na", "nb") >= NEAR_SIMILARITY * F.greatest("na", "nb"))
-    more = a.join(b, "k").where(apart & likely).select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct()
-    all_ = edges.unionByName(similar_pairs(more, nodes, docs, key, text))
+    shared = stage(in_groups(variants, "k").withColumnRenamed("n", "size"), "near-variants")
+    edges, classes = None, None
+    for _ in range(LEADER_ROUNDS):
+        # The first member with which a document shares the most variants: n pairs at most.
+        counted = leader_pairs(shared, nodes, classes).groupBy("b", "a").agg(F.count("*").alias("n"))
+        best = counted.groupBy("b").agg(F.max(F.struct("n", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+        found = stage(similar_pairs(best, nodes, docs, key, text), "near-edges")
+        edges = found if edges is None else edges.unionByName(found)
+        classes = stage(components(edges), "near-classes")
+    small = placed(shared.where(F.col("size") <= SMALL_GROUP), nodes, classes)
+    x = small.select("k", *[F.col(c).alias(f"{c}a") for c in ("n", "lane", "node", "c")])
+    y = small.select("k", *[F.col(c).alias(f"{c}b") for c in ("n", "lane", "node", "c")])
+    likely = likely_pair("lanea", "laneb", "na", "nb")
+    within = x.join(y, "k").where((F.col("nodea") < F.col("nodeb")) & (F.col("ca") != F.col("cb")) & likely).select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"))
+    rest = leader_pairs(shared, nodes, classes).select("a", "b").unionByName(within).distinct()
+    all_ = edges.unionByName(similar_pairs(rest, nodes, docs, key, text))
     linked = stage(components(all_), "near-classes")
     named = reps.join(linked, reps["rep"] == linked["node"], "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     return rows.join(named, "digest").select("doc_id", "crc", "component_id")
