@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from trialweave.llm.common import short_batches
 from trialweave.llm.urls import with_host_and_path
+from trialweave.session import stage
 
 # Paths of a host a page may follow, best first.
 PATHS_PER_HOST = 3
@@ -216,7 +217,8 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     """
     short_batches(pages.sparkSession)
     slim = with_host_and_path(pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html")), "url").drop("path")
-    best = host_paths(slim, paths)
+    # Written first, so that Spark knows its size and leaves the pages where they are while it is small.
+    best = stage(host_paths(slim, paths), "host-paths")
     joined = slim.join(best, "host", "left").select("page_id", "url", "html", "paths")
     kind = dict(slim.dtypes)["page_id"]
     return joined.mapInPandas(_texts, f"page_id {kind}, url string, text string, n_chars long")
