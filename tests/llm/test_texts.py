@@ -104,6 +104,32 @@ def test_near_copies_link_similar_texts_and_no_others(rows, docs, small, monkeyp
     assert got == {i: find(i) for i in sets}
 
 
+def test_pairs_of_a_template_family_unlike_its_leader_are_linked(spark):
+    """Some thousand rows of one template, each too unlike the others, hold pairs that are near copies."""
+    rng = random.Random(8)
+    base = prose(rng, 300, 10**6)
+
+    def variant(words, edits):
+        words = list(words)
+        for p in rng.sample(range(0, 300, 6), edits):
+            words[p] = f"own{rng.randrange(10**9)}"
+        return words
+
+    family = [variant(base, 12) for _ in range(2500)]
+    pairs = {1000 + i: 10000 + i for i in range(0, 1500, 30)}
+    texts = {i: " ".join(w) for i, w in enumerate(family)}
+    for i, (a, b) in enumerate(pairs.items()):
+        copy = family[a].copy()
+        for p in range(3, 3 + 6 * (1 + i % 3), 6):
+            copy[p] = f"copy{a}"
+        texts[b] = " ".join(copy)
+    sets = {i: shingle_set(t) for i, t in texts.items()}
+    assert all(len(sets[0] & sets[a]) < 0.8 * len(sets[0] | sets[a]) and len(sets[a] & sets[b]) >= 0.85 * len(sets[a] | sets[b]) for a, b in pairs.items())
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)).collect()}
+    linked = sum(got[a] == got[b] for a, b in pairs.items())
+    assert linked == len(pairs), linked
+
+
 def test_one_of_each_group_stays(rows, docs):
     kept = simhash.without_near_copies(docs)
     assert kept.columns == docs.columns

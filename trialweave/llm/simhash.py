@@ -38,6 +38,8 @@ FAR_BITS = 150
 SURE_BITS = 76
 # Below so many shingles the bits are too coarse for either bound.
 FEW_SHINGLES = 40
+# Frequent shingles whose counts order the shingles of crowded groups. Any order finds all pairs, so the bound costs time only.
+FREQUENT_SHINGLES = 200_000
 
 
 def shingle_hasher(width: int):
@@ -240,6 +242,61 @@ def leader_pairs(shared: DataFrame, nodes: DataFrame, classes: DataFrame | None)
     return rows.where((F.col("c") != F.col("d")) & likely_pair("lane", "l", "n", "m")).select("a", F.col("node").alias("b"))
 
 
+def rarest_shingles(sets: DataFrame) -> DataFrame:
+    """``node``, the size ``m`` of its shingle set and, for each of its rarest shingles, ``shingle`` and ``place`` among them.
+
+    All sets are ordered alike, by frequency and value. Two sets as similar as ``NEAR_SIMILARITY`` share one of the shingles given here.
+    """
+    counts = sets.select(F.explode("sh").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") > SMALL_GROUP)
+    frequent = sorted((r["shingle"], r["n"]) for r in counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT_SHINGLES).collect())
+    known, often = [s for s, _ in frequent], [n for _, n in frequent]
+
+    def run(batches):
+        import math
+
+        import numpy as np
+        import pandas as pd
+
+        values, weights = np.array(known, np.int64), np.array(often, np.int64)
+        for pdf in batches:
+            out = []
+            for sh in pdf["sh"]:
+                sh = np.asarray(sh, np.int64)
+                rank = np.zeros(len(sh), np.int64)
+                if len(values):
+                    at = np.minimum(np.searchsorted(values, sh), len(values) - 1)
+                    rank = np.where(values[at] == sh, weights[at], 0)
+                length = len(sh) - math.ceil(NEAR_SIMILARITY * len(sh) - 1e-6) + 1
+                out.append(sh[np.lexsort((sh, rank))[:length]])
+            yield pd.DataFrame({"node": pdf["node"], "m": np.array([len(sh) for sh in pdf["sh"]], np.int32), "rare": out})
+
+    kind = dict(sets.dtypes)["node"]
+    return sets.mapInPandas(run, f"node {kind}, m int, rare array<long>").select("node", "m", F.posexplode("rare").alias("place", "shingle"))
+
+
+def crowded_pairs(shared: DataFrame, nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(a, b): all pairs out of large variant groups that may be similar and are not connected yet.
+
+    Similar sets share a shingle among their rarest (prefix filter), which loses no pair, however large the groups are. Groups whose members are
+    connected already are done. Of a shingle's nodes those of its largest component are not paired among themselves.
+    """
+    group = Window.partitionBy("k")
+    open_ = placed(shared.where(F.col("size") > SMALL_GROUP), nodes, classes).withColumns({"low": F.min("c").over(group), "high": F.max("c").over(group)})
+    members = stage(open_.where("low <> high").select("node", "n", "lane", "c").distinct(), "crowded-nodes")
+    texts = docs.join(members.select("node"), docs[key] == members["node"], "left_semi")
+    sets = stage(shingle_sets(texts, key, text).dropDuplicates(["node"]), "crowded-sets")
+    rare = rarest_shingles(sets).join(members, "node")
+    sizes = rare.groupBy("shingle", "c").agg(F.count("*").alias("s"))
+    most = sizes.groupBy("shingle").agg(F.max(F.struct("s", "c")).alias("x"), F.sum("s").alias("all")).where(F.col("all") > F.col("x.s")).select("shingle", F.col("x.c").alias("main"))
+    rows = stage(rare.join(most, "shingle").select("shingle", "node", "m", "place", "lane", "c", (F.col("c") == F.col("main")).alias("main")), "rare-shingles")
+    x, y = (rows.select("shingle", *[F.col(c).alias(c + side) for c in ("node", "m", "place", "lane", "c", "main")]) for side in "ab")
+    common = F.ceil(NEAR_SIMILARITY / (1 + NEAR_SIMILARITY) * (F.col("ma") + F.col("mb")) - 1e-6)
+    early = (F.col("placea") <= F.col("ma") - common) & (F.col("placeb") <= F.col("mb") - common)
+    once = ~F.col("maina") & (F.col("mainb") | (F.col("nodea") < F.col("nodeb")))
+    met = x.join(y, "shingle").where(once & early & (F.col("ca") != F.col("cb")) & likely_pair("lanea", "laneb", "ma", "mb"))
+    return met.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b"))
+
+
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document with a key: ``doc_id``, ``crc`` of its text and ``component_id``, the smallest key of its group.
 
@@ -247,8 +304,8 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     letter case aside, are one node; texts without words are copies of each other. Of 768 bits the fingerprints of such
     a pair differ in 116 on average, too many for a guarantee by segments of a useful length: of the 34 segments of 22 bits one differs by at most
     one weak bit with a probability of about 0.985 at similarity 0.8 and 0.999 at 0.85. A member of a variant's
-    group is compared with the group's first member, in a few rounds with the likeliest one only, then with all it is not connected to yet; in
-    groups up to ``SMALL_GROUP`` with all such members.
+    group is compared with the group's first member, in a few rounds with the likeliest one only, then with all members it is not connected to yet;
+    in groups above ``SMALL_GROUP`` these are found by their rarest shingles.
     Rows that share a key share a class. Null keys have no row; an empty table gives none; other columns are not read.
     """
     rows = stage(near_signatures(docs, key, text), "near-signatures")
@@ -273,7 +330,8 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     y = small.select("k", *[F.col(c).alias(f"{c}b") for c in ("n", "lane", "node", "c")])
     likely = likely_pair("lanea", "laneb", "na", "nb")
     within = x.join(y, "k").where((F.col("nodea") < F.col("nodeb")) & (F.col("ca") != F.col("cb")) & likely).select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"))
-    rest = leader_pairs(shared, nodes, classes).select("a", "b").unionByName(within).distinct()
+    crowded = crowded_pairs(shared, nodes, classes, docs, key, text)
+    rest = leader_pairs(shared, nodes, classes).select("a", "b").unionByName(within).unionByName(crowded).distinct()
     all_ = edges.unionByName(similar_pairs(rest, nodes, docs, key, text))
     linked = stage(components(all_), "near-classes")
     named = reps.join(linked, reps["rep"] == linked["node"], "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
