@@ -5,7 +5,8 @@ import random
 import pytest
 
 import corpus_pipeline
-from trialweave.llm import pages, toxicity
+from trialweave.llm import mixing, pages, toxicity
+from trialweave.session import stage
 
 MENU = '<nav><a href="/">Home</a></nav><div class="cookie-notice">We use cookies on all of our pages, always.</div>'
 COMMENTS = '<section id="comments"><p>First! What a very long comment this is, longer than the text above it, truly so.</p></section>'
@@ -99,3 +100,24 @@ def test_pipeline_stages(spark, tmp_path):
     assert len(clean - set(ids)) == 0 and len(ids) == len(set(ids))
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["toxicity", "near_dedup", "decontamination", "mixing", "sharding"] and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_every_shard_holds_its_rows_in_the_order_of_the_mix(spark, tmp_path):
+    """Over prefixes of every shard sources have their share, which key order alone does not give."""
+    rows = [(i, f"text {i}", "abc"[i * 3 // 6000]) for i in range(6000)]
+    docs = stage(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7), "docs")
+    mixed = stage(corpus_pipeline.mix_sources(spark, docs, ""), "mixed")
+    result = stage(corpus_pipeline.assign_shards(spark, mixed, ""), "sharded")
+    assert result.columns == [*docs.columns, "shard"] and result.count() == 6000
+    step = {r["doc_id"]: r["step"] for r in mixing.schedule(docs).collect()}
+    shards = {}
+    for r in corpus_pipeline.shard_places(result).collect():
+        shards.setdefault(r["shard"], []).append((r["place"], r["doc_id"], r["source"]))
+    assert len(shards) == corpus_pipeline.SHARDS
+    for found in shards.values():
+        found.sort()
+        assert [p for p, _, _ in found] == list(range(len(found)))
+        steps = [step[i] for _, i, _ in found]
+        assert steps == sorted(steps)
+        half = [s for _, _, s in found[:len(found) // 2]]
+        assert all(0.15 < half.count(s) / len(half) < 0.52 for s in "abc")
