@@ -173,6 +173,14 @@ def test_equal_passages_share_their_inner_symbols():
     assert len({at[0][p][0] for p in range(40, 66)}) < 13
 
 
+def test_windows_of_one_symbol_are_compared_by_all_bits_of_their_hash(spark):
+    """Hashes that differ in their highest byte only are no repeat, those that agree in all are."""
+    rows = [(1, 0x11_0000_0000_00AA), (2, 0x7F_0000_0000_00AA), (3, 0x11_0000_0000_00AA), (4, 0x11_0000_0000_00AA | 1 << 63)]
+    at = [(9, i, 0, 4, 1, bytearray(h.to_bytes(8, "little")[:repeats.HASH_BYTES])) for i, h in rows]
+    filed = spark.createDataFrame(at, "symbol long, doc_id long, crc long, first int, n int, hashes binary")
+    assert sorted(r["doc_id"] for r in repeats.repeated_stretches(filed, 35, 4).collect()) == [1, 3]
+
+
 def words(t):
     return [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
 

@@ -7,7 +7,7 @@ at most one symbol at either end can depend on what stands outside. Taking those
 right-half name, a trailing left-half name) leaves the symbols that every occurrence of a passage shares.
 
 Each window is filed under a shared symbol of the last round in which it has any, so equal windows meet under equal symbols;
-the windows filed there are then compared exactly. Names are 64-bit hashes of what they stand for: that makes them global
+the windows filed there are then compared by a 64-bit hash of their words. Names are 64-bit hashes of what they stand for: that makes them global
 without an exchange per round, and a clash of names costs a needless comparison but can lose no repeat.
 """
 
@@ -25,7 +25,7 @@ ROUNDS = 8
 BUCKET_CHARS = 12_000_000
 # Characters compressed at a time within a task.
 PART_CHARS = 1_500_000
-HASH_BYTES = 5
+HASH_BYTES = 8
 
 
 def recompressor(window: int):
