@@ -181,6 +181,28 @@ def test_windows_of_one_symbol_are_compared_by_all_bits_of_their_hash(spark):
     assert sorted(r["doc_id"] for r in repeats.repeated_stretches(filed, 35, 4).collect()) == [1, 3]
 
 
+def test_windows_of_a_hot_symbol_spread_and_repeats_stay_found(spark, monkeypatch):
+    """One line in all rows, with other words around it, files many windows under few symbols."""
+    rng = random.Random(6)
+    line = [f"line{i}" for i in range(24)]
+    texts = [" ".join(prose(rng, 30, 10**6) + line + prose(rng, 30, 10**6)) for _ in range(400)]
+    texts += [texts[3] + " tail"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = df.select("doc_id", F.crc32("text").alias("crc"), "text")
+    expected = sorted(map(tuple, repeats.remove_repeats(df).collect()))
+    monkeypatch.setattr(repeats, "HOT_WINDOWS", 300)
+    monkeypatch.setattr(repeats, "HOT_SAMPLE", 1)
+
+    def largest(hot):
+        filed = repeats.filed_windows(rows, 35, hot).where("n > 0")
+        return filed.groupBy("symbol").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+
+    hot = repeats.hot_symbols(rows, 35)
+    assert hot and largest([]) > 1000 and largest(hot) <= 300
+    got = sorted(map(tuple, repeats.remove_repeats(df).collect()))
+    assert got == expected and [r[0] for r in got if r[2]] == [3, 400]
+
+
 def words(t):
     return [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
 

@@ -26,6 +26,9 @@ BUCKET_CHARS = 12_000_000
 # Characters compressed at a time within a task.
 PART_CHARS = 1_500_000
 HASH_BYTES = 8
+# A symbol with more windows than this is hot: its windows are dealt by their hashes too. One row in HOT_SAMPLE is looked at to find such symbols.
+HOT_WINDOWS = 100_000
+HOT_SAMPLE = 64
 
 
 def recompressor(window: int):
@@ -99,12 +102,24 @@ def recompressor(window: int):
     return windows
 
 
-def filed_windows(rows: DataFrame, window: int) -> DataFrame:
+def hot_symbols(rows: DataFrame, window: int) -> list[int]:
+    """Symbols with more than ``HOT_WINDOWS`` windows, as a sample of the rows shows them; so few that they may pass the driver.
+
+    The choice only deals windows to tasks. It is the same for all tasks, and a wrong one changes no result.
+    """
+    sample = rows.where(F.pmod(F.xxhash64("doc_id", "crc"), F.lit(HOT_SAMPLE)) == 0)
+    counts = filed_windows(sample, window).where("n > 0").groupBy("symbol").agg(F.sum("n").alias("n"))
+    return [r["symbol"] for r in counts.where(F.col("n") * HOT_SAMPLE > HOT_WINDOWS).select("symbol").collect()]
+
+
+def filed_windows(rows: DataFrame, window: int, hot: list[int] | None = None) -> DataFrame:
     """Stretches of consecutive windows filed under one symbol: symbol, row, first word, hashes; and, with an empty hash list
     and a length below zero, stretches of words known to repeat within the rows a task has in hand.
 
-    A window that occurs more than once there is filed only once, so a hot passage comes once per batch.
+    A window that occurs more than once there is filed only once, so a hot passage comes once per batch. A window of a ``hot``
+    symbol is filed alone, under a symbol made of that and its hash, so that the windows of one hot symbol spread.
     """
+    spread = sorted(hot or [])
     short_batches(rows.sparkSession)
 
     def run(batches):
@@ -112,11 +127,15 @@ def filed_windows(rows: DataFrame, window: int) -> DataFrame:
         import pyarrow as pa
 
         windows = recompressor(window)
+        wide = np.array(spread, np.int64).view(np.uint64)
 
         def filed(ids, crcs, lists):
             starts, owner, symbol, own = windows(lists)
             if not len(starts):
                 return None
+            if len(wide):
+                many = np.isin(symbol, wide)
+                symbol[many] = (symbol[many] ^ own[many]) * np.uint64(0x9E3779B97F4A7C15)
             base = np.cumsum([0, *[len(w) for w in lists]])[:-1]
             order = np.lexsort((own, symbol))
             same = (symbol[order][1:] == symbol[order][:-1]) & (own[order][1:] == own[order][:-1])
@@ -204,7 +223,9 @@ def repeated_stretches(filed: DataFrame, window: int, buckets: int) -> DataFrame
         return pa.table({"doc_id": table.column("doc_id").take(rows), "crc": table.column("crc").take(rows),
                          "first": pa.array(np.concatenate(first).astype(np.int32)), "n": pa.array(np.concatenate(length).astype(np.int32))})
 
-    bucketed = filed.withColumn("bucket", F.pmod(F.xxhash64("symbol"), F.lit(buckets)))
+    # Stretches known already are compared with none, so they go anywhere.
+    dealt = F.when(F.col("n") < 0, F.xxhash64("doc_id", "crc", "first")).otherwise(F.xxhash64("symbol"))
+    bucketed = filed.withColumn("bucket", F.pmod(dealt, F.lit(buckets)))
     return bucketed.groupBy("bucket").applyInArrow(compare, f"doc_id {kind}, crc long, first int, n int")
 
 
@@ -244,7 +265,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", t
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.crc32(F.col(text)), F.lit(-1)).alias("crc"), F.col(text).alias("text"))
     chars = docs.agg(F.sum(F.length(F.col(text)))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // BUCKET_CHARS))
-    found = repeated_stretches(filed_windows(rows, window), window, buckets)
+    found = repeated_stretches(filed_windows(rows, window, hot_symbols(rows, window)), window, buckets)
     cover = stage(found.groupBy("doc_id", "crc").agg(F.collect_list(F.struct("first", "n")).alias("stretches")), "stretches")
     c = cover.select(F.col("doc_id").alias("c_id"), F.col("crc").alias("c_crc"), "stretches")
     joined = rows.join(c, rows["doc_id"].eqNullSafe(c["c_id"]) & (rows["crc"] == c["c_crc"]), "left").select("doc_id", "text", "stretches")
