@@ -244,6 +244,25 @@ def test_leaks_against_every_window(spark):
     assert benchmarks.leaks(docs, none).count() == 0 and benchmarks.leaks(docs.limit(0), none).count() == 0
 
 
+def test_truncated_and_swapped_items_are_leaks(spark):
+    rng = random.Random(12)
+    items = {1: prose(rng, 45, 10**6), 2: prose(rng, 100, 10**6), 3: prose(rng, 45, 10**6), 4: prose(rng, 120, 10**6)}
+    third = items[4][80:] + items[4][:40] + items[4][40:80]
+    texts = {1: items[1][:38], 2: prose(rng, 60, 10**6) + items[2][50:] + items[2][:50] + prose(rng, 60, 10**6), 3: items[3][:30],
+             4: prose(rng, 9, 10**6) + third + prose(rng, 9, 10**6), 5: items[2][:50] + prose(rng, 20, 10**6) + items[2][50:]}
+    expected = {}
+    for i, w in texts.items():
+        for j, m in items.items():
+            bag = shingle_bag(m)
+            best = max(sum((shingle_bag(w[p:p + len(m)]) & bag).values()) / sum((shingle_bag(w[p:p + len(m)]) | bag).values())
+                       for p in range(max(1, len(w) - len(m) + 1)))
+            if best >= 0.8:
+                expected[i, j] = round(best, 9)
+    frames = (spark.createDataFrame([(i, " ".join(w)) for i, w in x.items()], f"{k} long, text string") for k, x in (("doc_id", texts), ("item_id", items)))
+    got = {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in benchmarks.leaks(*frames).collect()}
+    assert got == expected and set(got) == {(1, 1), (2, 2), (4, 4)} and got[1, 1] == round(34 / 41, 9)
+
+
 KEY = "test key"
 PERSONAL = [
     (1, "Mr. John Smith wrote; Mary Jones and Mr. Smith read it. Frau Anna Weiß."),

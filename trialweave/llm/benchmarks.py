@@ -1,7 +1,7 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
-Only DataFrame functions. A text shares with a contaminating item at least one shingle, so the windows worth a fingerprint
-start where a shared shingle puts the item's first word. Each window is as long as its item and gets a 64-bit SimHash. The 64
+Only DataFrame functions. A window as similar to an item as is asked shares a known number of shingles with it, so the windows worth a
+fingerprint are those that hold so many shingles of items of their length, in any order. Each window is as long as its item and gets a 64-bit SimHash. The 64
 bits are cut into one block more than the radius: fingerprints within the radius agree in at least one block, so an
 equality join on (window length, block, value) finds all of them. Candidates are verified by their weighted shingles: the
 sum of the smaller counts over the sum of the larger.
@@ -77,10 +77,10 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     starts from the texts in place; after it only rows of shared shingles move.
     """
     spark = docs.sparkSession
+    keys = ["doc_id", "length", "size", "first"]
     wanted = stage(items_with_shingles(items, item_key, item_text, width), "items")
-    placed = wanted.select("item_id", "size", F.posexplode("shingles").alias("at", "shingle"))
-    index = placed.groupBy("shingle", "size").agg(F.collect_set("at").alias("ats"))
-    index = stage(index.groupBy("shingle").agg(F.collect_list(F.struct("size", "ats")).alias("places")), "item-shingles")
+    index = wanted.select("size", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.collect_set("size").alias("sizes"))
+    index = stage(index, "item-shingles")
     known = index.count()
     if not known:
         kind = dict(docs.dtypes)[key]
@@ -94,27 +94,30 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
         few = hashed.where(F.size("h") >= size).select("doc_id", F.size("h").alias("length"), F.posexplode(shingles("h", size)).alias("pos", "shingle"))
         spread = spread.unionByName(few)
     hits = spread.join(F.broadcast(index) if known <= BROADCAST_SHINGLES else index, "shingle")
-    # Where the item's first word would stand; a window that would leave the text is moved inside.
-    starts = hits.select("doc_id", "length", "pos", F.explode("places").alias("p")).select(
-        "doc_id", "length", "pos", F.col("p.size").alias("size"), F.explode("p.ats").alias("at"))
-    first = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("length") - F.col("size")))
-    windows = stage(starts.select("doc_id", "size", first.alias("first")).distinct(), "windows")
+    places = hits.select("doc_id", "length", "pos", F.explode("sizes").alias("size")).groupBy("doc_id", "length", "size").agg(
+        F.sort_array(F.collect_set("pos")).alias("at"))
+    # A similar window holds this many shingles of its item, whatever their order; it starts within reach of the first and the last of them.
+    counts = F.greatest(F.least("size", "length") - width + 1, F.lit(1)) + F.greatest(F.col("size") - width + 1, F.lit(1))
+    places = places.withColumn("need", F.ceil(counts * (similarity / (1 + similarity)) - 1e-9).cast("int")).where("size(at) >= need")
+    reach = f"greatest(0, at[i + need - 1] - greatest(size - {width}, 0))", "least(at[i], greatest(length - size, 0))"
+    first = F.expr(f"array_distinct(flatten(transform(sequence(0, size(at) - need), i -> if({reach[0]} <= {reach[1]}, sequence({reach[0]}, {reach[1]}), array()))))")
+    windows = stage(places.select("doc_id", "length", "size", F.explode(first).alias("first")), "windows")
     texts = stage(hashed.join(windows.select("doc_id").distinct(), "doc_id", "left_semi").distinct(), "hit-texts")
-    cut = windows.join(texts, "doc_id").select("doc_id", "size", "first", F.slice("h", F.col("first") + 1, F.col("size")).alias("h"))
-    window_rows = stage(cut.select("doc_id", "size", "first", F.explode(shingles("h", width)).alias("shingle")), "window-shingles")
+    cut = windows.join(texts.withColumn("length", F.size("h")), ["doc_id", "length"]).select(*keys, F.slice("h", F.col("first") + 1, F.col("size")).alias("h"))
+    window_rows = stage(cut.select(*keys, F.explode(shingles("h", width)).alias("shingle")), "window-shingles")
     item_rows = wanted.select("item_id", "size", F.explode("shingles").alias("shingle"))
-    w = block_rows(fingerprint_of(window_rows, ["doc_id", "size", "first"], "shingle"), radius)
+    w = block_rows(fingerprint_of(window_rows, keys, "shingle"), radius)
     i = block_rows(fingerprint_of(item_rows, ["item_id", "size"], "shingle"), radius).select(
         "item_id", F.col("size").alias("i_size"), F.col("fp").alias("i_fp"), F.col("block").alias("i_block"), F.col("value").alias("i_value"))
     within = F.bit_count(F.col("fp").bitwiseXOR(F.col("i_fp"))) <= radius
     same = (F.col("size") == F.col("i_size")) & (F.col("block") == F.col("i_block")) & (F.col("value") == F.col("i_value"))
-    candidates = stage(w.join(i, same & within).select("doc_id", "size", "first", "item_id").distinct(), "leak-candidates")
-    # Windows of one length have as many shingles as the item, so the common weight gives the similarity.
-    a = weighted(window_rows, ["doc_id", "size", "first"])
+    candidates = stage(w.join(i, same & within).select(*keys, "item_id").distinct(), "leak-candidates")
+    # A text shorter than the item has fewer shingles than it; all count for the union.
+    a = weighted(window_rows, keys)
     b = weighted(item_rows.drop("size"), ["item_id"]).select("item_id", F.col("shingle").alias("i_shingle"), F.col("w").alias("i_w"))
-    both = candidates.join(a, ["doc_id", "size", "first"]).join(b, "item_id").where(F.col("shingle") == F.col("i_shingle"))
-    common = both.groupBy("doc_id", "size", "first", "item_id").agg(F.sum(F.least("w", "i_w")).alias("c"))
-    total = F.greatest(F.col("size") - width + 1, F.lit(1)) * 2 - F.col("c")
+    both = candidates.join(a, keys).join(b, "item_id").where(F.col("shingle") == F.col("i_shingle"))
+    common = both.groupBy(*keys, "item_id").agg(F.sum(F.least("w", "i_w")).alias("c"))
+    total = counts - F.col("c")
     found = common.withColumn("similarity", F.col("c") / total).where(F.col("similarity") >= similarity)
     best = F.max(F.struct("similarity", (-F.col("first")).alias("f"))).alias("m")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", F.col("m.similarity").alias("similarity"), (-F.col("m.f")).cast("long").alias("first_word"))
