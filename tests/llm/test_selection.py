@@ -120,6 +120,27 @@ def test_one_period_stays_within_one_block_of_every_share():
     assert seen == parts
 
 
+def test_long_schedules_stay_within_one_block_of_the_weights_as_given():
+    from fractions import Fraction
+
+    weights = {0: 0.61803, 1: 0.3, 2: 0.0817, 3: 0.0002, 4: 0.00007}
+    total = sum(map(Fraction, weights.values()))
+    blocks = {k: 1 + int(60000 * w) for k, w in weights.items()}
+    seen = Counter()
+    for t, (k, block) in enumerate(mixing.steps_of(blocks, weights), 1):
+        assert block == seen[k]
+        seen[k] += 1
+        if t <= 50000 and t % 97 == 0:
+            assert all(abs(seen[j] - t * Fraction(weights[j]) / total) < 1 for j in weights)
+    assert seen == blocks
+
+
+def test_many_sources_get_a_schedule(spark):
+    rows = [(i, f"s{i % 700}") for i in range(2100)]
+    found = mixing.schedule(spark.createDataFrame(rows, "doc_id long, source string"), block_rows=2).collect()
+    assert len(found) == 2100 and len({r["step"] for r in found}) == 1400 == max(r["step"] for r in found) + 1
+
+
 def test_mix_keeps_all_rows_and_follows_the_weights(docs):
     rows = mixing.schedule(docs, {"hot": 0.5, "s0": 0.25, "s1": 0.15, "s2": 0.1}, block_rows=4, period=20).collect()
     assert Counter((r["doc_id"], r["source"]) for r in rows) == Counter((r["doc_id"], r["source"]) for r in docs.collect())

@@ -4,24 +4,25 @@ Blocks of a source are unit jobs. Block j of a source with share w has the relea
 deadline ceil((j + 1) / w); at each step the released block with the earliest deadline goes next. On one line of
 steps this keeps every source less than one block from its share at every prefix.
 
-With shares a / D in whole parts the schedule repeats every D steps, so one period (D rows, a parameter) is laid
-out on the driver, and Spark joins every block to its place in its period. When a source runs out, the others
-go on with their shares scaled up: a phase ends after the last whole period that some source can fill, and that
-source's rest is spent in one more period in which its unused steps are passed over.
+Shares are the exact ratios of the weights, so the bound holds over any number of steps. The schedule is written by one task that
+holds a row per source and reads no rows, one step per block, and Spark joins every block to its step. When a source runs out, the others
+go on from there with their shares scaled up. With a ``period`` D given, shares are rounded to whole parts a / D first, as a
+schedule that repeats every D steps has them.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-PERIOD = 1000
-MAX_SOURCES = 500
+from trialweave.session import stage
+
 BLOCK_ROWS = 32
 SALTS = 64
 
@@ -54,31 +55,62 @@ def one_period(parts: Mapping[int, int]) -> list[int]:
     return steps
 
 
-def phases(blocks: Mapping[int, int], weights: Mapping[int, float], period: int) -> list[tuple[int, ...]]:
-    """The steps of one period of every phase.
-
-    A row: source, first and end block of the phase, blocks per period, which of them, first step of the phase,
-    step within the period, length of the period.
-    """
+def steps_of(blocks: Mapping[int, int], weights: Mapping[int, float], period: int | None = None) -> Iterator[tuple[int, int]]:
+    """(source, block) of every step: earliest deadline first among released blocks, ties to the smaller key."""
     left = {k: n for k, n in blocks.items() if n > 0}
     used = dict.fromkeys(left, 0)
-    rows, start = [], 0
     while left:
-        parts = whole_parts({k: weights[k] for k in left}, max(period, 2 * len(left)))
-        length = sum(parts.values())
-        periods = min(-(-left[k] // parts[k]) for k in left)
-        seen = dict.fromkeys(parts, 0)
-        for offset, k in enumerate(one_period(parts)):
-            rows.append((k, used[k], used[k] + min(left[k], periods * parts[k]), parts[k], seen[k], start, offset, length))
-            seen[k] += 1
-        for k in list(left):
-            take = min(left[k], periods * parts[k])
-            used[k] += take
-            left[k] -= take
+        # What has no weight comes last.
+        now = {k: weights[k] for k in left if weights[k] > 0} or dict.fromkeys(left, 1)
+        if period:
+            parts = whole_parts(now, max(period, 2 * len(now)))
+        else:
+            # Floats are exact ratios; over a common denominator all that follows is whole numbers.
+            exact = {k: Fraction(w) for k, w in now.items()}
+            common = math.lcm(*(x.denominator for x in exact.values()))
+            parts = {k: x.numerator * (common // x.denominator) for k, x in exact.items()}
+        total = sum(parts.values())
+        done = dict.fromkeys(now, 0)
+        ready = [(-(-total // parts[k]), k) for k in now]
+        heapq.heapify(ready)
+        waiting: list[tuple[int, int]] = []
+        step = 0
+        while True:
+            while waiting and waiting[0][0] <= step:
+                k = heapq.heappop(waiting)[1]
+                heapq.heappush(ready, (-(-(done[k] + 1) * total // parts[k]), k))
+            k = heapq.heappop(ready)[1]
+            yield k, used[k]
+            used[k] += 1
+            done[k] += 1
+            left[k] -= 1
+            step += 1
             if not left[k]:
                 del left[k]
-        start += periods * length
-    return rows
+                break
+            heapq.heappush(waiting, (done[k] * total // parts[k], k))
+
+
+def laid_out(spark: SparkSession, names: list, blocks: Mapping[int, int], weights: Mapping[int, float], period: int | None) -> DataFrame:
+    """``__s``, ``__b`` and ``__step`` for every block, written by one task as it goes."""
+    def run(batches):
+        from itertools import islice
+
+        import numpy as np
+        import pandas as pd
+
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            steps, start = steps_of(blocks, weights, period), 0
+            while part := list(islice(steps, 100_000)):
+                k, b = zip(*part)
+                yield pd.DataFrame({"__n": np.array(k, np.int64), "__b": np.array(b, np.int64), "__step": np.arange(start, start + len(part))})
+                start += len(part)
+
+    plan = stage(spark.range(0, 1, 1, 1).mapInPandas(run, "__n long, __b long, __step long"), "mix-steps")
+    named = spark.createDataFrame(list(enumerate(names)), "__i long, __s string")
+    return plan.join(named, plan["__n"] == named["__i"]).select("__s", "__b", "__step")
 
 
 def numbered_blocks(df: DataFrame, source: str, key: str, block_rows: int) -> DataFrame:
@@ -99,13 +131,11 @@ def numbered_blocks(df: DataFrame, source: str, key: str, block_rows: int) -> Da
 
 
 def with_steps(df: DataFrame, weights: Mapping[str | None, float] | None = None, source: str = "source", key: str = "doc_id",
-               block_rows: int = BLOCK_ROWS, period: int = PERIOD, temperature: float = 0.7) -> DataFrame:
+               block_rows: int = BLOCK_ROWS, period: int | None = None, temperature: float = 0.7) -> DataFrame:
     """``df`` with ``__block`` and ``__step``, the step at which the row's block is due; see ``schedule``."""
     spark = df.sparkSession
     blocks = numbered_blocks(df, source, key, block_rows)
-    counts = blocks.groupBy(F.col(source).alias("s")).agg(F.max("__block").alias("last"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(counts) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; group them first")
+    counts = blocks.groupBy(F.col(source).alias("s")).agg(F.max("__block").alias("last"), F.count("*").alias("n")).collect()
     names = [r["s"] for r in sorted(counts, key=lambda r: (r["s"] is None, r["s"]))]
     number = {name: i for i, name in enumerate(names)}
     if weights:
@@ -113,29 +143,19 @@ def with_steps(df: DataFrame, weights: Mapping[str | None, float] | None = None,
         target = {number[s]: weights.get(s, least) for s in names}
     else:
         target = {number[r["s"]]: r["n"] ** temperature for r in counts}
-    plan = phases({number[r["s"]]: r["last"] + 1 for r in counts}, target, period)
-    # Bounded by sources, phases (at most one per source) and the period.
-    steps = spark.createDataFrame([(names[k], *rest) for k, *rest in plan],
-                                  "__s string, __low long, __high long, __per long, __index long, __start long, __offset long, __length long")
-    ranges = F.broadcast(steps.select("__s", "__low", "__high", "__per", "__start", "__length").distinct())
-    b = F.col("__block")
-    phased = blocks.join(ranges, F.col(source).cast("string").eqNullSafe(F.col("__s")) & (b >= F.col("__low")) & (b < F.col("__high"))).drop("__s")
-    placed = phased.withColumns({"__nth": F.pmod(b - F.col("__low"), F.col("__per")), "__turn": F.floor((b - F.col("__low")) / F.col("__per"))})
-    offsets = F.broadcast(steps.select("__s", F.col("__start").alias("__from"), "__index", "__offset"))
-    on = F.col(source).cast("string").eqNullSafe(F.col("__s")) & (F.col("__start") == F.col("__from")) & (F.col("__nth") == F.col("__index"))
-    step = (F.col("__start") + F.col("__turn") * F.col("__length") + F.col("__offset")).cast("long")
-    return placed.join(offsets, on).withColumn("__step", step).select(*df.columns, F.col("__block").cast("long").alias("__block"), "__step")
+    steps = laid_out(spark, names, {number[r["s"]]: r["last"] + 1 for r in counts}, target, period)
+    on = F.col(source).cast("string").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b"))
+    return blocks.join(steps, on).select(*df.columns, F.col("__block").cast("long").alias("__block"), "__step")
 
 
 def schedule(df: DataFrame, weights: Mapping[str | None, float] | None = None, source: str = "source", key: str = "doc_id",
-             block_rows: int = BLOCK_ROWS, period: int = PERIOD, temperature: float = 0.7) -> DataFrame:
+             block_rows: int = BLOCK_ROWS, period: int | None = None, temperature: float = 0.7) -> DataFrame:
     """One row per row of ``df``: key, source, block and the step at which the block is due.
 
     Every row is kept. Without ``weights`` a source's target is its row count to the power ``temperature``; a source
-    the weights do not name, null included, gets the smallest weight given. Ordering by (step, key) gives the mix;
-    steps that an exhausted source leaves free are missing numbers. Null keys and repeated rows are rows like any
-    other; an empty table gives none; other columns are not read. The number of sources is bounded (``MAX_SOURCES``, an
-    error beyond it), as their counts and the periods of a schedule pass the driver.
+    the weights do not name, null included, gets the smallest weight given. Ordering by (step, key) gives the mix. Up to the step at which a source
+    runs out, and from there to the next, every source is less than one block from its exact share. Null keys and repeated rows are rows like any
+    other; an empty table gives none; other columns are not read. A count per source passes the driver, whatever their number.
     """
     slim = df.select(F.col(key).alias("doc_id"), F.col(source).alias("source"))
     placed = with_steps(slim, weights, "source", "doc_id", block_rows, period, temperature)
