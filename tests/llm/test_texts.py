@@ -296,6 +296,20 @@ def test_surrogates_keep_type_format_gender_and_coreference(spark):
     assert surrogates.replace_entities(df.limit(0), KEY).count() == 0
 
 
+def test_international_and_plain_phones_and_ipv6_are_replaced(spark):
+    phones = ["+44 20 7946 0958", "+351 912 345 678", "+49 30 1234567", "2125551234", "+442079460958", "+1 (212) 555-1234", "+33 1 23 45 67 89", "0612345678"]
+    addresses = ["2001:db8:85a3:0:0:8a2e:370:7334", "2001:db8::8a2e:370:7334", "fe80::1", "2001:DB8::"]
+    plain = ["12:30:45", "std::string", "a ratio 1:2", "+12 points", "1999", "12345678901"]
+    df = spark.createDataFrame([(i, f"see {e}, then") for i, e in enumerate(phones + addresses + plain)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in surrogates.replace_entities(df, KEY).collect()}
+    shape = lambda e: re.sub("[A-F]", "A", re.sub("[a-f]", "a", re.sub("[0-9]", "0", e)))
+    for i, e in enumerate(phones + addresses):
+        new = got[i]["text"][4:-6]
+        assert got[i]["n_entities"] == 1 and new != e and shape(new) == shape(e) and got[i]["text"] == f"see {new}, then", (e, got[i])
+    assert all(got[len(phones + addresses) + i]["text"] == f"see {e}, then" for i, e in enumerate(plain))
+    assert got[0]["text"].startswith("see +44 ") and got[1]["text"].startswith("see +351 ")
+
+
 def test_different_entities_never_share_a_surrogate(spark):
     ids = spark.range(3000)
     texts = ids.select(F.concat_ws(" ", F.format_string("10.0.%d.%d", F.col("id") % 250, F.floor(F.col("id") / 250)),

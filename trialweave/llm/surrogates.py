@@ -36,19 +36,23 @@ SPOKEN = ("aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "
           "αεηιουωάέήίόύώ", "βγδζθκλμνξπρστφχψς", "ΑΕΗΙΟΥΩ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ")
 
 _octet = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_hextet = r"[0-9A-Fa-f]{1,4}"
 _capital = r"\p{Lu}[\p{L}'-]+"
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\.[A-Za-z]{2,}",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "ip": rf"(?<![0-9.])(?:{_octet}\.){{3}}{_octet}(?![0-9]|\.[0-9])",
-    "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])?[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    # All eight groups, or fewer around ::, at least one on either side or three after it.
+    "ipv6": rf"(?<![0-9A-Za-z:.])(?:(?:{_hextet}:){{7}}{_hextet}|(?:{_hextet}:){{1,6}}(?::{_hextet}){{1,6}}|(?:{_hextet}:){{2,7}}:|::{_hextet}(?::{_hextet}){{2,6}})(?![0-9A-Za-z:])",
+    # A country code and 7 to 15 digits in groups of any size; a national number; ten digits in one, or up to eleven after a 0.
+    "phone": r"(?<![0-9])(?:\+[1-9](?:[ ./-]{0,2}\(?[0-9]\)?){6,14}(?![0-9])|(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9])(?<![0-9][.,])(?:[2-9][0-9]{9}|0[1-9][0-9]{8,9})(?![0-9]))",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "ssn": r"(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])",
     "name": rf"(?<![\p{{L}}])(?:(?:{'|'.join(TITLES)})\.?(?: {_capital}){{1,3}}|(?:{'|'.join(n for g in GIVEN_NAMES for n in g)})(?: {_capital}){{1,2}})",
 }
 # A text without any of these holds no entity.
-HINT = rf"[0-9@]|{'|'.join(TITLES)}|{'|'.join(n for g in GIVEN_NAMES for n in g)}"
+HINT = rf"[0-9@]|::|{'|'.join(TITLES)}|{'|'.join(n for g in GIVEN_NAMES for n in g)}"
 
 
 def quoted(s: str) -> str:
@@ -123,7 +127,7 @@ def surrogate(e: str, key: str) -> str:
     phone = f"concat({code}, element_at(transform(array(substr({e}, length({code}) + 1)), o -> {permuted('o', key, DIGITS)}), 1))"
     iban = f"concat(substr({e}, 1, 2), element_at(transform(array(substr({e}, 3)), o -> {permuted('o', key, LETTERS)}), 1))"
     return (f"CASE WHEN {whole('email')} THEN {email} WHEN {whole('secret')} THEN {permuted(e, key, HEX)} WHEN {whole('iban')} THEN {iban}"
-            f" WHEN {whole('ip')} THEN {ip_surrogate(e, key)} WHEN {whole('phone')} THEN {phone} WHEN {whole('card')} THEN {card_surrogate(e, key)}"
+            f" WHEN {whole('ip')} THEN {ip_surrogate(e, key)} WHEN {whole('ipv6')} THEN {permuted(e, key, HEX)} WHEN {whole('phone')} THEN {phone} WHEN {whole('card')} THEN {card_surrogate(e, key)}"
             f" WHEN {whole('ssn')} THEN {permuted(e, key, DIGITS)} ELSE {name_surrogate(e, key)} END")
 
 
