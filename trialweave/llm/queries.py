@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialweave.llm import benchmarks, mixing, pages, repeats, sharding, simhash, surrogates, topk, toxicity, urls
+from trialweave.llm import benchmarks, mixing, negatives, neighbours, pages, repeats, sharding, simhash, surrogates, topk, toxicity, turns, urls
 from trialweave.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,50 @@ def op9_main_text(spark, folder):
 @query()
 def op10_toxicity(spark, folder):
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("""
+WITH v AS (SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE label IS NOT NULL),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i]))::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND len(a.v) = len(c.v)),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r FROM s WHERE same) WHERE r <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""")
+def op11_negatives(spark, folder):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, folder, "embeddings"), "vec_id", "embedding", label, F.col("vec_id") % 100 == 0)
+
+
+@query("""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]), lambda a, b: a + b) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20""")
+def op12_neighbours(spark, folder):
+    return neighbours.nearest(table(spark, folder, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, 20)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """One row in five is dropped, emptied, robbed of its full stops, repeated or given to the user, by the hash of its place."""
+    known = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    hit = F.crc32(F.concat(known["conv_id"], F.lit(":"), known["turn"]).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", known["role"].alias("role"), known["text"].alias("text"), hit.alias("hit"))
+    text = F.when(F.col("hit") == 1, "").when(F.col("hit") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    times = F.explode(F.array_repeat(F.lit(1), F.when(F.col("hit") == 3, 2).otherwise(1)))
+    return rows.where(F.col("hit") != 0).select(
+        "conv_id", "turn", F.when(F.col("hit") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), times.alias("time"))
+
+
+@query()
+def op13_repair(spark, folder):
+    conversations = table(spark, folder, "conversations")
+    edits, summary = turns.repair(damaged(conversations))
+    found = summary.join(turns.repaired_digests(edits), "k").drop("k").withColumnRenamed("conv_id", "id")
+    whole = conversations.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return whole.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
