@@ -1,10 +1,13 @@
 """Reading, parsing, landing and writing."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from query_book import joined, query
 from trialweave.functions import lists
-from trialweave.sources import files, html, listings
+from trialweave.sources import files, html, landing, listings
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
@@ -30,8 +33,56 @@ def csv_roundtrip(t):
 
 @query("SELECT * FROM supplier")
 def land_source(t):
-    path = files.land(t.supplier, t.scratch("landing"), "supplier")
-    return files.read_parquet(t.spark, path)
+    root = t.scratch("landing")
+    landing.land(t.supplier, root, "supplier")
+    return landing.read_landed(t.spark, root, "supplier")
+
+
+@query("""
+SELECT 'first' AS step, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys, 1::BIGINT AS newest FROM orders
+UNION ALL SELECT 'failed', count(*), sum(o_orderkey)::BIGINT, 1 FROM orders
+UNION ALL SELECT 'second', count(*), sum(o_orderkey)::BIGINT, 2 FROM orders WHERE o_orderstatus <> 'F'
+UNION ALL SELECT 'first again', count(*), sum(o_orderkey)::BIGINT, 2 FROM orders""")
+def land_versions(t):
+    """A good landing, one that fails on its way, a second good one, and what a reader finds after each."""
+    root, source = t.scratch("landing"), "orders"
+
+    def seen(step, version=None):
+        df = landing.read_landed(t.spark, root, source, version)
+        newest = landing.versions(t.spark, root, source).agg(F.max("version")).first()[0]
+        return df.agg(F.lit(step).alias("step"), F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys"), F.lit(newest).cast("long").alias("newest"))
+
+    landing.land(t.orders, root, source, cluster_by=["o_orderkey"])
+    steps = [seen("first")]
+    worst = t.orders.agg(F.max("o_orderkey")).first()[0]
+    broken = t.orders.withColumn("o_orderpriority", F.when(F.col("o_orderkey") == worst, F.raise_error(F.lit("bad record"))).otherwise(F.col("o_orderpriority")))
+    files.land_with_report(broken, root, source, F.lit(False))
+    steps.append(seen("failed"))
+    landing.land(t.orders.where("o_orderstatus <> 'F'"), root, source)
+    steps += [seen("second"), seen("first again", 1)]
+    return reduce(DataFrame.unionByName, steps)
+
+
+@query("""
+WITH a AS (SELECT user_id, event_type, event_id // 50 AS page FROM events WHERE event_id % 3 <> 0 AND user_id % 5 <> 4
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),
+b AS (SELECT user_id, event_type, event_id // 50 AS page, event_type = 'view' AS viewed FROM events WHERE user_id % 5 IN (1, 4)
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+SELECT coalesce(b.user_id, a.user_id) AS user_id, CASE WHEN b.user_id IS NULL THEN a.event_type ELSE b.event_type END AS event_type,
+  CASE WHEN b.user_id IS NULL THEN a.page ELSE b.page END AS page, b.viewed,
+  CASE WHEN b.user_id IS NULL THEN 'kept' WHEN a.user_id IS NULL THEN 'new' ELSE 'changed' END AS kind
+FROM a FULL OUTER JOIN b ON a.user_id = b.user_id""")
+def refresh_listing(t):
+    """Users as records of a listing: a first crawl, then one of some users, with a field more; the table and its change log."""
+    root, record = t.scratch("landing"), [F.col("user_id"), F.col("event_type"), F.expr("event_id div 50").alias("page"), F.col("event_id")]
+    order = [F.desc("event_id")]
+    first = t.events.where("event_id % 3 <> 0 AND user_id % 5 <> 4").select(*record)
+    second = t.events.where("user_id % 5 IN (1, 4)").select(*record, (F.col("event_type") == "view").alias("viewed"))
+    landing.refresh(first, root, "listing", "user_id", order, buckets=16)
+    version = landing.refresh(second, root, "listing", "user_id", order)
+    log = landing.change_log(t.spark, root, "listing").where(F.col("version") == version).select(F.col("key").cast("long").alias("user_id"), "kind")
+    table = landing.read_landed(t.spark, root, "listing").drop("event_id")
+    return table.join(log, "user_id", "left").withColumn("kind", F.coalesce("kind", F.lit("kept")))
 
 
 @query("""

@@ -85,7 +85,7 @@ def test_files_round_trip(spark, tmp_path):
     run = files.land_with_report(df, str(tmp_path), "src", F.col("l").isNull())
     files.append_run(run, f"{tmp_path}/runs")
     assert spark.read.parquet(f"{tmp_path}/runs").select("items", "errors").first() == (2, 1)
-    seen = files.inventory(spark, {"src": f"{tmp_path}/src"}).first()
+    seen = files.inventory(spark, {"tagged": f"{tmp_path}/tagged"}).first()
     assert seen["total_records"] == 2 and seen["last_update"] is not None
 
 

@@ -1,4 +1,4 @@
-"""Parquet and CSV in and out, the landing zone, its inventory and run records."""
+"""Parquet and CSV in and out, landings with run records, and the inventory of sources."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from trialweave.functions import lists
 from trialweave.operators.columns import quoted
+from trialweave.sources import landing
 
 # How null is written in CSV, so that empty text stays empty text.
 NULL_MARK = "\\N"
@@ -70,24 +71,18 @@ def read_tagged(spark: SparkSession, path: str, list_columns: list[str]) -> Data
     return df.withColumns({c: lists.tag_decode(quoted(c)) for c in list_columns})
 
 
-def land(df: DataFrame, root: str, source: str) -> str:
-    """Write one source's records below the landing root; returns the path."""
-    path = f"{root}/{source}"
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
 def land_with_report(df: DataFrame, root: str, source: str, is_bad: Column) -> DataFrame:
     """Land a source and return its run record; counted while the rows are written.
 
-    A landing that fails leaves a record too: its reason is the error's name, its counts are null.
+    A landing that fails leaves a record too: its reason is the error's name, its counts are null. The last good version
+    of the source stays readable.
     """
     watch = Observation(f"landing {source}")
     observed = df.observe(watch, F.count(F.lit(1)).alias("items"), F.count_if(is_bad).alias("errors"))
     started, clock, reason = datetime.now(timezone.utc), time.monotonic(), "finished"
     seen: dict = {"items": None, "errors": None}
     try:
-        land(observed, root, source)
+        landing.land(observed, root, source)
         seen = watch.get
     except Exception as error:  # whatever stops a landing is what the record is for
         reason = f"failed: {type(error).__name__}"
