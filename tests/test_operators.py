@@ -42,14 +42,57 @@ def test_full_outer_refuses_all_pairs_of_null_keys(spark):
     assert joins.full_outer_coalesce(df, df.withColumnRenamed("a", "b"), "k").count() == 100
 
 
-def test_full_outer_splits_a_hot_right_key(spark):
+SKEWED = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+
+
+@pytest.fixture
+def all_sides_large(spark):
+    """Look for hot keys on sides of any size."""
+    before = spark.conf.get(SKEWED)
+    spark.conf.set(SKEWED, "1b")
+    yield
+    spark.conf.set(SKEWED, before)
+
+
+@pytest.mark.parametrize("nulls", [False, True])
+@pytest.mark.parametrize("turned", [False, True])
+def test_full_outer_splits_hot_keys_of_either_side(spark, all_sides_large, nulls, turned):
+    hot, cold = HOT + HOT[:200] + [("both", i) for i in range(100)], [("hot", 7), ("hot", 8), ("k3", 1), ("new", 2), (None, 5)] + [("both", i) for i in range(150)]
+    left, right = (cold, hot) if turned else (hot, cold)
+    if nulls:
+        right = [r for r in right if r[0] is not None] + [(None, 5)]
+    a, b = (spark.createDataFrame(rows, f"k string, {c} int") for rows, c in ((left, "a"), (right, "b")))
+    assert joins.hot_keys(b if turned else a, "k").keys() >= {"hot"}
+    got = Counter(tuple(r) for r in joins.full_outer_coalesce(a, b, "k", null_keys_match=nulls).select("k", "a", "b").collect())
+    assert got == brute_full_outer(left, right, nulls)
+
+
+def test_full_outer_reads_and_moves_each_side_once(spark, all_sides_large):
     left = spark.createDataFrame([("hot", 1), ("k", 2)], "k string, a int")
     right = spark.range(3000).select(F.when(F.col("id") > 1000, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("b"))
     df = joins.full_outer_coalesce(left, right, "k")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    # A full or left join could not split the right side; an inner join can.
-    assert "Join Inner" in plan and "FullOuter" not in plan and "LeftOuter" not in plan
+    assert plan.count("Join ") == 1 and plan.count("Range (0, 3000") == 1 and "FullOuter" in plan
     assert df.count() == 3001
+    # The rows of the hot key lie under several salts, so no task holds them all.
+    salted = joins._salted(right, "k", joins.hot_keys(right, "k"), {}, True, 1)
+    assert salted.where("k = 'hot'").select("__salt").distinct().count() >= 2
+    assert joins._salted(right.withColumn("k", F.lit(None).cast("string")), "k", {}, {}, True, 1).select("__salt").distinct().count() > 2500
+
+
+def test_small_sides_are_not_searched_for_hot_keys(spark, monkeypatch):
+    def no_job(*_):
+        raise AssertionError("a job ran")
+
+    df = spark.createDataFrame(HOT, "k string, a int")
+    monkeypatch.setattr(joins, "Observation", no_job)
+    assert joins.full_outer_coalesce(df, df.withColumnRenamed("a", "b"), "k").columns == ["k", "a", "b"]
+    assert [joins._bytes(x) for x in ("12", "1b", "64k", "32MB", "2g")] == [12, 1, 65536, 1 << 25, 2 << 30]
+
+
+def test_lists_are_cut_at_any_separator(spark):
+    df = spark.createDataFrame([("k", "a\\Eb"), ("k", "b"), ("k", None)], "k string, t string")
+    assert aggregates.merge_lists(df, "k", "t", "\\E").first()["t"] == "a\\Eb"
 
 
 @pytest.mark.parametrize("size", [2, 1001])

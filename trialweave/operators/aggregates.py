@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from trialweave.functions import lists
 from trialweave.functions import text as txt
 from trialweave.functions.values import holds
 from trialweave.operators.columns import learn_names, quoted
@@ -44,7 +45,7 @@ def merge_lists(df: DataFrame, key: str, name: str, separator: str = ", ", out:
     """Per key the sorted union of the items of a delimited text column."""
     items = (
         df.where(quoted(name).isNotNull() & quoted(key).isNotNull())
-        .select(key, F.explode(F.split(quoted(name), r"\Q" + separator + r"\E")).alias("item"))
+        .select(key, F.explode(lists.split_at(quoted(name), separator)).alias("item"))
         .distinct()
     )
     return items.groupBy(key).agg(

@@ -37,8 +37,8 @@ def assign(df: DataFrame, *steps: Mapping[str, Column]) -> DataFrame:
 
 
 def drop_null_rows(df: DataFrame) -> DataFrame:
-    """Drop rows without any value."""
-    return df.dropna(how="all")
+    """Drop rows without any value; a column that cannot be null leaves nothing to drop."""
+    return df.dropna(how="all") if all(f.nullable for f in df.schema.fields) else df
 
 
 def drop_null_columns(df: DataFrame) -> DataFrame:
