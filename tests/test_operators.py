@@ -84,7 +84,7 @@ def test_small_sides_are_not_searched_for_hot_keys(spark, monkeypatch):
     def no_job(*_):
         raise AssertionError("a job ran")
 
-    df = spark.createDataFrame(HOT, "k string, a int")
+    df = spark.range(500).select((F.col("id") % 7).alias("k"), F.col("id").alias("a"))
     monkeypatch.setattr(joins, "Observation", no_job)
     assert joins.full_outer_coalesce(df, df.withColumnRenamed("a", "b"), "k").columns == ["k", "a", "b"]
     assert [joins._bytes(x) for x in ("12", "1b", "64k", "32MB", "2g")] == [12, 1, 65536, 1 << 25, 2 << 30]
