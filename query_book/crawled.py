@@ -91,11 +91,18 @@ SELECT 'Trial ' || o_orderkey AS title, o_orderkey::VARCHAR AS eudract_nr, 'Phas
   CASE WHEN o_orderstatus <> 'P' THEN 'https://register.example/' || o_orderkey END AS url FROM orders""")
 def newer_register(t):
     """Orders on listing pages, each on two of them with an older title on the earlier; a document is broken where the status is P."""
+    found = listings.newer_register(listing_pages(t), "body", detail_documents(t), "doc")
+    return found.select("title", "eudract_nr", "trial_phase_desc", "Sponsor", "Age", "Gender", "nr_enrolled", "status", "trial_phase", "start_date",
+                        "inclusion_crt", "url")
+
+
+def listing_pages(t):
     def record(title):
         return F.struct(
             F.col("o_orderkey").cast("string").alias("ctNumber"), title.alias("ctTitle"), F.format_string("Phase %d", F.col("o_custkey") % 4).alias("trialPhase"),
             F.format_string("S%d", "o_custkey").alias("sponsor"), F.lit("0-17 years").alias("ageGroup"), F.lit("Female").alias("gender"),
-            (F.col("o_custkey") % 90).cast("string").alias("totalNumberEnrolled"), F.lit("Ended").alias("ctStatus"), F.lit("y").alias("undeclared"))
+            (F.col("o_custkey") % 90).cast("string").alias("totalNumberEnrolled"), F.lit("Ended").alias("ctStatus"),
+            F.when(F.col("o_custkey") % 3 == 0, F.format_string("y%d", "o_custkey")).alias("last updated"))
 
     number = F.expr("o_orderkey div 100")
 
@@ -104,7 +111,10 @@ def newer_register(t):
         return t.orders.groupBy((number + shift).alias("n")).agg(data.alias("data"))
 
     listed = paged(0, F.lit("old title")).unionByName(paged(1_000_000, F.format_string("Trial %d", "o_orderkey")))
-    pages = listed.select(F.to_json(F.struct(F.struct(F.col("n").alias("currentPage")).alias("pagination"), "data")).alias("body"))
+    return listed.select(F.to_json(F.struct(F.struct(F.col("n").alias("currentPage")).alias("pagination"), "data")).alias("body"))
+
+
+def detail_documents(t):
     criteria = F.when(F.col("o_orderstatus") == "F", F.array(
         F.struct(F.format_string("age %d", F.col("o_custkey") % 80).alias("principalInclusionCriteria")),
         F.struct(F.lit(None).cast("string").alias("principalInclusionCriteria"))))
@@ -112,10 +122,35 @@ def newer_register(t):
         F.struct(F.lit("first").alias("trialPhase")).alias("trialCategory"),
         F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("estimatedRecruitmentStartDate")).alias("trialDuration"),
         F.struct(criteria.alias("principalInclusionCriteria")).alias("eligibilityCriteria"))
-    part = F.struct(F.struct(F.struct(information.alias("trialInformation")).alias("trialDetails")).alias("authorizedPartI"))
-    document = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("ctNumber"), part.alias("authorizedApplication")))
-    details = t.orders.select(F.when(F.col("o_orderstatus") == "P", "{broken").otherwise(document).alias("doc"),
-                              F.format_string("https://register.example/%d", "o_orderkey").alias("url"))
-    found = listings.newer_register(pages, "body", details, "doc")
-    return found.select("title", "eudract_nr", "trial_phase_desc", "Sponsor", "Age", "Gender", "nr_enrolled", "status", "trial_phase", "start_date",
-                        "inclusion_crt", "url")
+    places = F.when(F.col("o_custkey") % 2 == 0, F.array(F.struct(F.col("o_custkey").alias("site")), F.struct(F.lit(7).cast("long").alias("site"))))
+    part = F.struct(F.struct(F.struct(information.alias("trialInformation")).alias("trialDetails")).alias("authorizedPartI"),
+                    F.struct(F.col("o_orderpriority").alias("member.state")).alias("authorizedPartII"))
+    document = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("ctNumber"), part.alias("authorizedApplication"), places.alias("places")))
+    return t.orders.select(F.when(F.col("o_orderstatus") == "P", "{broken").otherwise(document).alias("doc"),
+                           F.format_string("https://register.example/%d", "o_orderkey").alias("url"), F.lit(2).alias("fetched"))
+
+
+@query("""
+SELECT 'Trial ' || o_orderkey AS title, o_orderkey::VARCHAR AS eudract_nr, CASE WHEN o_custkey % 3 = 0 THEN 'y' || o_custkey END AS updated,
+  CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS state, CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END AS start_date,
+  CASE WHEN o_orderstatus <> 'P' AND o_custkey % 2 = 0 THEN '[{"site":' || o_custkey || '},{"site":7}]' END AS places,
+  CASE WHEN o_orderstatus <> 'P' THEN 'https://register.example/' || o_orderkey END AS url, 3 AS undeclared FROM orders""")
+def open_register(t):
+    """Fields that nobody declared: one in the listing, two in the documents, each of which was fetched twice."""
+    now = detail_documents(t)
+    earlier = now.withColumns({"doc": F.replace("doc", F.lit("trialDuration"), F.lit("formerDuration")), "url": F.lit("old"), "fetched": F.lit(1)})
+    found = listings.newer_register(listing_pages(t), "body", earlier.unionByName(now), "doc", fetched="fetched", undeclared=True)
+    extra = [c for c in found.columns if c.startswith(("listing.", "detail."))]
+    return found.select("title", "eudract_nr", F.col("`listing.last updated`").alias("updated"), F.col("`detail.authorizedApplication.authorizedPartII.member.state`").alias("state"),
+                        "start_date", F.col("`detail.places`").alias("places"), "url", F.lit(len(extra)).alias("undeclared"))
+
+
+@query("""
+SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'https://register.example/t?a=' || o_custkey || '&b=é€&lt;' WHEN 'O' THEN 'https://register.example/l/Ω–' || o_custkey
+  ELSE 'https://register.example/x&nosuch;y' END AS link FROM orders""")
+def encoded_links(t):
+    """Addresses with named, decimal and hexadecimal character references, one of them written twice over, and an unknown one."""
+    target = (F.when(F.col("o_orderstatus") == "F", F.format_string("t?a=%d&#38;b=&#xE9;&euro;&amp;lt;", "o_custkey"))
+              .when(F.col("o_orderstatus") == "O", F.format_string("/l/&Omega;&#150;%d", "o_custkey")).otherwise("x&nosuch;y"))
+    pages = t.orders.select("o_orderkey", F.concat(F.lit('<p><a href="'), target, F.lit('">x</a></p>')).alias("html"), F.lit("https://register.example/").alias("url"))
+    return html.links(pages, "html", "url").select("o_orderkey", "link")

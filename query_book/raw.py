@@ -88,7 +88,7 @@ REGISTRY = {
     "search_terms": Raw("part", {"id": "p_partkey", "term": "p_name", "group": "p_type"}),
     "designs": Raw("orders", {
         "nct_id": NCT,
-        "allocation": by("o_orderstatus", {"F": "RANDOMIZED", "O": "NON_RANDOMIZED"}),
+        "allocation": by("o_orderstatus", {"F": "RANDOMIZED", "O": "NON_RANDOMIZED", "P": "ADAPTIVE"}),
         "intervention_model": by("o_orderpriority", {URGENT: "PARALLEL", HIGH: "CROSSOVER", MEDIUM: "SINGLE_GROUP", SOME: "FACTORIAL", LOW: "SEQUENTIAL"}),
         "primary_purpose": by("o_orderpriority", {URGENT: "TREATMENT", HIGH: "PREVENTION", LOW: "SCREENING"}),
         "masking": by("o_orderpriority", {URGENT: "NONE", HIGH: "SINGLE", MEDIUM: "DOUBLE", SOME: "QUADRUPLE", LOW: "TRIPLE"}),

@@ -77,7 +77,7 @@ clean AS (SELECT nct_id, eudract_id AS eudract_nr, official_title AS title, acro
   {is_any("phase", "EARLY_PHASE1")} AS p0, {is_any("phase", "PHASE1", "PHASE1/PHASE2")} AS p1,
   {is_any("phase", "PHASE2", "PHASE1/PHASE2", "PHASE2/PHASE3")} AS p2, {is_any("phase", "PHASE3", "PHASE2/PHASE3")} AS p3,
   {is_any("phase", "PHASE4")} AS p4, {is_any("allocation", "RANDOMIZED")} AS randomized,
-  {is_any("allocation", "NON_RANDOMIZED")} AS non_randomized, {is_any("intervention_model", "PARALLEL")} AS parallel,
+  {is_any("allocation", "NON_RANDOMIZED")} AS non_randomized, {is_any("allocation", "ADAPTIVE")} AS adaptive, {is_any("intervention_model", "PARALLEL")} AS parallel,
   {is_any("intervention_model", "CROSSOVER")} AS crossover, {is_any("intervention_model", "SINGLE_GROUP")} AS single_group,
   {is_any("masking", "NONE")} AS mask_none, {is_any("masking", "SINGLE")} AS mask_single, {is_any("masking", "DOUBLE")} AS mask_double,
   {is_any("masking", "TRIPLE")} AS mask_triple, {is_any("masking", "QUADRUPLE")} AS mask_quadruple,
@@ -170,7 +170,7 @@ merged AS (SELECT coalesce(e_nr, r_nr) AS eudract_nr, nct_id, coalesce(r_title,
   coalesce(sponsor_type, source_class) AS "Sponsor_type", coalesce(e_status, overall_status) AS status, study_type,
   intervention_model, primary_purpose, study_first_submitted_date, has_expanded_access, {", ".join(CARRIED)},
   mask_triple AS "masking_TRIPLE", mask_quadruple AS "masking_QUADRUPLE", single_group AS "intervention_model_SINGLE_GROUP",
-  factorial AS "intervention_model_FACTORIAL", sequential AS "intervention_model_SEQUENTIAL", url, NULL::VARCHAR AS nct_nr, dose,
+  factorial AS "intervention_model_FACTORIAL", sequential AS "intervention_model_SEQUENTIAL", adaptive AS "allocation_ADAPTIVE", url, NULL::VARCHAR AS nct_nr, dose,
   coalesce(p0, false) AS "trial_Early_Phase_I", coalesce(r1, e1) AS "trial_Phase_I", coalesce(r2, e2) AS "trial_Phase_II",
   coalesce(r3, e3) AS "trial_Phase_III", coalesce(r4, e4) AS "trial_Phase_IV",
   nullif(list_filter(found, lambda x, i: list_position(found, x) = i), []) AS therapeutic_area, keys AS keywords, interv AS interventions,
@@ -253,7 +253,7 @@ def harmonise_sources(t):
 
 @query(f"""
 WITH {CLEAN} SELECT nct_id, eudract_nr, title, "Protocol", study_type, overall_status, source, source_class, enrollment, number_of_arms,
-  has_expanded_access, intervention_model, primary_purpose, masking, masking_description, {", ".join(CARRIED)}, non_randomized AS "allocation_NON_RANDOMIZED",
+  has_expanded_access, intervention_model, primary_purpose, masking, masking_description, {", ".join(CARRIED)}, non_randomized AS "allocation_NON_RANDOMIZED", adaptive AS "allocation_ADAPTIVE",
   parallel AS "intervention_model_PARALLEL", crossover AS "intervention_model_CROSSOVER", factorial AS "intervention_model_FACTORIAL",
   sequential AS "intervention_model_SEQUENTIAL", mask_single AS "masking_SINGLE", mask_double AS "masking_DOUBLE", mask_triple AS "masking_TRIPLE",
   mask_quadruple AS "masking_QUADRUPLE", {shown_sql([], EXTRACT_DAYS, ["criteria", "keys", "interv"])}, terms, grouping, condition, p0 AS "trial_Early_Phase_I", p1 AS "trial_Phase_I",
@@ -261,10 +261,11 @@ WITH {CLEAN} SELECT nct_id, eudract_nr, title, "Protocol", study_type, overall_s
   single_group AS "intervention_model_SINGLE_GROUP", mask_none AS "masking_NONE", female AS "Gender_FEMALE", male AS "Gender_MALE",
   round(low, 6) AS minimum_age_num, round(high, 6) AS maximum_age_num FROM clean""")
 def clean_registry(t):
-    df = registry.clean_registry(extract(t, ordered=False))
+    """The code knows no allocation called ADAPTIVE; the tables do."""
+    df = registry.spread_categories(registry.clean_registry(extract(t, ordered=False)))
     return df.select("nct_id", "eudract_nr", "title", "Protocol", "study_type", "overall_status", "source", "source_class", "enrollment",
                      "number_of_arms", "has_expanded_access", "intervention_model", "primary_purpose", "masking", "masking_description", *CARRIED,
-                     "allocation_NON_RANDOMIZED", "intervention_model_PARALLEL", "intervention_model_CROSSOVER",
+                     "allocation_NON_RANDOMIZED", "allocation_ADAPTIVE", "intervention_model_PARALLEL", "intervention_model_CROSSOVER",
                      "intervention_model_FACTORIAL", "intervention_model_SEQUENTIAL", "masking_SINGLE", "masking_DOUBLE", "masking_TRIPLE",
                      "masking_QUADRUPLE", *[day(F.col(c)).alias(c) for c in EXTRACT_DAYS],
                      *[F.array_join(c, "|", "null").alias(c) for c in ("criteria", "keys", "interv")],
@@ -274,9 +275,25 @@ def clean_registry(t):
                      F.round("minimum_age_num", 6).alias("minimum_age_num"), F.round("maximum_age_num", 6).alias("maximum_age_num"))
 
 
-@query(f"WITH {MERGED} SELECT {shown_sql(MERGED_COLUMNS, MERGED_DAYS, MERGED_LISTS)} FROM merged")
+@query(f"WITH {MERGED} SELECT {shown_sql([*MERGED_COLUMNS, 'allocation_ADAPTIVE'], MERGED_DAYS, MERGED_LISTS)} FROM merged")
 def merge_registries(t):
-    return shown(merged(t), MERGED_COLUMNS, MERGED_DAYS, MERGED_LISTS)
+    """With the one allocation that the code does not know."""
+    whole = merged(t)
+    unknown = F.when(F.col("other_categories").isNotNull(), F.map_contains_key("other_categories", "allocation_ADAPTIVE"))
+    return shown(whole.withColumn("allocation_ADAPTIVE", unknown), [*MERGED_COLUMNS, "allocation_ADAPTIVE"], MERGED_DAYS, MERGED_LISTS)
+
+
+@query(f"""
+WITH {MERGED} SELECT 'allocation_ADAPTIVE' AS category, count(*) FILTER ("allocation_ADAPTIVE") AS studies, count(*) FILTER (NOT "allocation_ADAPTIVE") AS others,
+  count(*) FILTER ("allocation_ADAPTIVE" IS NULL) AS unknown FROM merged""")
+def open_categories(t):
+    """Every category of the merged table that the code does not know, learned from its map column."""
+    whole = merged(t)
+    spread = registry.spread_categories(whole)
+    found = [c for c in spread.columns if c not in whole.columns]
+    counts = [F.struct(F.lit(c).alias("category"), F.count_if(c).alias("studies"), F.count_if(~F.col(c)).alias("others"),
+                       F.count_if(F.col(c).isNull()).alias("unknown")) for c in found]
+    return spread.agg(F.array(*counts).alias("x")).select(F.inline("x"))
 
 
 @query(f"""

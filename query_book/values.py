@@ -86,6 +86,15 @@ def list_indicators(t):
     return columns.list_indicators(t.part.select("p_partkey", "p_name"), "p_name", " ", ["red", "bolt", "ring"])
 
 
+@query("""
+WITH w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS item FROM part WHERE p_name <> '')
+SELECT p_partkey, 'p_name.' || item AS item, list_contains(string_split(p_name, ' '), item)::INTEGER AS has FROM part, w WHERE item <> ''""")
+def list_indicators_learned(t):
+    """The columns of all words that part names have, learned from the table, shown one below the other."""
+    wide = columns.list_indicators(t.part.select("p_partkey", "p_name"), "p_name", " ")
+    return wide.unpivot("p_partkey", [columns.quoted(c) for c in wide.columns if c != "p_partkey"], "item", "has")
+
+
 @query(r"""
 WITH p AS (SELECT p_partkey, CASE p_type WHEN 'ECONOMY' THEN 'Human pharmacology (Phase I)' WHEN 'SMALL' THEN 'Phase II'
              WHEN 'STANDARD' THEN 'Phase I and Phase II (Integrated)' WHEN 'MEDIUM' THEN 'Phase III'

@@ -174,3 +174,20 @@ def test_scans_are_pruned_and_filters_pushed(spark):
 def test_entry(spark):
     df = book.entry(spark)
     assert isinstance(df.schema, T.StructType) and df.count() > 0
+
+
+def test_categories_nobody_knows_become_columns_without_a_list_of_names(spark):
+    names = [*registry.DESIGN_COLUMNS, "phase", "gender", "terms", "grouping", "condition", *registry.AGE_COLUMNS, "eudract_id", "official_title", "acronym"]
+    lists = {"gender", "terms", "grouping", "condition"}
+    kinds = ", ".join(["nct_id string", *[f"{c} {'array<string>' if c in lists else 'string'}" for c in names]])
+    def study(nct, **given):
+        return tuple([nct, *[given.get(c) for c in names]])
+    extract = spark.createDataFrame([study("N1", allocation="RANDOMIZED", masking="DOUBLE"), study("N2", allocation="ADAPTIVE", masking="QUINTUPLE"), study("N3")], kinds)
+    clean = registry.clean_registry(extract)
+    assert {r["nct_id"]: r["other_categories"] for r in clean.collect()} == {"N1": {}, "N2": {"allocation_ADAPTIVE": True, "masking_QUINTUPLE": True}, "N3": {}}
+    wide = registry.spread_categories(clean)
+    assert "other_categories" not in wide.columns and wide.columns[-2:] == ["allocation_ADAPTIVE", "masking_QUINTUPLE"]
+    assert [tuple(r) for r in wide.orderBy("nct_id").select("allocation_ADAPTIVE", "masking_QUINTUPLE", "masking_DOUBLE").collect()] == [
+        (False, False, True), (True, True, False), (False, False, False)]
+    with pytest.raises(ValueError, match="more than 1"):
+        registry.spread_categories(clean, limit=1)

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from trialweave.sources import files, html, jdbc, listings
+from trialweave.sources import documents, files, html, jdbc, listings
 
 DETAIL_PAGE = """<html><body><table class="summary">
 <tr><td>A.2</td><td>EudraCT number</td><td> 2010-123456-12 </td></tr>
@@ -130,3 +130,35 @@ def test_an_unreadable_document_does_not_lose_its_trial(spark):
     pages = spark.createDataFrame([(body,)], "body string")
     details = spark.createDataFrame([('{"ctNumber":"1"}', "u1"), ("broken", "u2")], "doc string, url string")
     assert sorted(r["eudract_nr"] for r in listings.newer_register(pages, "body", details, "doc").collect()) == ["1", "2"]
+
+
+def test_all_character_references_are_decoded_once(values):
+    seen = ["/x?a=1&#38;b=2&#x26;c=3", "&amp;lt;&lt;", "&nosuch;&Aacute;&#128;&#0;&#xD800;&#1114112;", "&copy", "&", None, "&#128512;&#X41;"]
+    assert values(html.decoded(F.col("c")), seen) == [
+        "/x?a=1&b=2&c=3", "&lt;<", "&nosuch;Á€���", "&copy", "&", None, "\U0001f600A"]
+
+
+def test_undeclared_fields_are_learned_from_the_documents(spark):
+    rows = ['{"id":"1","known":{"a":1},"new":{"x y":"v","list":[1,2]},"items":[{"k":1},{"m":2}]}', '{"id":"2","new":{"x y":3,"d.e":null,"it\'s":true}}', "broken", None, "[1]", '"text"']
+    df = spark.createDataFrame([(r,) for r in rows], "doc string").withColumn("v", documents.parsed(F.col("doc")))
+    got = documents.with_undeclared(df, "v", [("id",), ("known", "a"), ("items", "k")], "doc")
+    assert got.columns == ["doc", "v", "doc.items", "doc.new.d.e", "doc.new.it's", "doc.new.list", "doc.new.x y"]
+    first, second = got.where("doc LIKE '{%'").orderBy("doc").drop("doc", "v").collect()
+    assert tuple(first) == ('[{"k":1},{"m":2}]', None, None, "[1,2]", "v") and tuple(second) == (None, None, "true", None, "3")
+    whole = documents.with_undeclared(df, "v", [("id",), ("known", "a"), ("items", "k"), ("items", "m"), ("new", "list")], "doc")
+    assert "doc.items" not in whole.columns and "doc.new.list" not in whole.columns
+    with pytest.raises(ValueError, match="more than 1"):
+        documents.with_undeclared(df, "v", [], "doc", limit=1)
+    assert documents.with_undeclared(df.limit(0), "v", [], "doc").columns == ["doc", "v"]
+
+
+def test_the_newest_document_of_a_trial_counts_once(spark):
+    body = '{"pagination":{"currentPage":1},"data":[{"ctNumber":"1","ctTitle":"t","note":"n"},{"ctNumber":"2","extra":{"e":1}}]}'
+    pages = spark.createDataFrame([(body,)], "body string")
+    docs = [('{"ctNumber":"1","seen":"old"}', "u1", 1), ('{"ctNumber":"1","seen":"new"}', "u2", 2), ('{"ctNumber":"1","seen":"undated"}', "u3", None), ("broken", "u4", 9)]
+    details = spark.createDataFrame(docs, "doc string, url string, at int")
+    plain = {r["eudract_nr"]: r["url"] for r in listings.newer_register(pages, "body", details, "doc", fetched="at").collect()}
+    assert plain == {"1": "u2", "2": None}
+    assert listings.newer_register(pages, "body", details, "doc").count() == 2
+    rows = {r["eudract_nr"]: r for r in listings.newer_register(pages, "body", details, "doc", fetched="at", undeclared=True).collect()}
+    assert rows["1"]["listing.note"] == "n" and rows["1"]["detail.seen"] == "new" and rows["2"]["listing.extra.e"] == "1" and len(rows) == 2

@@ -61,13 +61,24 @@ def align_schema(df: DataFrame, schema: T.StructType, constants: Mapping[str, ob
             return F.lit(fixed[field.name]).cast(field.dataType).alias(field.name)
         if field.name not in df.columns:
             return F.lit(None).cast(field.dataType).alias(field.name)
-        if df.schema[field.name].dataType == field.dataType:
+        if nullable(df.schema[field.name].dataType) == nullable(field.dataType):
             return quoted(field.name)
-        return quoted(field.name).try_cast(field.dataType).alias(field.name)
+        return quoted(field.name).try_cast(nullable(field.dataType)).alias(field.name)
 
     return df.select(*[column(field) for field in schema.fields])
 
 
+def nullable(kind: T.DataType) -> T.DataType:
+    """The type with nulls allowed inside: no cast takes a possible null away."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(nullable(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(nullable(kind.keyType), nullable(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType)) for f in kind.fields])
+    return kind
+
+
 def learn_names(df: DataFrame, items: Column, limit: int = 5000) -> list[str]:
     """Distinct items of an array column, sorted, to be used as column names.
 

@@ -11,6 +11,7 @@ from trialweave.functions.values import (
     age_bands, earliest, flag_with_fallback, latest, origin, to_day, to_number,
 )
 from trialweave.operators import columns, joins
+from trialweave.plans.registry import OTHER_CATEGORIES
 
 # Column names of the registers and of the published table.
 # Which side wins where both registers have a column of the same meaning. "R" is the
@@ -40,7 +41,7 @@ KEPT = {
           "baseline_population", "enrollment_type", "number_of_groups", "why_stopped", "start_month_year",
           "start_date_type", "completion_month_year", "completion_date_type", "intervention_model_description",
           "observational_model", "time_perspective", "subject_masked", "caregiver_masked", "investigator_masked",
-          "outcomes_assessor_masked"],
+          "outcomes_assessor_masked", OTHER_CATEGORIES],
     "E": ["nct_nr", "url", "trial_design_Other_medicinal_product", "trial_design_Placebo",
           "trial_scope_Diagnosis", "trial_scope_Prophylaxis", "trial_scope_Therapy", "trial_scope_Safety",
           "trial_scope_Efficacy", "trial_scope_Pharmacokinetic", "trial_scope_Pharmacodynamic",
@@ -53,7 +54,8 @@ KEPT = {
 def merge_registries(eu: DataFrame, registry: DataFrame, overlapping_ages: bool = False) -> DataFrame:
     """Full outer join on the EU number with a rule per column; studies without a number stay alone.
 
-    Indicators of the registry's categories beyond those that the rules merge are kept under their own names.
+    Indicators of the registry's categories beyond those that the rules merge are kept under their own names, those that the
+    cleaning does not know as entries of ``other_categories`` (see :func:`trialweave.plans.registry.spread_categories`).
 
     ``eu`` comes from :func:`trialweave.plans.eu.harmonise` and ``registry`` from
     :func:`trialweave.plans.registry.clean_registry`.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trialweave.functions.values import age_in_years, is_value
 from trialweave.operators import aggregates, joins
-from trialweave.operators.columns import learn_names
+from trialweave.operators.columns import learn_names, quoted
 from trialweave.operators.filters import matches_or_missing
 
 # Columns taken from the registry's tables, and the shape of an EU number.
@@ -78,16 +78,17 @@ def registry_extract(tables: Mapping[str, DataFrame], country: str, one_row: boo
     return wide.orderBy(F.desc_nulls_last("study_first_submitted_date"), "nct_id") if ordered else wide
 
 
-def learn_categories(extract: DataFrame, limit: int = 5000) -> dict[str, list[str]]:
-    """The categories of masking, allocation and intervention model a table has; one job each."""
-    return {name: learn_names(extract, F.array(F.col(name)), limit) for name in ("allocation", "intervention_model", "masking")}
+# Registry columns whose categories become indicators, and the column that holds the categories beyond the known ones.
+CATEGORY_COLUMNS = ("allocation", "intervention_model", "masking")
+OTHER_CATEGORIES = "other_categories"
 
 
-def clean_registry(extract: DataFrame, more_categories: Mapping[str, list[str]] | None = None) -> DataFrame:
+def clean_registry(extract: DataFrame) -> DataFrame:
     """Names of the merged schema, category indicators, ages in years.
 
-    The registry's categories are fixed; ``more_categories``, as ``learn_categories`` finds them, adds
-    indicators for others.
+    The registry's known categories become a column each. Any other category of a study is an entry, such as
+    ``masking_X``, of the map ``other_categories``, which needs no job and no list of names; ``spread_categories`` makes columns
+    of the entries where the table is shown or written.
     """
     phase, allocation = F.col("phase"), F.col("allocation")
     gender = F.coalesce(F.col("gender"), F.array())
@@ -118,9 +119,10 @@ def clean_registry(extract: DataFrame, more_categories: Mapping[str, list[str]]
         "Gender_FEMALE": sex("FEMALE"),
         "Gender_MALE": sex("MALE"),
     }
-    # Categories beyond the known ones become indicators too.
-    for name, values in (more_categories or {}).items():
-        indicators |= {f"{name}_{v}": is_value(F.col(name), v) for v in values if f"{name}_{v}" not in indicators}
+    unknown = [F.when(~F.concat(F.lit(f"{c}_"), F.col(c)).isin(list(indicators)), F.concat(F.lit(f"{c}_"), F.col(c)))
+               for c in CATEGORY_COLUMNS]
+    found = F.array_distinct(F.filter(F.array(*unknown), lambda x: x.isNotNull()))
+    others = {OTHER_CATEGORIES: F.map_from_arrays(found, F.transform(found, lambda _: F.lit(True)))}
     # An empty list is no value, so it must not win over the EU register's condition.
     lists_as_text = {c: F.nullif(F.array_join(c, " | "), F.lit("")) for c in ("terms", "grouping", "condition")}
     ages = {
@@ -128,7 +130,18 @@ def clean_registry(extract: DataFrame, more_categories: Mapping[str, list[str]]
         "maximum_age_num": age_in_years(F.col("maximum_age_num"), F.col("maximum_age_unit")),
     }
     return (
-        extract.withColumns({**indicators, **lists_as_text, **ages})
+        extract.withColumns({**indicators, **others, **lists_as_text, **ages})
         .withColumnsRenamed({"eudract_id": "eudract_nr", "official_title": "title", "acronym": "Protocol"})
         .drop("phase", "allocation", "gender", "minimum_age_unit", "maximum_age_unit")
     )
+
+
+def spread_categories(df: DataFrame, name: str = OTHER_CATEGORIES, limit: int = 5000) -> DataFrame:
+    """The entries of the map as one boolean column each, in place of it; null where the row has no map.
+
+    One aggregation of the map's keys learns the names; more than ``limit`` are an error, never a silent cut.
+    """
+    keys = learn_names(df, F.map_keys(F.col(name)), limit)
+    known = F.col(name).isNotNull()
+    columns = [F.when(known, F.map_contains_key(name, k)).alias(k) for k in keys]
+    return df.select(*[quoted(c) for c in df.columns if c != name], *columns)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import html.entities
+import json
 import re
 from html.parser import HTMLParser
 
@@ -50,11 +53,42 @@ def label_values(html: Column, label_tag: str, value_tag: str) -> Column:
     return lists.pairs_to_map(F.arrays_zip(side(1).alias("key"), side(2).alias("value")))
 
 
+_REFERENCE = r"&(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);"
+
+
+@functools.cache
+def _named_references() -> str:
+    """The named character references of HTML and what they stand for, as a JSON object."""
+    return json.dumps({n.removesuffix(";"): mark for n, mark in html.entities.html5.items() if n.endswith(";")})
+
+
+def _control_marks() -> str:
+    """Numbers 128 to 159 stand for the marks of the Windows code page, where it has one."""
+    marks = {str(i): bytes([i]).decode("cp1252", "ignore") for i in range(128, 160)}
+    return json.dumps({i: mark for i, mark in marks.items() if mark})
+
+
 def decoded(c: Column) -> Column:
-    """The character references that occur in addresses as characters."""
-    for name, mark in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("#39", "'"), ("#x27", "'"), ("amp", "&")):
-        c = F.replace(c, F.lit(f"&{name};"), F.lit(mark))
-    return c
+    """Character references, named and numeric, as the characters they stand for, each once; unknown ones stay.
+
+    A number that is no character (zero, a surrogate, beyond Unicode) becomes the replacement character.
+    """
+    table = F.from_json(F.lit(_named_references()), "map<string,string>")
+    controls = F.from_json(F.lit(_control_marks()), "map<string,string>")
+
+    def character(reference: Column) -> Column:
+        name = F.substr(reference, F.lit(2), F.length(reference) - 2)
+        hexadecimal = name.rlike("^#[xX]")
+        digits = F.when(hexadecimal, F.substr(name, F.lit(3))).otherwise(F.substr(name, F.lit(2)))
+        number = F.conv(F.when(hexadecimal, digits).otherwise(F.conv(digits, 10, 16)), 16, 10).cast("long")
+        sound = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+        plain = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        numeric = F.when(sound, F.coalesce(F.try_element_at(controls, number.cast("string")), plain)).otherwise("\ufffd")
+        return F.when(name.startswith("#"), numeric).otherwise(F.coalesce(F.try_element_at(table, name), reference))
+
+    marks = F.transform(F.regexp_extract_all(c, F.lit(f"({_REFERENCE})"), F.lit(1)), character)
+    pieces = F.zip_with(F.split(c, _REFERENCE, -1), F.concat(marks, F.array(F.lit(""))), lambda text, mark: F.concat(text, mark))
+    return F.when(c.contains("&"), F.array_join(pieces, "")).otherwise(c)
 
 
 _HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
