@@ -149,9 +149,13 @@ def test_every_query_has_sql_and_none_pairs_rows_without_a_key(spark):
 
 
 def test_the_merge_computes_the_star_join_once(spark):
-    plan = query_book.QUERIES["merge_registries"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
-    # Both sides are staged, so the join reads two written tables and nothing of the sources.
-    assert plan.count("Join ") <= 3 and "orders.parquet" not in plan
+    def relations(name):
+        plan = query_book.QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("Relation ["), plan.count("FullOuter")
+
+    # One full outer join, above no more reads of the tables than its two sides have.
+    (read, full), (left, _), (right, _) = [relations(n) for n in ("merge_registries", "harmonise_sources", "clean_registry")]
+    assert full == 1 and read <= left + right
 
 
 def test_chunks_move_no_table_for_their_offsets(spark):
