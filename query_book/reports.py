@@ -8,8 +8,8 @@ from query_book.raw import EU, PROGRAMMES, REGISTRY, ctes
 from trialweave.functions import text
 from trialweave.operators import ordering
 from trialweave.functions.values import to_day
-from trialweave.plans import eu, merge, registry, reports, search, shortlist as short, two_sources
-from trialweave.sources import files
+from trialweave.plans import eu, facets, merge, registry, reports, search, shortlist as short, two_sources
+from trialweave.sources import files, landing
 from trialweave.sources.html import programme_fields
 
 COUNTRY = "NATION_3"
@@ -238,6 +238,17 @@ def registry_extract_one_row(t):
     return shown(extract(t, one_row=True), EXTRACT_PLAIN, EXTRACT_DAYS, EXTRACT_LISTS)
 
 
+def bucketed_tables(t, buckets: int = 8) -> dict[str, DataFrame]:
+    return landing.land_together({n: r.frame(t) for n, r in REGISTRY.items()}, "nct_id", t.scratch("bucketed"), buckets)
+
+
+@query(f"WITH {EXTRACT} SELECT {shown_sql(EXTRACT_PLAIN, EXTRACT_DAYS, EXTRACT_LISTS)} FROM wide")
+def registry_extract_bucketed(t):
+    """The extract over tables that were landed bucketed by study."""
+    found = registry.registry_extract(bucketed_tables(t), COUNTRY, ordered=False)
+    return shown(found, EXTRACT_PLAIN, EXTRACT_DAYS, EXTRACT_LISTS)
+
+
 @query(f"""
 WITH {HARMONISED} SELECT eudract_nr, title, sponsor AS "Sponsor", sponsor_type AS "Sponsor_type", status, nr_enrolled,
   strftime(start_date, '%Y-%m-%d') AS start_date, strftime(end_date, '%Y-%m-%d') AS end_date, minor AS "Age_0_17_years",
@@ -472,3 +483,34 @@ def bad_answer_count(t):
     chunks = ordering.chunk_rows(t.documents.select("doc_id", "n_chars"), [F.desc_nulls_last("n_chars"), F.col("doc_id")], 50)
     contexts = ordering.chunk_context(chunks, text.labelled_line([("id", F.col("doc_id"))]), "Studies:")
     return short.bad_answers(short.ask(contexts, unreadable))
+
+
+FACET_ROWS = """flags AS (SELECT l_orderkey, list(DISTINCT lower(l_returnflag)) AS flags FROM lineitem GROUP BY 1),
+studies AS (SELECT o_orderkey, nullif(lower(o_orderstatus), 'p') AS status, lower(o_orderpriority) AS priority, flags FROM orders LEFT JOIN flags ON l_orderkey = o_orderkey),
+entries AS (SELECT o_orderkey, 'status' AS facet, status AS option FROM studies WHERE status IS NOT NULL UNION ALL SELECT o_orderkey, 'priority', priority FROM studies
+  UNION ALL SELECT o_orderkey, 'flag', unnest(flags) FROM studies),
+chosen AS (SELECT o_orderkey FROM studies WHERE status IN ('f', 'o') AND list_contains(flags, 'r'))"""
+
+
+def facet_studies(t) -> tuple[DataFrame, DataFrame]:
+    """Orders as numbered studies with three facets, and their index; a status is missing for one in many."""
+    flags = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_set("l_returnflag").alias("flags"))
+    rows = facets.numbered(t.orders.join(flags, "o_orderkey", "left").select("o_orderkey", "o_orderstatus", "o_orderpriority", "flags"), [F.col("o_orderkey")])
+    status = F.nullif("o_orderstatus", F.lit("P"))
+    return rows, facets.facet_index(rows, {"status": facets.options_of(status, False), "priority": facets.options_of(F.col("o_orderpriority"), False),
+                                           "flag": facets.options_of(F.col("flags"))})
+
+
+FACET_CHOICE = {"status": ["f", "o"], "flag": ["r"]}
+
+
+@query(f"""WITH {FACET_ROWS}, o AS (SELECT DISTINCT facet, option FROM entries)
+SELECT facet, option, (SELECT count(*) FROM entries e WHERE e.facet = o.facet AND e.option = o.option AND e.o_orderkey IN (SELECT o_orderkey FROM chosen)) AS studies FROM o""")
+def facet_counts(t):
+    return facets.facet_counts(facet_studies(t)[1], FACET_CHOICE)
+
+
+@query(f"WITH {FACET_ROWS} SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey IN (SELECT o_orderkey FROM chosen)")
+def facet_rows(t):
+    rows, index = facet_studies(t)
+    return facets.rows_of(rows, facets.chosen_studies(index, FACET_CHOICE)).select("o_orderkey", "o_orderstatus", "o_orderpriority")

@@ -6,7 +6,8 @@ from pyspark.sql import types as T
 
 import __spark_entry__ as book
 import query_book
-from trialweave.plans import eu, merge, registry, reports, search, shortlist as short
+from query_book import reports as report_queries
+from trialweave.plans import eu, facets, merge, registry, reports, search, shortlist as short
 
 DATA = "/root/testdata/sf0.001"
 D = datetime.date
@@ -195,3 +196,38 @@ def test_categories_nobody_knows_become_columns_without_a_list_of_names(spark):
         (False, False, True), (True, True, False), (False, False, False)]
     with pytest.raises(ValueError, match="more than 1"):
         registry.spread_categories(clean, limit=1)
+
+
+def test_a_bucketed_landing_is_extracted_without_moving_its_tables(spark):
+    t = query_book.Tables(spark, DATA)
+    tables = report_queries.bucketed_tables(t, 4)
+    wide = registry.registry_extract(tables, report_queries.COUNTRY, ordered=False)
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Exchange SinglePartition" not in plan
+    plain = registry.registry_extract({n: r.frame(t) for n, r in report_queries.REGISTRY.items()}, report_queries.COUNTRY, ordered=False)
+    assert "Exchange hashpartitioning" in plain._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, wide.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_facet_counts_and_rows_come_from_the_index(spark):
+    rows = [(i, f" Area  {i % 3}", ["x", "Y ", "x"] if i % 2 else None) for i in range(40000)]
+    studies = facets.numbered(spark.createDataFrame(rows, "id int, area string, keys array<string>").repartition(3), [F.col("id")])
+    assert [r[0] for r in studies.agg(F.min("study_number"), F.max("study_number")).collect()] == [1]
+    index = facets.facet_index(studies, {"area": facets.options_of(F.col("area"), False), "key": facets.options_of(F.col("keys"))})
+    assert index.select("bucket").distinct().count() == 2
+
+    def counts(choice):
+        return {(r["facet"], r["option"]): r["studies"] for r in facets.facet_counts(index, choice).collect()}
+
+    def brute(chosen):
+        kept = [r for r in rows if chosen(r)]
+        out = {("area", f"area {k}"): sum(r[0] % 3 == k for r in kept) for k in range(3)}
+        return out | {("key", k): sum(r[2] is not None for r in kept) for k in ("x", "y")}
+
+    assert counts({}) == brute(lambda r: True)
+    assert counts({"area": ["area 0", "area 2"], "key": ["y"]}) == brute(lambda r: r[0] % 3 != 1 and r[0] % 2)
+    assert counts({"area": ["none"]}) == brute(lambda r: False)
+    found = facets.rows_of(studies, facets.chosen_studies(index, {"area": ["area 1"], "key": ["x", "y"]}))
+    assert found.columns == studies.columns and {r["id"] for r in found.collect()} == {r[0] for r in rows if r[0] % 3 == 1 and r[0] % 2}
+    empty = facets.facet_index(studies.limit(0), {"area": facets.options_of(F.col("area"), False)})
+    assert facets.facet_counts(empty, {}).count() == 0

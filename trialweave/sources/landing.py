@@ -113,6 +113,26 @@ def land(df: DataFrame, root: str, source: str, cluster_by: Sequence[str] = (),
     return f"{root}/{source}/{folder}"
 
 
+def land_together(tables: Mapping[str, DataFrame], key: str, folder: str, buckets: int = 64) -> dict[str, DataFrame]:
+    """Land tables that are joined by one key as bucketed tables; returns them as read back, by name.
+
+    All are cut into the same number of buckets by the key and sorted within, so joins, aggregations and first rows by the key
+    move none of them. They are entered in the session's catalog under names of their own, with their files below ``folder``.
+    Tables without the key are landed as they are. One key's rows share a bucket: keys with a large share of all rows want the
+    adaptive skew join on an unbucketed landing instead.
+    """
+    run, out = uuid.uuid4().hex, {}
+    for name, df in tables.items():
+        table, path = f"landed_{name}_{run}", f"{folder}/{name}-{run}"
+        if key in df.columns:
+            laid = df.repartition(buckets, quoted(key)).write.bucketBy(buckets, key).sortBy(key)
+        else:
+            laid = df.write
+        laid.format("parquet").option("path", path).saveAsTable(table)
+        out[name] = df.sparkSession.table(table)
+    return out
+
+
 def _read(spark: SparkSession, root: str, source: str, rows: Sequence, schema: T.StructType) -> DataFrame:
     paths = [f"{root}/{source}/{r['folder']}" for r in rows]
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
