@@ -456,21 +456,36 @@ def hits(shown_text: str) -> str:
     return "(" + " + ".join(f"contains({shown_text}, '{w}')::INTEGER" for w in WORDS) + f") / {len(WORDS)}"
 
 
-@query(rf"""
+SHORTLIST = rf"""
 WITH d AS (SELECT doc_id, lang, source, n_chars, lower(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS title FROM documents),
 o AS (SELECT *, row_number() OVER (ORDER BY n_chars DESC NULLS LAST, doc_id) - 1 AS ordinal, count(*) OVER () AS n FROM d),
 first AS (SELECT * FROM o WHERE ordinal // 100 < ceil(ceil(n / 100) * 0.5) AND {hits("lower('Title: ' || title)")} > 0.5)
 SELECT doc_id AS database_index, round({hits("lower('Title: ' || title || ', Language: ' || lang || ', Source: ' || source)")}, 9) AS certainty,
-  title AS "Title" FROM first ORDER BY certainty DESC, doc_id LIMIT 5""")
-def shortlist(t):
+  title AS "Title" FROM first ORDER BY certainty DESC, doc_id LIMIT 5"""
+
+
+def shortlisted(t, scorer, store: str | None = None) -> DataFrame:
     studies = t.documents.select("doc_id", text.normalise(F.col("text")).alias("title"), "n_chars", "lang", "source")
     best = short.shortlist(
         studies, "doc_id", "title", "n_chars",
         [("Title", F.col("title")), ("Language", F.col("lang")), ("Source", F.col("source"))],
-        short.keyword_scorer(WORDS), size=100, proportion=0.5, cutoff=0.5)
+        scorer, size=100, proportion=0.5, cutoff=0.5, store=store)
     return best.withColumn("certainty", F.round("certainty", 9))
 
 
+@query(SHORTLIST)
+def shortlist(t):
+    return shortlisted(t, short.keyword_scorer(WORDS))
+
+
+@query(SHORTLIST)
+def shortlist_stored(t):
+    """The second run finds every answer in the store: its scorer knows nothing."""
+    store = t.scratch("answers")
+    shortlisted(t, short.keyword_scorer(WORDS), store)
+    return shortlisted(t, short.keyword_scorer(["nothing"]), store)
+
+
 @query("""
 WITH o AS (SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC NULLS LAST, doc_id) - 1 AS ordinal FROM documents)
 SELECT count(DISTINCT ordinal // 50) FILTER ((ordinal // 50) % 2 = 1) AS bad_answers FROM o""")

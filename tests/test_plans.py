@@ -231,3 +231,39 @@ def test_facet_counts_and_rows_come_from_the_index(spark):
     assert found.columns == studies.columns and {r["id"] for r in found.collect()} == {r[0] for r in rows if r[0] % 3 == 1 and r[0] % 2}
     empty = facets.facet_index(studies.limit(0), {"area": facets.options_of(F.col("area"), False)})
     assert facets.facet_counts(empty, {}).count() == 0
+
+
+def test_a_scorer_is_asked_once_whatever_fails(spark, tmp_path):
+    calls, store, broken = tmp_path / "calls", str(tmp_path / "answers"), tmp_path / "broken"
+    calls.mkdir()
+    broken.touch()
+
+    def scorer(batches):
+        import time
+        import uuid
+
+        for b in batches:
+            for chunk in b["chunk"]:
+                if chunk == 7 and broken.exists():
+                    time.sleep(4)  # the others are done by then
+                    raise RuntimeError("the service hung up")
+                (calls / f"{chunk}-{uuid.uuid4().hex}").touch()
+                yield b[b["chunk"] == chunk][["chunk"]].assign(answer=f"```json\n[{{\"database_index\": {chunk}, \"certainty\": 1}}]\n```")
+
+    contexts = spark.createDataFrame([(i, f"context {i}") for i in range(12)] + [(90, "context 3")], "chunk long, context string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="hung up"):
+            short.asked_once(contexts, scorer, store)
+        first = len(list(calls.iterdir()))
+        assert first >= 4 and short.stored_answers(spark, store).count() >= 4
+        broken.unlink()
+        answers = {r["chunk"]: r["answer"] for r in short.asked_once(contexts, scorer, store).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert set(answers) == {*range(12), 90} and answers[90] == answers[3]
+    asked = [p.name.split("-")[0] for p in calls.iterdir()]
+    assert len(asked) - len(set(asked)) <= first - 4 and sum(c in ("3", "90") for c in set(asked)) == 1
+    before = len(asked)
+    rows = short.ask(contexts, scorer, store)
+    assert rows.count() == 13 and len(list(calls.iterdir())) == before
