@@ -225,3 +225,27 @@ def test_union_counts_and_unlike_types_become_text(spark):
 
 def test_tune_sets_runtime_options_only(spark):
     assert tune(spark).conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+
+
+def test_quantiles_of_odd_doubles(spark):
+    inf, tiny = math.inf, 5e-324
+    columns_of = {"wide": [-1.7e308, 1.7e308, 0.0, 1.0, 2.0], "tiny": [0.0, tiny, 2 * tiny, 3 * tiny, 3 * tiny], "ends": [-inf, -inf, 1.0, inf, inf],
+                  "nan": [1.0, 2.0, 3.0, math.nan, math.nan], "same": [7.0] * 5, "one": [None, None, 4.0, None, None], "none": [None] * 5}
+    df = spark.createDataFrame(list(zip(*columns_of.values())), ", ".join(f"{c} double" for c in columns_of))
+    got = {r["column"]: r for r in profile.exact_quantiles(df, list(columns_of), {"q25": 0.25, "q50": 0.5, "q75": 0.75}).collect()}
+    assert tuple(got["wide"])[1:] == (0.0, 1.0, 2.0) and tuple(got["tiny"])[1:] == (tiny, 2 * tiny, 3 * tiny)
+    assert tuple(got["ends"])[1:] == (-inf, 1.0, inf) and tuple(got["same"])[1:] == (7.0,) * 3 and tuple(got["one"])[1:] == (4.0,) * 3
+    assert tuple(got["nan"])[1:3] == (2.0, 3.0) and math.isnan(got["nan"]["q75"]) and tuple(got["none"])[1:] == (None,) * 3
+
+
+def test_quantiles_close_in_on_skewed_values(spark, monkeypatch):
+    monkeypatch.setattr(profile, "RANGES", 4)
+    df = spark.range(2000).select((F.pow(F.lit(1.02), F.col("id") % 700) * F.when(F.col("id") % 2 == 0, 1).otherwise(-1)).alias("x"), F.when(F.col("id") < 1500, 3.0).otherwise(F.col("id").cast("double")).alias("hot"))
+    rows = df.collect()
+    got = {r["column"]: r for r in profile.exact_quantiles(df, ["x", "hot"], {"p1": 0.01, "p50": 0.5, "p999": 0.999}).collect()}
+    for c in ("x", "hot"):
+        values = sorted(r[c] for r in rows)
+        for point, share in (("p1", 0.01), ("p50", 0.5), ("p999", 0.999)):
+            place = share * 1999
+            low = math.floor(place)
+            assert got[c][point] == pytest.approx(values[low] * (1 - place + low) + values[min(low + 1, 1999)] * (place - low), rel=1e-12)

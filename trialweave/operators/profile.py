@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from trialweave.operators.columns import quoted
-from trialweave.operators.ordering import staged_in_order
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -32,75 +31,116 @@ def column_info(df: DataFrame) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Count, mean, deviation, minimum, quartiles and maximum per numeric column."""
-    basic = df.agg(*[
-        F.struct(
-            F.lit(c).alias("column"), F.count(v).alias("count"), F.avg(v).alias("mean"),
-            F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
-        ).alias(f"s{i}")
-        for i, (c, v) in enumerate((c, quoted(c).cast("double")) for c in names)
-    ]).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(names))])))
-    quartiles = exact_quantiles(df, names, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    return basic.join(quartiles, "column", "left").select(
-        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
-    )
+    """Count, mean, deviation, minimum, quartiles and maximum per numeric column. Runs when called; one row per column comes back."""
+    ends = _ends(df, names)
+    points = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    found = _quantiles(df, names, points, ends)
+    rows = [(c, at["n"], at["mean"], at["std"], at["min"], *[found[i].get(p) for p in points], at["max"])
+            for i, (c, at) in enumerate(zip(names, ends))]
+    shown = [f"{c} double" for c in ("mean", "std", "min", *points, "max")]
+    return df.sparkSession.createDataFrame(rows, ", ".join(["column string", "count long", *shown]))
+
+
+# Ranges a searched interval is cut into; so many counts per wanted rank and column reach the driver at most.
+RANGES = 2048
+
+
+@dataclass
+class _Interval:
+    """A column's values from ``low`` to ``high`` hold the wanted ranks; ``before`` values of the column are smaller."""
+
+    column: int
+    low: float
+    high: float
+    before: int
+    ranks: set[int]
 
 
 def exact_quantiles(df: DataFrame, names: Sequence[str], points: dict[str, float]) -> DataFrame:
-    """Interpolated exact quantiles per column, one output column per point.
+    """Interpolated exact quantiles per column, one output column per point; null for a column without values.
 
-    Spark's exact ``percentile`` keeps all distinct values of a column in one task. Here
-    values are counted, the counts range-sorted over the cluster, and the wanted ranks
-    looked up in the few sort partitions that hold them.
+    Spark's exact ``percentile`` keeps all distinct values of a column in one task, and a sort would move the table. Here
+    the wanted ranks are closed in on: each pass counts the values of a few ranges, and only the range that holds a rank is cut
+    again, until it holds one value. Two or three scans do for most columns; nothing is sorted, staged or shuffled but the
+    counts. Not-a-number counts as the greatest value.
     """
-    spark = df.sparkSession
-    tagged = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("c"), quoted(n).cast("double").alias("v")) for i, n in enumerate(names)
-    ]))
-    counts = (
-        df.select(tagged.alias("x")).select("x.c", "x.v").where("v IS NOT NULL")
-        .groupBy("c", "v").agg(F.count("*").alias("n"))
-    )
-    placed = staged_in_order(counts, [F.col("c"), F.col("v")])
-    sizes = {
-        (r["c"], r["__part"]): r["n"]
-        for r in placed.groupBy("c", "__part").agg(F.sum("n").alias("n")).collect()
-    }
-    schema = "c int, point string, rank long, part long, start long, weight double"
-    wanted = []
+    found = _quantiles(df, names, points, _ends(df, names))
+    schema = ", ".join(["column string", *[f"`{p}` double" for p in points]])
+    return df.sparkSession.createDataFrame([(n, *[found[i].get(p) for p in points]) for i, n in enumerate(names)], schema)
+
+
+def _ends(df: DataFrame, names: Sequence[str]) -> list:
+    """Per column the counts, mean, deviation and ends of its values, from one pass."""
+    def one(i: int, v: Column) -> Column:
+        f = _finite(v)
+        return F.struct(
+            F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
+            F.count_if(v == -math.inf).alias("least"), F.count(f).alias("finite"), F.count_if(v == math.inf).alias("most"),
+            F.min(f).alias("low"), F.max(f).alias("high")).alias(f"c{i}")
+
+    return list(df.agg(*[one(i, quoted(n).cast("double")) for i, n in enumerate(names)]).first())
+
+
+def _finite(v: Column) -> Column:
+    return F.when(F.abs(v) < math.inf, v)
+
+
+def _quantiles(df: DataFrame, names: Sequence[str], points: dict[str, float], ends: list) -> list[dict[str, float]]:
+    """Per column the wanted quantiles by point; none for a column without values."""
+    finite = [_finite(quoted(n).cast("double")) for n in names]
+    found: dict[tuple[int, int], float] = {}
+    wanted, searched = [], []
     for i in range(len(names)):
-        parts = sorted(p for c, p in sizes if c == i)
-        total = sum(sizes[i, p] for p in parts)
+        at = ends[i]
+        ranks = set()
         for point, share in points.items():
-            if total:
-                place = share * (total - 1)
+            if at["n"]:
+                place = share * (at["n"] - 1)
                 low, weight = math.floor(place), place - math.floor(place)
-                for rank, w in ((low, 1 - weight), (low + 1, weight)):
-                    if w:
-                        wanted.append((i, point, rank, *_holder(sizes, i, parts, rank), w))
-    ranks = spark.createDataFrame(wanted, schema)
-    needed = sorted({w[3] for w in wanted})
-    window = Window.partitionBy("__part", "c").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    # Only the partitions that hold a wanted rank are read again.
-    in_reach = placed.where(F.col("__part").isin(*needed)) if needed else placed.limit(0)
-    running = in_reach.withColumn("upto", F.sum("n").over(window)).select("c", "v", "n", "upto", "__part")
-    local = ranks["rank"] - ranks["start"]
-    found = ranks.join(
-        running,
-        (ranks["c"] == running["c"]) & (ranks["part"] == running["__part"])
-        & (local < running["upto"]) & (local >= running["upto"] - running["n"]),
-    ).select(ranks["c"], "point", (F.col("v") * F.col("weight")).alias("share"))
-    labels = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(i), F.lit(n))])
-    return found.groupBy(labels[F.col("c")].alias("column")).agg(*[
-        F.sum(F.when(F.col("point") == p, F.col("share"))).alias(p) for p in points
-    ])
-
-
-def _holder(sizes: dict, c: int, parts: list[int], rank: int) -> tuple[int, int]:
-    """Partition that holds a rank of column c, and the rank its first row has."""
-    start = 0
-    for part in parts:
-        if rank < start + sizes[c, part]:
-            return part, start
-        start += sizes[c, part]
-    raise ValueError("rank beyond the column")
+                wanted.append((i, point, low, weight))
+                ranks |= {low, low + 1} if weight else {low}
+        inner = {r for r in ranks if at["least"] <= r < at["least"] + at["finite"]}
+        for r in ranks - inner:
+            found[i, r] = -math.inf if r < at["least"] else math.inf if r < at["least"] + at["finite"] + at["most"] else math.nan
+        if inner:
+            searched.append(_Interval(i, at["low"], at["high"], at["least"], inner))
+    while searched:
+        searched = _narrowed(df, finite, searched, found)
+    out: list[dict[str, float]] = [{} for _ in names]
+    for i, point, rank, weight in wanted:
+        value = found[i, rank]
+        out[i][point] = value if not weight else value * (1 - weight) + found[i, rank + 1] * weight
+    return out
+
+
+def _narrowed(df: DataFrame, values: Sequence[Column], searched: Sequence[_Interval], found: dict[tuple[int, int], float]) -> list[_Interval]:
+    """One pass over the searched intervals: what is left to search. Found values go into ``found``."""
+    todo = []
+    for at in searched:
+        if at.low == at.high:
+            found.update({(at.column, r): at.low for r in at.ranks})
+        else:
+            todo.append(at)
+    if not todo:
+        return []
+
+    def entry(number: int, at: _Interval) -> Column:
+        v = values[at.column]
+        # Halves, so that the width of an interval never exceeds the largest double.
+        width = at.high / 2 - at.low / 2
+        share = (v / 2 - at.low / 2) / width * RANGES if width else F.when(v == at.low, 0.0).otherwise(float(RANGES - 1))
+        inside = v.between(at.low, at.high)
+        return F.when(inside, F.struct(F.lit(number).alias("interval"), F.least(F.floor(share), F.lit(RANGES - 1)).alias("range"), v.alias("v")))
+
+    entries = F.explode(F.array(*[entry(i, at) for i, at in enumerate(todo)]))
+    counted = df.select(entries.alias("e")).where("e IS NOT NULL").groupBy("e.interval", "e.range").agg(
+        F.count("*").alias("n"), F.min("e.v").alias("low"), F.max("e.v").alias("high")).collect()
+    left = []
+    for number, at in enumerate(todo):
+        before = at.before
+        for r in sorted((r for r in counted if r["interval"] == number), key=lambda r: r["range"]):
+            ranks = {rank for rank in at.ranks if before <= rank < before + r["n"]}
+            if ranks:
+                left.append(_Interval(at.column, r["low"], r["high"], before, ranks))
+            before += r["n"]
+    return left
