@@ -72,8 +72,8 @@ def asked_once(contexts: DataFrame, scorer: Scorer, store: str) -> DataFrame:
     """
     spark = contexts.sparkSession
     known = stage(contexts.select("chunk", "context", F.sha2("context", 256).alias("digest")), "contexts")
-    missing = known.join(stored_answers(spark, store).select("digest"), "digest", "left_anti").dropDuplicates(["digest"])
-    missing = stage(missing.select("chunk", "context", "digest"), "unanswered")
+    firsts = known.groupBy("digest").agg(F.min("chunk").alias("chunk"))
+    missing = stage(firsts.join(stored_answers(spark, store).select("digest"), "digest", "left_anti"), "unanswered")
     open_chunks = missing.count()
 
     def with_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,7 +88,7 @@ def asked_once(contexts: DataFrame, scorer: Scorer, store: str) -> DataFrame:
             yield pd.DataFrame({"digest": [digests[c] for c in answers["chunk"]], "answer": answers["answer"]})
 
     if open_chunks:
-        spread = missing.repartition(min(open_chunks, ASKING_TASKS), "digest")
+        spread = known.join(missing, ["chunk", "digest"], "left_semi").repartition(min(open_chunks, ASKING_TASKS), "digest")
         # Version 2 of the commit protocol makes a task's file visible when the task ends, not when the job does.
         spread.mapInPandas(with_digests, STORE_SCHEMA).write.mode("append").option(
             "mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(store)
