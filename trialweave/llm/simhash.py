@@ -23,8 +23,10 @@ SEED = 42
 HALF = 32
 # Variant groups up to this size are joined pair by pair.
 SMALL_GROUP = 24
+# The same for near copies. Texts that agree by chance make smaller groups, so what is above holds families.
+NEAR_GROUP = 4
 
-# Rounds in which each near copy is compared with one first member only, before all that is left is compared.
+# Rounds in which each near copy is compared with leaders of its groups only, before all that is left is compared.
 LEADER_ROUNDS = 2
 
 NEAR_WIDTH = 5
@@ -36,6 +38,8 @@ WEAK_BITS = 6
 # within the other for more; between them the shingles decide.
 FAR_BITS = 150
 SURE_BITS = 76
+# Of two lanes, 128 bits, such a pair differs in 19, give or take 4; unlike texts in 64, give or take 6.
+LIKELY_BITS = 46
 # Below so many shingles the bits are too coarse for either bound.
 FEW_SHINGLES = 40
 # Frequent shingles whose counts order the shingles of crowded groups. Any order finds all pairs, so the bound costs time only.
@@ -199,12 +203,16 @@ def shingle_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("node"), F.col(text).alias("text")).mapInPandas(run, f"node {kind}, sh array<long>")
 
 
+def differing_bits(a: str, b: str) -> Column:
+    return F.expr(" + ".join(f"bit_count({a}[{i}] ^ {b}[{i}])" for i in range(NEAR_LANES)))
+
+
 def similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """The pairs (a, b) whose shingle sets are similar. Fingerprints settle those far apart and those all but equal."""
     def side(name: str) -> DataFrame:
         return nodes.select(F.col("node").alias(name), F.col("fps").alias(f"f{name}"), F.col("n").alias(f"n{name}"))
 
-    far = F.expr(" + ".join(f"bit_count(fa[{i}] ^ fb[{i}])" for i in range(NEAR_LANES)))
+    far = differing_bits("fa", "fb")
     few = F.least("na", "nb") < FEW_SHINGLES
     compared = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("na", "nb") >= NEAR_SIMILARITY * F.greatest("na", "nb")).withColumn("bits", far)
     near = stage(compared.where(few | (F.col("bits") <= FAR_BITS)).select("a", "b", (~few & (F.col("bits") <= SURE_BITS)).alias("sure")), "near-pairs")
@@ -219,31 +227,47 @@ def similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str,
     return near.where("sure").select("a", "b").unionByName(alike)
 
 
-def likely_pair(lane_a: str, lane_b: str, n_a: str, n_b: str) -> Column:
-    """What any similar pair meets: sizes within the similarity, and one lane's bits within five standard deviations."""
-    return (F.bit_count(F.col(lane_a).bitwiseXOR(F.col(lane_b))) <= 28) & (F.least(n_a, n_b) >= NEAR_SIMILARITY * F.greatest(n_a, n_b))
+def likely_pair(lanes_a: str, lanes_b: str, n_a: str, n_b: str) -> Column:
+    """What any similar pair meets: sizes within the similarity, and two lanes' bits within six standard deviations."""
+    far = F.expr(f"bit_count({lanes_a}[0] ^ {lanes_b}[0]) + bit_count({lanes_a}[1] ^ {lanes_b}[1])")
+    return (far <= LIKELY_BITS) & (F.least(n_a, n_b) >= NEAR_SIMILARITY * F.greatest(n_a, n_b))
+
 
+def in_classes(members: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """``members``, one row per node, with the component ``c`` the node is known to be in."""
+    if classes is None:
+        return members.withColumn("c", F.col("node"))
+    known = classes.select(F.col("node").alias("known"), "component")
+    return members.join(known, F.col("node") == F.col("known"), "left").withColumn("c", F.coalesce("component", "node")).drop("known", "component")
 
-def placed(shared: DataFrame, nodes: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """Variant rows with the node's number of shingles, first lane and the component ``c`` it is known to be in."""
-    known = nodes.select("node", "n", F.expr("fps[0]").alias("lane"))
-    known = known.withColumn("c", F.col("node")) if classes is None else known.join(classes, "node", "left").select(
-        "node", "n", "lane", F.coalesce("component", "node").alias("c"))
-    return shared.join(known, "node").select("k", "node", "n", "lane", "c")
 
+def leader_pairs(members: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """(a, b): of the leaders of its large variant groups, for each member b the likely one with the most company and the nearest one.
 
-def leader_pairs(shared: DataFrame, nodes: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """(a, b): the first member of a variant's group and each likely other one it is not connected to yet; repeats included.
+    Leaders that b is connected to are left out, so there are two pairs per member at most.
 
-    The first member comes to the others by a window, so no join ever meets a whole group with itself.
+    A leader is the member with the most company in its groups, as the text has that the others were copied from. It comes to them
+    by a window, so no join ever meets a whole group with itself.
     """
-    first = F.min(F.struct("node", "c", F.col("lane").alias("l"), F.col("n").alias("m"))).over(Window.partitionBy("k"))
-    rows = placed(shared, nodes, classes).withColumn("f", first).select("node", "n", "lane", "c", "f.l", "f.m", F.col("f.node").alias("a"), F.col("f.c").alias("d"))
-    return rows.where((F.col("c") != F.col("d")) & likely_pair("lane", "l", "n", "m")).select("a", F.col("node").alias("b"))
+    rows = in_classes(members, classes).select("node", "n", "lanes", "c", "company", F.explode("large").alias("k"))
+    lead = F.min(F.struct((-F.col("company")).alias("alone"), F.col("node").alias("a"), F.col("c").alias("d"), F.col("lanes").alias("l"), F.col("n").alias("m")))
+    rows = rows.withColumn("f", lead.over(Window.partitionBy("k"))).select("node", "n", "lanes", "c", "f.alone", "f.a", "f.d", "f.l", "f.m")
+    rows = rows.where((F.col("c") != F.col("d")) & likely_pair("lanes", "l", "n", "m"))
+    bits = F.expr("bit_count(lanes[0] ^ l[0]) + bit_count(lanes[1] ^ l[1])")
+    best = rows.groupBy(F.col("node").alias("b")).agg(F.min(F.struct("alone", "a"))["a"].alias("x"), F.min(F.struct(bits, "a"))["a"].alias("y"))
+    return best.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("a"), "b")
+
+
+def small_group_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): the likely pairs of variant groups of at most ``NEAR_GROUP`` members that are not connected yet; repeats included."""
+    rows = in_classes(members, classes).select("node", "n", "lanes", "c", F.explode("small").alias("k"))
+    x, y = (rows.select("k", *[F.col(c).alias(c + side) for c in ("node", "n", "lanes", "c")]) for side in "ab")
+    wanted = (F.col("nodea") < F.col("nodeb")) & (F.col("ca") != F.col("cb")) & likely_pair("lanesa", "lanesb", "na", "nb")
+    return x.join(y, "k").where(wanted).select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"))
 
 
 def rarest_shingles(sets: DataFrame) -> DataFrame:
-    """``node``, the size ``m`` of its shingle set and, for each of its rarest shingles, ``shingle`` and ``place`` among them.
+    """``node``, the size ``m`` of its shingle set and ``rare``, its rarest shingles in their order.
 
     All sets are ordered alike, by frequency and value. Two sets as similar as ``NEAR_SIMILARITY`` share one of the shingles given here.
     """
@@ -271,29 +295,36 @@ def rarest_shingles(sets: DataFrame) -> DataFrame:
             yield pd.DataFrame({"node": pdf["node"], "m": np.array([len(sh) for sh in pdf["sh"]], np.int32), "rare": out})
 
     kind = dict(sets.dtypes)["node"]
-    return sets.mapInPandas(run, f"node {kind}, m int, rare array<long>").select("node", "m", F.posexplode("rare").alias("place", "shingle"))
+    return sets.mapInPandas(run, f"node {kind}, m int, rare array<long>")
 
 
-def crowded_pairs(shared: DataFrame, nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(a, b): all pairs out of large variant groups that may be similar and are not connected yet.
+def crowded_pairs(members: DataFrame, nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(a, b): all pairs out of large variant groups that may be similar and are not connected yet; repeats included.
 
     Similar sets share a shingle among their rarest (prefix filter), which loses no pair, however large the groups are. Groups whose members are
-    connected already are done. Of a shingle's nodes those of its largest component are not paired among themselves.
+    connected already are done. Of a shingle's nodes those of its largest component are not paired among themselves, and fingerprints too
+    far apart are not paired at all.
     """
-    group = Window.partitionBy("k")
-    open_ = placed(shared.where(F.col("size") > SMALL_GROUP), nodes, classes).withColumns({"low": F.min("c").over(group), "high": F.max("c").over(group)})
-    members = stage(open_.where("low <> high").select("node", "n", "lane", "c").distinct(), "crowded-nodes")
+    placed = in_classes(members, classes)
+    # One node speaks for each component, so that texts left alone meet the one their family was copied from.
+    hubs = placed.groupBy("c").agg(F.max(F.struct("company", "node"))["node"].alias("node")).select("node")
+    groups = placed.select("c", F.explode("large").alias("k")).groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+    open_ = groups.where("low <> high").select("k")
+    left = members.select("node", F.explode("large").alias("k")).join(open_, "k", "left_semi").select("node").unionByName(hubs).distinct()
+    known = in_classes(nodes.select("node", "fps").join(left, "node", "left_semi"), classes)
+    members = stage(known, "crowded-nodes")
     texts = docs.join(members.select("node"), docs[key] == members["node"], "left_semi")
     sets = stage(shingle_sets(texts, key, text).dropDuplicates(["node"]), "crowded-sets")
-    rare = rarest_shingles(sets).join(members, "node")
+    rare = stage(rarest_shingles(sets).join(members, "node"), "rarest").select("node", "m", "fps", "c", F.posexplode("rare").alias("place", "shingle"))
     sizes = rare.groupBy("shingle", "c").agg(F.count("*").alias("s"))
     most = sizes.groupBy("shingle").agg(F.max(F.struct("s", "c")).alias("x"), F.sum("s").alias("all")).where(F.col("all") > F.col("x.s")).select("shingle", F.col("x.c").alias("main"))
-    rows = stage(rare.join(most, "shingle").select("shingle", "node", "m", "place", "lane", "c", (F.col("c") == F.col("main")).alias("main")), "rare-shingles")
-    x, y = (rows.select("shingle", *[F.col(c).alias(c + side) for c in ("node", "m", "place", "lane", "c", "main")]) for side in "ab")
+    rows = stage(rare.join(most, "shingle").select("shingle", "node", "m", "place", "fps", "c", (F.col("c") == F.col("main")).alias("main")), "rare-shingles")
+    x, y = (rows.select("shingle", *[F.col(c).alias(c + side) for c in ("node", "m", "place", "fps", "c", "main")]) for side in "ab")
     common = F.ceil(NEAR_SIMILARITY / (1 + NEAR_SIMILARITY) * (F.col("ma") + F.col("mb")) - 1e-6)
     early = (F.col("placea") <= F.col("ma") - common) & (F.col("placeb") <= F.col("mb") - common)
     once = ~F.col("maina") & (F.col("mainb") | (F.col("nodea") < F.col("nodeb")))
-    met = x.join(y, "shingle").where(once & early & (F.col("ca") != F.col("cb")) & likely_pair("lanea", "laneb", "ma", "mb"))
+    near = (F.least("ma", "mb") < FEW_SHINGLES) | (differing_bits("fpsa", "fpsb") <= FAR_BITS)
+    met = x.join(y, "shingle").where(once & early & (F.col("ca") != F.col("cb")) & near)
     return met.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b"))
 
 
@@ -303,9 +334,9 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     A group: documents whose sets of five-word shingles are at least 0.8 similar (Jaccard), chains included. Texts with equal words,
     letter case aside, are one node; texts without words are copies of each other. Of 768 bits the fingerprints of such
     a pair differ in 116 on average, too many for a guarantee by segments of a useful length: of the 34 segments of 22 bits one differs by at most
-    one weak bit with a probability of about 0.985 at similarity 0.8 and 0.999 at 0.85. A member of a variant's
-    group is compared with the group's first member, in a few rounds with the likeliest one only, then with all members it is not connected to yet;
-    in groups above ``SMALL_GROUP`` these are found by their rarest shingles.
+    one weak bit with a probability of about 0.985 at similarity 0.8 and 0.999 at 0.85. A member of a large variant
+    group is compared with the group's leader, in a few rounds with two of them at most; then small groups are compared whole, and in groups above
+    ``NEAR_GROUP`` all members that are not connected yet are found by their rarest shingles. What a node needs in its groups is joined once per node.
     Rows that share a key share a class. Null keys have no row; an empty table gives none; other columns are not read.
     """
     rows = stage(near_signatures(docs, key, text), "near-signatures")
@@ -316,24 +347,22 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     blank = F.expr("transform(concat(array(cast(-1 as tinyint)), weak[i]), p -> shiftleft(cast(i as bigint), 40) | shiftleft(cast(p + 1 as bigint), 32)"
                    " | (cast(v as bigint) & if(p < 0, -1L, ~shiftleft(1L, cast(p as int)))))")
     variants = segments.select("node", F.explode(blank).alias("k"))
-    shared = stage(in_groups(variants, "k").withColumnRenamed("n", "size"), "near-variants")
+    crowd = F.col("size") > NEAR_GROUP
+    # A node has some two hundred variants at most, so its lists are bounded.
+    shared = in_groups(variants, "k").withColumnRenamed("n", "size").groupBy("node").agg(
+        F.collect_list(F.when(crowd, F.col("k"))).alias("large"), F.collect_list(F.when(~crowd, F.col("k"))).alias("small"),
+        F.sum(F.when(crowd, F.col("size")).otherwise(0)).alias("company"))
+    members = stage(shared.join(nodes.select("node", "n", F.slice("fps", 1, 2).alias("lanes")), "node"), "near-variants")
+    crowded = members.where(F.size("large") > 0)
     edges, classes = None, None
     for _ in range(LEADER_ROUNDS):
-        # The first member with which a document shares the most variants: n pairs at most.
-        counted = leader_pairs(shared, nodes, classes).groupBy("b", "a").agg(F.count("*").alias("n"))
-        best = counted.groupBy("b").agg(F.max(F.struct("n", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
-        found = stage(similar_pairs(best, nodes, docs, key, text), "near-edges")
+        found = stage(similar_pairs(leader_pairs(crowded, classes), nodes, docs, key, text), "near-edges")
         edges = found if edges is None else edges.unionByName(found)
         classes = stage(components(edges), "near-classes")
-    small = placed(shared.where(F.col("size") <= SMALL_GROUP), nodes, classes)
-    x = small.select("k", *[F.col(c).alias(f"{c}a") for c in ("n", "lane", "node", "c")])
-    y = small.select("k", *[F.col(c).alias(f"{c}b") for c in ("n", "lane", "node", "c")])
-    likely = likely_pair("lanea", "laneb", "na", "nb")
-    within = x.join(y, "k").where((F.col("nodea") < F.col("nodeb")) & (F.col("ca") != F.col("cb")) & likely).select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"))
-    crowded = crowded_pairs(shared, nodes, classes, docs, key, text)
-    rest = leader_pairs(shared, nodes, classes).select("a", "b").unionByName(within).unionByName(crowded).distinct()
-    all_ = edges.unionByName(similar_pairs(rest, nodes, docs, key, text))
-    linked = stage(components(all_), "near-classes")
+    edges = stage(edges.unionByName(similar_pairs(small_group_pairs(members, classes).distinct(), nodes, docs, key, text)), "near-edges")
+    classes = stage(components(edges), "near-classes")
+    rest = crowded_pairs(crowded, nodes, classes, docs, key, text).distinct()
+    linked = stage(components(edges.unionByName(similar_pairs(rest, nodes, docs, key, text))), "near-classes")
     named = reps.join(linked, reps["rep"] == linked["node"], "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     return rows.join(named, "digest").select("doc_id", "crc", "component_id")
 
