@@ -63,15 +63,24 @@ def word_features():
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sample: int) -> DataFrame:
-    """Text and label of a bounded sample of the rows open to training: those whose crc32(key) mod 3 is not 1."""
+    """Text and label of a bounded sample of the rows open to training: those whose crc32(key) mod 3 is not 1.
+
+    Rows that agree in key and text count once; at most about twice ``sample`` rows are returned, however many texts a key has.
+    """
     open_ = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & (F.crc32(F.col(key).cast("string")) % 3 != 1))
     known = open_.groupBy(F.col(key).alias("__id")).agg(F.max(label).alias("label"))
     known = stage(known, "labels")
     share = min(1.0, sample / max(1, known.count()))
     chosen = known.where(F.pmod(F.xxhash64("__id", F.lit(11)), F.lit(1_000_000)) < int(share * 1_000_000))
     # About ``sample`` rows of an id and a label: a bounded broadcast.
-    joined = docs.join(F.broadcast(chosen), docs[key] == chosen["__id"])
-    return joined.select(F.coalesce(docs[text], F.lit("")).alias("text"), F.col("label").cast("int").alias("label"))
+    slim = docs.select(F.col(key).alias("__key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    joined = slim.join(F.broadcast(chosen), F.col("__key") == F.col("__id"))
+    rows = stage(joined.select("__id", "text", F.col("label").cast("int").alias("label")).distinct(), "training-rows")
+    found = rows.count()
+    if found > 2 * sample:
+        # Ids with many texts: their rows are thinned out by hash in turn.
+        rows = rows.where(F.pmod(F.xxhash64("__id", "text", F.lit(13)), F.lit(1_000_000)) < int(sample / found * 1_000_000))
+    return rows.select("text", "label")
 
 
 def feature_counts(rows: DataFrame) -> DataFrame:
@@ -219,7 +228,7 @@ def learned_model(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     """The model of a table and its labels. Labels without a document, null labels and null ids are not used; a row with
     several labels takes the greatest."""
     short_batches(docs.sparkSession)
-    return fit(stage(training_rows(docs, labels, key, text, label, sample), "training-rows"))
+    return fit(training_rows(docs, labels, key, text, label, sample))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
