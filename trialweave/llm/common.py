@@ -19,6 +19,12 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def numbered_columns(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named by number, so that no helper column meets a name of the user's, and the new name of each."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name ``df`` does not use, whatever the case."""
     taken = {c.lower() for c in df.columns}

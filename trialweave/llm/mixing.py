@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from trialweave.llm.common import numbered_columns
 from trialweave.session import stage
 
 BLOCK_ROWS = 32
@@ -163,6 +164,10 @@ def schedule(df: DataFrame, weights: Mapping[str | None, float] | None = None, s
 
 
 def mixed(df: DataFrame, weights: Mapping[str | None, float] | None = None, source: str = "source", key: str = "doc_id") -> DataFrame:
-    """All rows and columns of ``df`` in the order of the schedule, over range partitions."""
-    placed = with_steps(df, weights, source, key)
-    return placed.orderBy("__step", key).select(*df.columns)
+    """All rows and columns of ``df`` in the order of the schedule, over range partitions.
+
+    Null sources are a source, null keys and repeated rows rows like any other; an empty table stays empty. Columns may have any names.
+    """
+    plain, name = numbered_columns(df)
+    placed = with_steps(plain, weights, name[source], name[key])
+    return placed.orderBy("__step", name[key]).select(*plain.columns).toDF(*df.columns)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from trialweave.llm.common import numbered_columns
 from trialweave.session import stage
 
 SLOTS = 4096
@@ -106,10 +107,13 @@ def map_frame(spark: SparkSession, owner: Mapping[int, int]) -> DataFrame:
 
 def with_shards(df: DataFrame, owner: Mapping[int, int], slots: int = SLOTS, key: str = "doc_id", text: str = "text",
                 out: str = "shard") -> DataFrame:
-    """Add the shard to whole rows; no shuffle. A column named ``out`` is replaced."""
-    placed = df.withColumn("__slot", virtual_slot(F.col(key), F.crc32(F.col(text)), slots))
+    """Add the shard to whole rows; no shuffle. A column named ``out`` is replaced; other columns stay, whatever their names."""
+    plain, name = numbered_columns(df)
+    placed = plain.withColumn("__slot", virtual_slot(F.col(name[key]), F.crc32(F.col(name[text])), slots))
     joined = placed.join(map_frame(df.sparkSession, owner), "__slot", "left")
-    return joined.withColumn(out, F.col("__shard")).drop("__slot", "__shard")
+    shard = F.col("__shard").alias(out)
+    kept = [shard if c == out else F.col(name[c]).alias(c) for c in df.columns]
+    return joined.select(*kept, *([] if out in df.columns else [shard]))
 
 
 def measured_map(df: DataFrame, shards: int, slots: int = SLOTS, key: str = "doc_id", text: str = "text") -> dict[int, int]:
