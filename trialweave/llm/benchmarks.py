@@ -40,9 +40,10 @@ def shingles(hashes: str, width: int) -> Column:
 
 
 def items_with_shingles(items: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """``item_id``, its length ``size`` in words and its shingles; items without words are left out."""
+    """``item_id``, its length ``size`` in words, the hash ``item`` of its words and its shingles; items without words are left out."""
     words = items.where(F.col(key).isNotNull()).select(F.col(key).alias("item_id"), word_hashes(word_list(F.col(text))).alias("h"))
-    return words.where(F.size("h") > 0).select("item_id", F.size("h").alias("size"), shingles("h", width).alias("shingles")).distinct()
+    return words.where(F.size("h") > 0).select(
+        "item_id", F.size("h").alias("size"), F.xxhash64("h").alias("item"), shingles("h", width).alias("shingles")).distinct()
 
 
 def fingerprint_of(rows: DataFrame, keys: list[str], shingle: str) -> DataFrame:
@@ -73,11 +74,12 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
     Windows are compared over the whole text and counted in words without punctuation. Items of fewer words than a shingle are
     compared as one sequence. Texts or items that are null or without words match nothing, as do null keys. Repeated
-    rows are one document; an empty table gives none; other columns are not read. The join to the items' shingles
+    rows are one document; texts that share a key are compared one by one, and the best of them counts, as with items; an empty table gives none; other columns are not read. The join to the items' shingles
     starts from the texts in place; after it only rows of shared shingles move.
     """
     spark = docs.sparkSession
-    keys = ["doc_id", "length", "size", "first"]
+    own = ["doc_id", "words", "length"]
+    keys = [*own, "size", "first"]
     wanted = stage(items_with_shingles(items, item_key, item_text, width), "items")
     index = wanted.select("size", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.collect_set("size").alias("sizes"))
     index = stage(index, "item-shingles")
@@ -88,35 +90,36 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     short = [r["size"] for r in wanted.where(F.col("size") < width).select("size").distinct().collect()]
 
     hashed = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), word_hashes(word_list(F.col(text))).alias("h")).where(F.size("h") > 0)
-    spread = hashed.select("doc_id", F.size("h").alias("length"), F.posexplode(shingles("h", width)).alias("pos", "shingle"))
+    hashed = hashed.select("doc_id", F.xxhash64("h").alias("words"), F.size("h").alias("length"), "h")
+    spread = hashed.select(*own, F.posexplode(shingles("h", width)).alias("pos", "shingle"))
     for size in short:
         # The only shingle of a short item has the item's own length.
-        few = hashed.where(F.size("h") >= size).select("doc_id", F.size("h").alias("length"), F.posexplode(shingles("h", size)).alias("pos", "shingle"))
+        few = hashed.where(F.col("length") >= size).select(*own, F.posexplode(shingles("h", size)).alias("pos", "shingle"))
         spread = spread.unionByName(few)
     hits = spread.join(F.broadcast(index) if known <= BROADCAST_SHINGLES else index, "shingle")
-    places = hits.select("doc_id", "length", "pos", F.explode("sizes").alias("size")).groupBy("doc_id", "length", "size").agg(
+    places = hits.select(*own, "pos", F.explode("sizes").alias("size")).groupBy(*own, "size").agg(
         F.sort_array(F.collect_set("pos")).alias("at"))
     # A similar window holds this many shingles of its item, whatever their order; it starts within reach of the first and the last of them.
     counts = F.greatest(F.least("size", "length") - width + 1, F.lit(1)) + F.greatest(F.col("size") - width + 1, F.lit(1))
     places = places.withColumn("need", F.ceil(counts * (similarity / (1 + similarity)) - 1e-9).cast("int")).where("size(at) >= need")
     reach = f"greatest(0, at[i + need - 1] - greatest(size - {width}, 0))", "least(at[i], greatest(length - size, 0))"
     first = F.expr(f"array_distinct(flatten(transform(sequence(0, size(at) - need), i -> if({reach[0]} <= {reach[1]}, sequence({reach[0]}, {reach[1]}), array()))))")
-    windows = stage(places.select("doc_id", "length", "size", F.explode(first).alias("first")), "windows")
+    windows = stage(places.select(*own, "size", F.explode(first).alias("first")), "windows")
     texts = stage(hashed.join(windows.select("doc_id").distinct(), "doc_id", "left_semi").distinct(), "hit-texts")
-    cut = windows.join(texts.withColumn("length", F.size("h")), ["doc_id", "length"]).select(*keys, F.slice("h", F.col("first") + 1, F.col("size")).alias("h"))
+    cut = windows.join(texts, own).select(*keys, F.slice("h", F.col("first") + 1, F.col("size")).alias("h"))
     window_rows = stage(cut.select(*keys, F.explode(shingles("h", width)).alias("shingle")), "window-shingles")
-    item_rows = wanted.select("item_id", "size", F.explode("shingles").alias("shingle"))
+    item_rows = wanted.select("item_id", "item", "size", F.explode("shingles").alias("shingle"))
     w = block_rows(fingerprint_of(window_rows, keys, "shingle"), radius)
-    i = block_rows(fingerprint_of(item_rows, ["item_id", "size"], "shingle"), radius).select(
-        "item_id", F.col("size").alias("i_size"), F.col("fp").alias("i_fp"), F.col("block").alias("i_block"), F.col("value").alias("i_value"))
+    i = block_rows(fingerprint_of(item_rows, ["item_id", "item", "size"], "shingle"), radius).select(
+        "item_id", "item", F.col("size").alias("i_size"), F.col("fp").alias("i_fp"), F.col("block").alias("i_block"), F.col("value").alias("i_value"))
     within = F.bit_count(F.col("fp").bitwiseXOR(F.col("i_fp"))) <= radius
     same = (F.col("size") == F.col("i_size")) & (F.col("block") == F.col("i_block")) & (F.col("value") == F.col("i_value"))
-    candidates = stage(w.join(i, same & within).select(*keys, "item_id").distinct(), "leak-candidates")
+    candidates = stage(w.join(i, same & within).select(*keys, "item_id", "item").distinct(), "leak-candidates")
     # A text shorter than the item has fewer shingles than it; all count for the union.
     a = weighted(window_rows, keys)
-    b = weighted(item_rows.drop("size"), ["item_id"]).select("item_id", F.col("shingle").alias("i_shingle"), F.col("w").alias("i_w"))
-    both = candidates.join(a, keys).join(b, "item_id").where(F.col("shingle") == F.col("i_shingle"))
-    common = both.groupBy(*keys, "item_id").agg(F.sum(F.least("w", "i_w")).alias("c"))
+    b = weighted(item_rows.drop("size"), ["item_id", "item"]).select("item_id", "item", F.col("shingle").alias("i_shingle"), F.col("w").alias("i_w"))
+    both = candidates.join(a, keys).join(b, ["item_id", "item"]).where(F.col("shingle") == F.col("i_shingle"))
+    common = both.groupBy(*keys, "item_id", "item").agg(F.sum(F.least("w", "i_w")).alias("c"))
     total = counts - F.col("c")
     found = common.withColumn("similarity", F.col("c") / total).where(F.col("similarity") >= similarity)
     best = F.max(F.struct("similarity", (-F.col("first")).alias("f"))).alias("m")
