@@ -262,7 +262,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", t
     repeat each other; a null key is a key like any other; an empty table gives none; other columns are not read.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.crc32(F.col(text)), F.lit(-1)).alias("crc"), F.col(text).alias("text"))
+    # 64 bits tell the texts of one key apart, null keys included.
+    rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(F.col(text)).alias("crc"), F.col(text).alias("text"))
     chars = docs.agg(F.sum(F.length(F.col(text)))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // BUCKET_CHARS))
     found = repeated_stretches(filed_windows(rows, window, hot_symbols(rows, window)), window, buckets)
