@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from trialweave.llm import mixing, pages, toxicity
@@ -121,3 +122,13 @@ def test_every_shard_holds_its_rows_in_the_order_of_the_mix(spark, tmp_path):
         assert steps == sorted(steps)
         half = [s for _, _, s in found[:len(found) // 2]]
         assert all(0.15 < half.count(s) / len(half) < 0.52 for s in "abc")
+
+
+def test_sample_is_bounded_by_rows_and_columns_may_clash(spark):
+    texts = [(2, f"text number {i}") for i in range(5000)] + [(3, "same text")] * 500 + [(i, f"other {i}") for i in range(4, 40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").withColumn("label", F.lit("mine")).withColumn("toxic", F.lit("x"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2, 40)], "doc_id long, toxic int")
+    rows = toxicity.training_rows(docs, labels, "doc_id", "text", "toxic", 100).collect()
+    assert 0 < len(rows) <= 200 and sum(r["text"] == "same text" for r in rows) <= 1
+    scored = toxicity.without_toxic(docs, labels)
+    assert scored.columns == docs.columns and scored.limit(0).count() == 0

@@ -156,3 +156,13 @@ def test_mix_keeps_all_rows_and_follows_the_weights(docs):
     assert mixing.schedule(docs.limit(0)).count() == 0
     mixed = mixing.mixed(docs)
     assert mixed.columns == docs.columns and mixed.count() == docs.count()
+
+
+def test_mix_and_shards_leave_columns_of_any_name_alone(docs):
+    named = docs.selectExpr("*", "1 AS __step", "2 AS __block", "3 AS __slot", "4 AS __salt", "5 AS __s", "6 AS __shard")
+    mixed = mixing.mixed(named)
+    assert mixed.columns == named.columns and sorted(map(str, mixed.collect())) == sorted(map(str, named.collect()))
+    sharded = sharding.with_shards(named, sharding.measured_map(named, 5))
+    assert sharded.columns == (named.columns if "shard" in named.columns else [*named.columns, "shard"]) and {r["__slot"] for r in sharded.collect()} == {3}
+    again = sharding.with_shards(sharded, sharding.measured_map(named, 5))
+    assert again.columns == sharded.columns and again.exceptAll(sharded).count() == 0

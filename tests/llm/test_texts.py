@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import string
+import zlib
 from collections import Counter
 
 import pytest
@@ -87,6 +89,7 @@ def shingle_set(text):
 @pytest.mark.parametrize("small", [2, 24])
 def test_near_copies_link_similar_texts_and_no_others(rows, docs, small, monkeypatch):
     monkeypatch.setattr(simhash, "SMALL_GROUP", small)
+    monkeypatch.setattr(simhash, "NEAR_GROUP", small)
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(docs).collect()}
     sets = {i: shingle_set(t) for i, t in rows if i is not None}
     root = {i: i for i in sets}
@@ -316,3 +319,48 @@ def test_different_entities_never_share_a_surrogate(spark):
                                    F.format_string("u%d@h.org", F.col("id")), F.format_string("555-%04d", F.col("id"))).alias("text"))
     table = surrogates.surrogate_table(texts, KEY)
     assert table.count() == 9000 and surrogates.collisions(texts, KEY).count() == 0
+
+
+def test_texts_of_one_key_and_checksum_keep_their_own_repeats(spark):
+    rng = random.Random(12)
+    passage = " ".join(prose(rng, 40, 10**6))
+    ends = ["".join(rng.choices(string.ascii_letters, k=9)) for _ in range(300_000)]
+    long = {zlib.crc32(f"{passage} {end}".encode()): f"{passage} {end}" for end in ends}
+    short = next(t for t in (f"short text {end}" for end in ends) if zlib.crc32(t.encode()) in long)
+    texts = [(None, long[zlib.crc32(short.encode())]), (None, short), (7, passage)]
+    got = remove_rows(spark, texts)
+    assert got == sorted([(41, 40), (3, 0), (40, 40)])
+
+
+def remove_rows(spark, texts):
+    found = repeats.remove_repeats(spark.createDataFrame(texts, "doc_id long, text string").repartition(2)).collect()
+    return sorted((r["n_words"], r["n_removed"]) for r in found)
+
+
+def test_a_leak_is_found_beside_other_texts_and_items_of_its_key(spark):
+    rng = random.Random(13)
+    item = " ".join(prose(rng, 30, 5000))
+    texts = [(1, " ".join(prose(rng, 60, 5000))) for _ in range(6)] + [(1, " ".join(prose(rng, 15, 5000)) + f" {item} " + " ".join(prose(rng, 15, 5000)))]
+    items = [(5, item), (5, " ".join(prose(rng, 30, 5000))), (5, " ".join(prose(rng, 30, 5000)))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = benchmarks.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert [(r["doc_id"], r["item_id"], r["similarity"], r["first_word"]) for r in found] == [(1, 5, 1.0, 15)]
+
+
+def test_candidates_of_a_template_family_stay_few(spark, monkeypatch):
+    """Copies of one text, each with edits of its own, are linked through it: no comparison of all with all."""
+    rng = random.Random(14)
+    base = prose(rng, 300, 10**6)
+    texts = [(5000, " ".join(base))]
+    for i in range(1500):
+        words = list(base)
+        for p in rng.sample(range(0, 300, 6), 6):
+            words[p] = f"own{rng.randrange(10**9)}"
+        texts.append((i, " ".join(words)))
+    seen = []
+    whole = simhash.similar_pairs
+    monkeypatch.setattr(simhash, "similar_pairs", lambda pairs, *more: seen.append(pairs.count()) or whole(pairs, *more))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    assert {r["component_id"] for r in simhash.near_copies(docs).collect()} == {0}
+    # All with all would be 1.1 million pairs.
+    assert sum(seen) < 12 * len(texts), seen
