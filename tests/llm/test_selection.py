@@ -83,6 +83,23 @@ def test_top_k_of_few_or_no_vectors(spark):
     assert topk.top_k(vectors.limit(0), F.col("vec_id") == 2, 5).count() == 0
 
 
+def test_top_k_takes_components_of_any_size(spark):
+    import math
+    import random
+
+    rng = random.Random(5)
+    raw = {i: [rng.gauss(0, 10.0 ** (i % 8)) for _ in range(6)] for i in range(90)}
+    raw |= {90 + i: [rng.choice((-1, 1)) * 10.0 ** rng.choice((1, 30, 200, 305)) for _ in range(6)] for i in range(12)}
+    df = spark.createDataFrame([*raw.items(), (500, [1e308] * 6)], "vec_id long, embedding array<double>")
+    ints = {i: [math.floor(256 * x) for x in v] for i, v in raw.items()}
+    got = topk.top_k(topk.integer_vectors(df, "vec_id", "embedding"), F.col("vec_id") % 2 == 0, 5, block=30, query_block=16)
+    out = set()
+    for q in range(0, 102, 2):
+        scores = [(min(max(sum(a * b for a, b in zip(ints[q], w)), -2**63), 2**63 - 1), i) for i, w in ints.items() if i != q]
+        out |= {(q, rank, i, s) for rank, (s, i) in enumerate(sorted(scores, key=lambda x: (-x[0], x[1]))[:5], 1)}
+    assert {tuple(r) for r in got.collect()} == out
+
+
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "com", "/de/"))
 
 
