@@ -56,6 +56,11 @@ def joined(c: Column) -> Column:
     return F.array_join(c, "|")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows of a table spread over all tasks, for tables of few files whose rows grow to much more than the table holds."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def load() -> None:
     for name in ("sources", "values", "rows", "joining", "counting", "order", "reports", "crawled"):
         importlib.import_module(f"query_book.{name}")

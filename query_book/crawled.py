@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from query_book import query
+from query_book import dealt, query
 from trialweave.sources import html, listings
 
 
@@ -54,7 +54,7 @@ def older_register_page(t):
         row("N.", "Date of Competent Authority Decision", F.date_format("o_orderdate", "yyyy-MM-dd")),
         F.when(F.col("o_orderstatus") != "P", row("P.", "End of Trial Status", F.when(F.col("o_orderstatus") == "F", "Completed").otherwise("Ongoing"))).otherwise(""),
         F.lit("</table></body></html>"))
-    pages = t.orders.select(page.alias("html"), F.format_string("https://register.example/%d", "o_orderkey").alias("url"))
+    pages = dealt(t.orders).select(page.alias("html"), F.format_string("https://register.example/%d", "o_orderkey").alias("url"))
     found = html.older_register(pages, "html", "url", ["Adults (18-64 years)"])
     return found.select("url", "title", "eudract_nr", "Protocol", "Sponsor", "condition", "therapeutic_area", "inclusion_crt", "exclusion_crt", "trial_phase",
                         "trial_design", F.col("`Age_Adults_(18-64_years)`").alias("adults"), "Gender_F", "Gender_M", "start_date", "status")

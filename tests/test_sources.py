@@ -46,6 +46,48 @@ def test_programme_table(spark):
         ("P1", 12, "3", True, True, True), ("P2", None, None, False, False, False)]
 
 
+ODD_PAGES = [
+    DETAIL_PAGE, PROGRAMMES, None, "", "no table", "<!DOCTYPE html><title>a &amp; b</title><table><tr><td>x<!-- c -->y<br/>z</td><td>&nbsp;</td></table>",
+    "<table><tr><td>a < b</td><TD class='q' x=1>&lt;c&gt;<td>open<tr><th>h</table>", "<script>if (a<b) x('<td>')</script><table><tr><td a=x/>1</td></tr></table>",
+    "<table><tr><td>1<table><tr><td>2</td></tr></table>3</td></tr></table>", "<td>outside</td><table><tr><td><b>in</b> side</td", "<table><tr><td>&am"]
+
+
+def test_pages_leave_a_worker_a_few_at_a_time(spark):
+    """Arrow batches hold thousands of pages; their rows must not be held together."""
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(ODD_PAGES * 100)], "i int, html string").coalesce(1)
+    import pyarrow as pa
+
+    made = []
+    plain, html.F.arrow_udf = html.F.arrow_udf, lambda kind: lambda f: made.append(f) or (lambda c: None)
+    try:
+        html.table_rows(None)
+    finally:
+        html.F.arrow_udf = plain
+    sizes = [len(a) for a in made[0](iter([pa.array(ODD_PAGES * 100), pa.array(["x" * html.CHUNK_CHARS] * 3)]))]
+    assert sum(sizes) == len(ODD_PAGES) * 100 + 3 and max(sizes) <= html.CHUNK_PAGES and sizes[-3:] == [1, 1, 1]
+    found = {}
+    for r in df.select("i", html.table_rows(F.col("html")).alias("r")).collect():
+        found.setdefault(r["i"] % len(ODD_PAGES), set()).add(str(r["r"]))
+    assert all(len(rows) == 1 for rows in found.values())
+
+
+def test_rows_are_those_of_the_standard_parser(spark, monkeypatch):
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(ODD_PAGES)], "i int, html string")
+    fast = df.select("i", html.table_rows(F.col("html")).alias("r")).orderBy("i").collect()
+    # A pattern that fits nothing sends every page to the standard parser.
+    monkeypatch.setattr(html, "_TAG", __import__("re").compile("(?!)()()()()"))
+    assert fast == df.select("i", html.table_rows(F.col("html")).alias("r")).orderBy("i").collect()
+    assert [len(r["r"]) for r in fast] == [21, 4, 0, 0, 0, 1, 2, 1, 2, 1, 1]
+
+
+def test_table_rows_are_dealt_over_all_tasks(spark, tmp_path):
+    from query_book import dealt
+
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+    spread = dealt(spark.read.parquet(str(tmp_path / "one")))
+    assert spread.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism and spread.count() == 100
+
+
 def test_links_become_absolute(values):
     base = F.lit("https://h.example/a/b?x=1#f")
     seen = ["http://o/z", "//o/z", "/r", "?q=2", "#t", "c.html", ""]

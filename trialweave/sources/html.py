@@ -6,9 +6,11 @@ import functools
 import html.entities
 import json
 import re
+from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,23 @@ TABLE_ROWS = T.ArrayType(T.StructType([
 ]))
 
 
+# Pages, and characters of them, whose rows are built before they leave a worker.
+CHUNK_PAGES, CHUNK_CHARS = 64, 1 << 20
+
+# A plain tag, comment or document type with the text up to the next one, read as the standard library's parser reads it.
+_BLANK = r"[ \t\n\r\f]"
+_ATTRIBUTE = rf"""{_BLANK}+[A-Za-z_][A-Za-z0-9_:.-]*(?:=(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>=`/]+(?={_BLANK}|>)))?"""
+_START = rf"(?:{_ATTRIBUTE})*{_BLANK}*(/)?"
+_DECLARATION = r"!(?:(?i:DOCTYPE)\b[^<>]*|--(?![>-])(?:[^<>-]|-(?![->]))+--)"
+_TAG = re.compile(rf"<(?:(/)?([A-Za-z][A-Za-z0-9]*)(?(1){_BLANK}*|{_START})|{_DECLARATION})>([^<]*)")
+_RAW_TAGS = frozenset(("script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext"))
+_NO_END = frozenset(("br", "img", "input", "hr", "meta", "link"))
+
+# The same as TABLE_ROWS, as Arrow writes it.
+_ARROW_CELL = pa.struct([(n, pa.list_(pa.string())) for n in ("own", "all", "nested")])
+_ARROW_ROWS = pa.list_(pa.struct([("header", pa.bool_()), ("cells", pa.list_(_ARROW_CELL))]))
+
+
 def tag_texts(html: Column, tag: str) -> Column:
     """Text of every element of a tag that has no element inside."""
     return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>([^<]*)</{tag}>"), F.lit(1))
@@ -153,8 +172,13 @@ def next_page(html: Column, marker: str) -> Column:
 def table_rows(pages: str) -> Column:
     """Rows of all tables of a page; nesting is beyond what a pattern can follow.
 
-    The parser is made here, so that it travels to the workers by value.
+    The parser is made here, so that it travels to the workers by value. Pages whose markup is well formed are cut into
+    tags and texts by one pattern; any other page is read by the standard library's parser, with the same rows. Few pages
+    are parsed at once, so a worker's memory follows ``CHUNK_PAGES`` and ``CHUNK_CHARS``, not the session's Arrow batches.
     """
+    chunk_pages, chunk_chars, arrow_rows = CHUNK_PAGES, CHUNK_CHARS, _ARROW_ROWS
+    tag, raw_tag, no_end = _TAG, _RAW_TAGS, _NO_END
+
     class _Rows(HTMLParser):
         """Collects table rows; nested tables also report to the cell around them."""
 
@@ -176,7 +200,7 @@ def table_rows(pages: str) -> Column:
                 row["header"] = row["header"] or tag == "th"
                 row["cells"].append({"own": [], "all": [], "nested": []})
                 row["in_cell"] = True
-            if tag not in ("br", "img", "input", "hr", "meta", "link"):
+            if tag not in no_end:
                 self.path.append(tag)
 
         def _close(self, tag: str, until: str):
@@ -204,23 +228,59 @@ def table_rows(pages: str) -> Column:
             if not data.strip():
                 return
             direct = bool(self.path) and self.path[-1] in ("td", "th")
-            holders = [row["cells"][-1] for row in self.open if row["in_cell"]]
-            for depth, cell in enumerate(reversed(holders)):
-                cell["all"].append(data)
-                if direct and depth == 0:
-                    cell["own"].append(data)
-                elif direct:
-                    cell["nested"].append(data)
-
-    @F.pandas_udf(TABLE_ROWS)
-    def parse(column: pd.Series) -> pd.Series:
-        def rows(page):
-            parser = _Rows()
-            parser.feed(page or "")
+            depth = 0
+            for row in reversed(self.open):
+                if row["in_cell"]:
+                    cell = row["cells"][-1]
+                    cell["all"].append(data)
+                    if direct:
+                        cell["nested" if depth else "own"].append(data)
+                    depth += 1
+
+    def well_formed(parser, page) -> bool:
+        """Hand the tags and texts of a page to the parser; False, and nothing handed over, where the pattern does not fit it all."""
+        tags = tag.findall(page)
+        if len(tags) != page.count("<"):
+            return False
+        # What is inside such elements is not markup; they may hold one plain text.
+        for i, (end, name, _, text) in enumerate(tags):
+            if not end and name.lower() in raw_tag:
+                after = tags[i + 1] if i + 1 < len(tags) else ("", "", "", "")
+                if "&" in text or after[0] != "/" or after[1].lower() != name.lower():
+                    return False
+        start, stop, data = parser.handle_starttag, parser.handle_endtag, parser.handle_data
+        for end, name, empty, text in tags:
+            name = name.lower()
+            if end:
+                stop(name)
+            elif name:
+                start(name, ())
+                if empty:
+                    stop(name)
+            if text and not text.isspace():
+                data(unescape(text) if "&" in text else text)
+        return True
+
+    def parsed(page):
+        parser = _Rows()
+        if page and not well_formed(parser, page):
+            parser.feed(page)
             parser.close()
-            return [{"header": r["header"], "cells": r["cells"]} for r in parser.rows]
-
-        return column.map(rows)
+        return [{"header": r["header"], "cells": r["cells"]} for r in parser.rows]
+
+    @F.arrow_udf(TABLE_ROWS)
+    def parse(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            chunk, chars = [], 0
+            for page in column:
+                page = page.as_py()
+                chunk.append(parsed(page))
+                chars += len(page or "")
+                if len(chunk) >= chunk_pages or chars >= chunk_chars:
+                    yield pa.array(chunk, arrow_rows)
+                    chunk, chars = [], 0
+            if chunk:
+                yield pa.array(chunk, arrow_rows)
 
     return parse(pages)
 
@@ -233,36 +293,48 @@ def older_register(df: DataFrame, html: str, url: str, age_labels: list[str] | N
     parsed rows, which are staged so that no page is parsed twice.
     """
     rows = df.select(F.col(url).alias("url"), table_rows(html).alias("rows"))
-    if age_labels is None:
-        rows = stage(rows, "page-rows")
 
     def cell_text(row: Column, i: int, part: str) -> Column:
         return F.get(row["cells"], F.lit(i))[part]
 
+    def own_text(row: Column, i: int) -> Column:
+        return text.strip(F.array_join(cell_text(row, i, "own"), ""))
+
+    def one_line(c: Column) -> Column:
+        return text.strip(F.regexp_replace(c, r"\s+", " "))
+
+    # What the fields ask of a row is worked out once per row, not once per field.
+    rows = rows.select("url", F.transform("rows", lambda r: F.struct(
+        F.array_join(cell_text(r, 0, "all"), "").alias("first"),
+        one_line(F.array_join(cell_text(r, 0, "all"), "")).alias("code"),
+        one_line(F.array_join(cell_text(r, 1, "all"), "")).alias("label"),
+        own_text(r, 1).alias("key"),
+        own_text(r, 2).alias("value"),
+        *[cell_text(r, 2, part).alias(part) for part in ("own", "all", "nested")],
+    )).alias("rows"))
+    if age_labels is None:
+        rows = stage(rows, "page-rows")
+
     def code(row: Column) -> Column:
-        return text.strip(F.regexp_replace(F.array_join(cell_text(row, 0, "all"), ""), r"\s+", " "))
+        return row["code"]
 
     def label(row: Column) -> Column:
-        return text.strip(F.regexp_replace(F.array_join(cell_text(row, 1, "all"), ""), r"\s+", " "))
+        return row["label"]
 
     def where(test) -> Column:
         return F.filter("rows", test)
 
     def first_text(test, part: str = "all") -> Column:
-        return F.get(F.flatten(F.transform(where(test), lambda r: cell_text(r, 2, part))), F.lit(0))
+        return F.get(F.flatten(F.transform(where(test), lambda r: r[part])), F.lit(0))
 
     def nested(section: str) -> Column:
-        return F.flatten(F.transform(where(lambda r: code(r) == section), lambda r: cell_text(r, 2, "nested")))
-
-    def own_text(row: Column, i: int) -> Column:
-        return text.strip(F.array_join(cell_text(row, i, "own"), ""))
+        return F.flatten(F.transform(where(lambda r: code(r) == section), lambda r: r["nested"]))
 
     def labelled(section: str) -> Column:
         # Label and value are paired within their row, so a row without a value does
         # not shift the values of the rows after it.
-        found = where(lambda r: F.array_join(cell_text(r, 0, "all"), "").contains(section))
-        pairs = F.transform(found, lambda r: F.struct(
-            own_text(r, 1).alias("key"), yes_no(own_text(r, 2)).alias("value")))
+        found = where(lambda r: r["first"].contains(section))
+        pairs = F.transform(found, lambda r: F.struct(r["key"].alias("key"), yes_no(r["value"]).alias("value")))
         return lists.pairs_to_map(F.filter(pairs, lambda p: p["key"] != ""))
 
     def as_json_list(section: str) -> Column:
@@ -275,7 +347,7 @@ def older_register(df: DataFrame, html: str, url: str, age_labels: list[str] | N
     return rows.select(
         text.strip(F.array_join(nested("A.3"), "\n")).alias("title"),
         text.strip(first_text(lambda r: code(r) == "A.2")).alias("eudract_nr"),
-        first_text(lambda r: F.array_join(cell_text(r, 0, "all"), "").contains("NCT")).alias("nct_nr"),
+        first_text(lambda r: r["first"].contains("NCT")).alias("nct_nr"),
         F.to_json(labelled("E.8.")).alias("trial_design"),
         F.to_json(labelled("E.6.")).alias("trial_scope"),
         F.to_json(labelled("E.7.")).alias("trial_phase"),
