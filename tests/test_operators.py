@@ -249,3 +249,16 @@ def test_quantiles_close_in_on_skewed_values(spark, monkeypatch):
             place = share * 1999
             low = math.floor(place)
             assert got[c][point] == pytest.approx(values[low] * (1 - place + low) + values[min(low + 1, 1999)] * (place - low), rel=1e-12)
+
+
+def test_a_task_of_the_dictionary_join_gets_a_small_share(spark, tmp_path):
+    """Links shuffle packed and unpack to many times their bytes in a task, so 64 MB of them are too many for one."""
+    links = tune(spark).range(0, 3_000_000, 1, 4).selectExpr("xxhash64(id) AS k", "id % 1000 AS l")
+    shuffled = links.repartition("k").select("k", F.spark_partition_id().alias("p"))
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        assert shuffled.agg(F.countDistinct("p")).first()[0] > 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
