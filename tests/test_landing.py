@@ -155,3 +155,24 @@ def test_a_bloom_filter_answers_where_ranges_do_not(spark, tmp_path):
     key = table.where("value = 500").first()["key"]
     read = {s: scanned_rows(joins.rows_by_ids([key], landing.read_landed(spark, str(tmp_path), s), "key", "place")) for s in ("plain", "bloom")}
     assert read["bloom"] < 0.5 * read["plain"]
+
+
+def test_buckets_of_tables_landed_together_grow_with_their_files(spark, tmp_path, monkeypatch):
+    rows = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "source"))
+    source = spark.read.parquet(str(tmp_path / "source"))
+    monkeypatch.setattr(landing, "BUCKET_BYTES", 1 << 13)
+    made = landing.land_together({"a": source, "b": source.select("k"), "c": source.select("v")}, "k", str(tmp_path / "many"), 2)
+
+    def files_of(df):
+        return df.select("_metadata.file_name").distinct().count()
+
+    assert files_of(made["a"]) == files_of(made["b"]) > 8
+    joined = made["a"].join(made["b"], "k")
+    assert joined.count() == 3000 and made["c"].count() == 3000
+    monkeypatch.undo()
+    few = landing.land_together({"a": source}, "k", str(tmp_path / "few"), 2)["a"]
+    assert files_of(few) == 2 and few.count() == 3000
+    # A frame of which Spark knows no size keeps the number asked for.
+    unknown = spark.createDataFrame(source.limit(10).rdd, source.schema)
+    assert landing.land_together({"a": unknown}, "k", str(tmp_path / "unknown"), 2)["a"].count() == 10

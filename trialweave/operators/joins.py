@@ -104,10 +104,15 @@ def estimated_bytes(df: DataFrame, key: str) -> int:
     Spark multiplies the sizes of joined sides, so the size of the files read bounds the estimate. Only the key's plan is
     optimised for it; its size is scaled up to all columns.
     """
-    plan = df.select(F.col(key))._jdf.queryExecution().optimizedPlan()
-    leaves = plan.collectLeaves()
-    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return min(int(str(plan.stats().sizeInBytes())) * len(df.columns), FAN_OUT * read)
+    narrow = df.select(F.col(key))
+    plan = narrow._jdf.queryExecution().optimizedPlan()
+    return min(int(str(plan.stats().sizeInBytes())) * len(df.columns), FAN_OUT * read_bytes(narrow))
+
+
+def read_bytes(df: DataFrame) -> int:
+    """Bytes of what a frame reads by Spark's estimates, its files' sizes for files; no job runs."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def hot_keys(df: DataFrame, key: str) -> dict:

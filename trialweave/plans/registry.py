@@ -41,10 +41,10 @@ def registry_extract(tables: Mapping[str, DataFrame], country: str, one_row: boo
     columns in order. Columns a table lacks are left out.
     """
     here = tables["countries"].where((F.col("name") == country) & ~F.col("removed")).select("nct_id")
-    wanted = here.distinct()
 
     def of_country(table: str) -> DataFrame:
-        return joins.filter_by_link(tables[table], wanted, "nct_id", semi=True)
+        # A semi join asks for no distinct links, and making them so would hold memory once per table in a task.
+        return joins.filter_by_link(tables[table], here, "nct_id", semi=True)
 
     def least(df: DataFrame) -> DataFrame:
         if not one_row:

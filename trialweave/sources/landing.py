@@ -25,12 +25,15 @@ from pyspark.sql import types as T
 
 from trialweave.operators import aggregates
 from trialweave.operators.columns import quoted
+from trialweave.operators.joins import read_bytes
 from trialweave.session import stage
 
 MANIFEST_SCHEMA = "version long, run string, landed timestamp, buckets int, bucket int, folder string, items long, columns string"
 CHANGE_KINDS = ("new", "changed", "gone")
 # Columns of the stored rows that readers do not see.
 DIGEST, BUCKET = "__digest", "__bucket"
+# Bytes of files a bucket of tables landed together stands for, and the least size that means Spark knows none.
+BUCKET_BYTES, UNKNOWN_BYTES = 4 << 20, 1 << 60
 
 
 class NothingLanded(ValueError):
@@ -116,12 +119,16 @@ def land(df: DataFrame, root: str, source: str, cluster_by: Sequence[str] = (),
 def land_together(tables: Mapping[str, DataFrame], key: str, folder: str, buckets: int = 64) -> dict[str, DataFrame]:
     """Land tables that are joined by one key as bucketed tables; returns them as read back, by name.
 
+    ``buckets`` is the least number of buckets. Tables that read more than ``BUCKET_BYTES`` of files a bucket get more, so that the
+    rows of all tables that meet in one task stay as many however large the tables are; a size that Spark does not know changes nothing.
     All are cut into the same number of buckets by the key and sorted within, so joins, aggregations and first rows by the key
     move none of them. They are entered in the session's catalog under names of their own, with their files below ``folder``.
     Tables without the key are landed as they are. One key's rows share a bucket: keys with a large share of all rows want the
     adaptive skew join on an unbucketed landing instead.
     """
     run, out = uuid.uuid4().hex, {}
+    sizes = [read_bytes(df) for df in tables.values() if key in df.columns]
+    buckets = max(buckets, -(-max((n for n in sizes if n < UNKNOWN_BYTES), default=0) // BUCKET_BYTES))
     for name, df in tables.items():
         table, path = f"landed_{name}_{run}", f"{folder}/{name}-{run}"
         if key in df.columns:
