@@ -176,3 +176,13 @@ def test_buckets_of_tables_landed_together_grow_with_their_files(spark, tmp_path
     # A frame of which Spark knows no size keeps the number asked for.
     unknown = spark.createDataFrame(source.limit(10).rdd, source.schema)
     assert landing.land_together({"a": unknown}, "k", str(tmp_path / "unknown"), 2)["a"].count() == 10
+
+
+def test_sorted_buckets_are_joined_without_another_sort(spark, tmp_path):
+    from trialweave.session import tune
+
+    rows = tune(spark).range(200).select(F.concat(F.lit("k"), "id").alias("k"), "id")
+    made = landing.land_together({"a": rows, "b": rows.withColumnRenamed("id", "n")}, "k", str(tmp_path / "sorted"), 3)
+    joined = made["a"].hint("merge").join(made["b"], "k")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 200 and "SortMergeJoin" in plan and "Sort [" not in plan and "Exchange" not in plan
