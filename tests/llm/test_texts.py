@@ -364,3 +364,35 @@ def test_candidates_of_a_template_family_stay_few(spark, monkeypatch):
     assert {r["component_id"] for r in simhash.near_copies(docs).collect()} == {0}
     # All with all would be 1.1 million pairs.
     assert sum(seen) < 12 * len(texts), seen
+
+
+@pytest.mark.parametrize("width", [22, 25])
+def test_a_segment_that_differs_by_any_one_bit_is_shared(spark, width, monkeypatch):
+    """Whichever bit of a segment differs, two nodes share a variant; with two bits they share none."""
+    rng = random.Random(3)
+    lanes, nodes, want = [rng.getrandbits(62) for _ in range(12)], [], set()
+    for i in range(width):
+        v, other = rng.getrandbits(width), rng.getrandbits(width)
+        nodes += [(10 * i, lanes, 50, [v, other]), (10 * i + 1, lanes, 50, [v ^ 1 << i, ~other & (1 << width) - 1])]
+        nodes += [(10 * i + 2, lanes, 50, [other ^ 1 << i ^ 1 << (i + 1) % width, rng.getrandbits(width)])]
+        want.add((10 * i, 10 * i + 1))
+    table = spark.createDataFrame(nodes, "node long, fps array<long>, n int, bits array<int>").repartition(3)
+    near = simhash.shared_variants(table, width).select(F.explode("near").alias("a"), F.col("node").alias("b")).collect()
+    assert {(r["a"], r["b"]) for r in near} == want
+    monkeypatch.setattr(simhash, "NEAR_GROUP", 1)
+    large = simhash.shared_variants(table, width).groupBy("k").agg(F.collect_set("node").alias("of"), F.max("size").alias("n")).collect()
+    assert {tuple(sorted(r["of"])) for r in large} == want and {r["n"] for r in large} == {2}
+
+
+def test_segments_grow_with_the_documents():
+    shapes = {n: simhash.segment_shape(n) for n in (0, 1, 2**20, 2**20 + 1, 2**24, 2**40)}
+    assert shapes[0] == shapes[1] == shapes[2**20] == (22, 34, 12) and shapes[2**20 + 1][0] == 23 and shapes[2**24][0] == 26 and shapes[2**40][0] == 30
+    for bits, segments, lanes in shapes.values():
+        miss = (1 - 0.849 ** bits - bits * 0.151 * 0.849 ** (bits - 1)) ** segments
+        assert miss < 0.009 and 64 * lanes >= bits * segments
+
+
+def test_longer_segments_link_the_same_copies(rows, docs, monkeypatch):
+    want = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(docs).collect()}
+    monkeypatch.setattr(simhash, "SEGMENT_BITS", 25)
+    assert {r["doc_id"]: r["component_id"] for r in simhash.near_copies(docs).collect()} == want

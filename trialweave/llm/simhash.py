@@ -11,6 +11,8 @@ matches with high probability, and candidates are verified by their shingles.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,8 +34,12 @@ LEADER_ROUNDS = 2
 NEAR_WIDTH = 5
 NEAR_SIMILARITY = 0.8
 NEAR_LANES = 12
+# Segments get a bit longer each time the documents double beyond 2^20, so that chance does not fill the groups of a variant.
 SEGMENT_BITS = 22
-WEAK_BITS = 6
+LONGEST_SEGMENT = 30
+# Share of the bits in which a pair at similarity 0.8 differs, and how many of such pairs may agree in no segment but for a bit.
+DIFFERING = 116 / 768
+MISSED = 0.008
 # Of 768 bits a pair at similarity 0.8 differs in 116, give or take 10: beyond the one bound pairs are taken for less similar,
 # within the other for more; between them the shingles decide.
 FAR_BITS = 150
@@ -155,9 +161,19 @@ def fingerprint_classes(docs: DataFrame, width: int = 3, key: str = "doc_id", te
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per document ``fps`` (lanes of 64 bits) over its ``n`` distinct shingles, ``digest`` of its words, and per segment of the fingerprint its
-    ``bits`` and the ``weak`` places in it, those with the narrowest majority: they are the ones that flip."""
+def segment_shape(rows: int) -> tuple[int, int, int]:
+    """Bits of a segment, number of segments and lanes of 64 bits for so many documents.
+
+    The longer the segments the more of them are needed: their number keeps the share of pairs missed at the similarity asked for below ``MISSED``.
+    """
+    bits = min(LONGEST_SEGMENT, max(SEGMENT_BITS, (max(rows, 1) - 1).bit_length() + 2))
+    agree = (1 - DIFFERING) ** bits + bits * DIFFERING * (1 - DIFFERING) ** (bits - 1)
+    segments = math.ceil(math.log(MISSED) / math.log(1 - agree))
+    return bits, segments, max(NEAR_LANES, -(-bits * segments // 64))
+
+
+def near_signatures(docs: DataFrame, key: str, text: str, shape: tuple[int, int, int]) -> DataFrame:
+    """Per document ``fps`` (lanes of 64 bits) over its ``n`` distinct shingles, ``digest`` of its words, and the ``bits`` of each segment of the fingerprint."""
     short_batches(docs.sparkSession)
 
     def run(batches):
@@ -165,28 +181,25 @@ def near_signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
         import pandas as pd
         from xxhash import xxh3_128_hexdigest
 
-        hashes, counts = shingle_hasher(NEAR_WIDTH), bit_counter(NEAR_LANES)
-        segments = 64 * NEAR_LANES // SEGMENT_BITS
-        used = segments * SEGMENT_BITS
-        place = np.left_shift(np.int32(1), np.arange(SEGMENT_BITS, dtype=np.int32))
+        width, segments, lanes = shape
+        hashes, counts = shingle_hasher(NEAR_WIDTH), bit_counter(lanes)
+        place = np.left_shift(np.int32(1), np.arange(width, dtype=np.int32))
         for pdf in batches:
             out = []
             for t in pdf["text"]:
                 h = np.unique(hashes(t))
-                c = counts(h) * 2 - len(h)
-                bits = c > 0
-                value = (bits[:used].reshape(segments, SEGMENT_BITS) * place).sum(axis=1, dtype=np.int32)
-                weak = np.argsort(np.abs(c[:used]).reshape(segments, SEGMENT_BITS), axis=1, kind="stable")[:, :WEAK_BITS]
+                bits = counts(h) * 2 > len(h)
+                value = (bits[:segments * width].reshape(segments, width) * place).sum(axis=1, dtype=np.int32)
                 words = b" ".join(t.encode("utf-8").lower().split()) if t else b""
-                out.append((np.packbits(bits, bitorder="little").view(np.int64), len(h), xxh3_128_hexdigest(words), value, weak.astype(np.int8).tolist()))
-            part = pd.DataFrame(out, columns=["fps", "n", "digest", "bits", "weak"])
+                out.append((np.packbits(bits[:64 * NEAR_LANES], bitorder="little").view(np.int64), len(h), xxh3_128_hexdigest(words), value))
+            part = pd.DataFrame(out, columns=["fps", "n", "digest", "bits"])
             part.insert(0, "doc_id", pdf["doc_id"].to_numpy())
             part.insert(1, "crc", pdf["crc"].to_numpy())
             yield part
 
     kind = dict(docs.dtypes)[key]
     slim = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.coalesce(F.crc32(F.col(text)), F.lit(-1)).alias("crc"), F.col(text).alias("text"))
-    return slim.mapInPandas(run, f"doc_id {kind}, crc long, fps array<long>, n int, digest string, bits array<int>, weak array<array<tinyint>>")
+    return slim.mapInPandas(run, f"doc_id {kind}, crc long, fps array<long>, n int, digest string, bits array<int>")
 
 
 def shingle_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -233,37 +246,68 @@ def likely_pair(lanes_a: str, lanes_b: str, n_a: str, n_b: str) -> Column:
     return (far <= LIKELY_BITS) & (F.least(n_a, n_b) >= NEAR_SIMILARITY * F.greatest(n_a, n_b))
 
 
-def in_classes(members: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """``members``, one row per node, with the component ``c`` the node is known to be in."""
+def shared_variants(nodes: DataFrame, width: int) -> DataFrame:
+    """``node`` and ``k`` of every variant that other nodes have too, with the ``size`` of its group and ``near``, the likely pairs of a small one.
+
+    Variants are those of all segments of ``width`` bits with every single bit blanked. A variant goes to its task by the half of the segment that is
+    whole, so that two rows a segment are shuffled and the blanked halves are made where they meet. Of a group of at most ``NEAR_GROUP``
+    nodes ``near`` has those before the node that it may be similar to; groups that are larger or have such pairs are returned.
+    """
+    low = width // 2
+    halves = F.expr(f"array(struct(0 as side, shiftright(v, {low}) as whole, v & {(1 << low) - 1} as part), struct(1 as side, v & {(1 << low) - 1} as whole, shiftright(v, {low}) as part))")
+    slim = [F.col("fps")[0].alias("l0"), F.col("fps")[1].alias("l1"), "n"]
+    segments = nodes.where("n > 0").select("node", *slim, F.posexplode("bits").alias("i", "v"))
+    routed = segments.select("node", "l0", "l1", "n", "i", F.explode(halves).alias("h")).select(
+        "node", "l0", "l1", "n", F.expr("shiftleft(2 * i + h.side, 16) | h.whole").alias("r"), F.col("h.part").alias("part")).repartition("r")
+    blanked = F.expr(f"transform(sequence(0, if(shiftright(r, 16) % 2 = 0, {low}, {width - low}) - 1), p -> shiftleft(p, 16) | (part & ~shiftleft(1, p)))")
+    variants = routed.select("node", "l0", "l1", "n", "r", F.explode(blanked).alias("p"))
+    group = Window.partitionBy("r", "p")
+    shared = variants.withColumn("size", F.count("*").over(group)).where("size > 1")
+    before = F.collect_list(F.struct("node", "l0", "l1", "n")).over(group.orderBy("node").rowsBetween(1 - NEAR_GROUP, -1))
+    likely = F.expr(f"transform(filter(before, x -> bit_count(x.l0 ^ l0) + bit_count(x.l1 ^ l1) <= {LIKELY_BITS}"
+                    f" AND least(x.n, n) >= {NEAR_SIMILARITY} * greatest(x.n, n)), x -> x.node)")
+    met = shared.withColumn("before", before).select("node", F.expr("shiftleft(cast(r as bigint), 32) | p").alias("k"), "size",
+                                                     F.when(F.col("size") <= NEAR_GROUP, likely).alias("near"))
+    return met.where((F.col("size") > NEAR_GROUP) | (F.size("near") > 0))
+
+
+def in_classes(members: DataFrame, classes: DataFrame | None, node: str = "node", c: str = "c") -> DataFrame:
+    """``members`` with the component ``c`` that ``node`` is known to be in."""
     if classes is None:
-        return members.withColumn("c", F.col("node"))
+        return members.withColumn(c, F.col(node))
     known = classes.select(F.col("node").alias("known"), "component")
-    return members.join(known, F.col("node") == F.col("known"), "left").withColumn("c", F.coalesce("component", "node")).drop("known", "component")
-
+    return members.join(known, F.col(node) == F.col("known"), "left").withColumn(c, F.coalesce("component", node)).drop("known", "component")
 
-def leader_pairs(members: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """(a, b): of the leaders of its large variant groups, for each member b the likely one with the most company and the nearest one.
 
-    Leaders that b is connected to are left out, so there are two pairs per member at most.
+def group_leaders(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node`` and each ``leader`` of its large variant groups, one row per pair, with the leader's negative company ``alone``, the differing ``far`` bits of two lanes and ``likely``.
 
     A leader is the member with the most company in its groups, as the text has that the others were copied from. It comes to them
     by a window, so no join ever meets a whole group with itself.
     """
-    rows = in_classes(members, classes).select("node", "n", "lanes", "c", "company", F.explode("large").alias("k"))
-    lead = F.min(F.struct((-F.col("company")).alias("alone"), F.col("node").alias("a"), F.col("c").alias("d"), F.col("lanes").alias("l"), F.col("n").alias("m")))
-    rows = rows.withColumn("f", lead.over(Window.partitionBy("k"))).select("node", "n", "lanes", "c", "f.alone", "f.a", "f.d", "f.l", "f.m")
-    rows = rows.where((F.col("c") != F.col("d")) & likely_pair("lanes", "l", "n", "m"))
-    bits = F.expr("bit_count(lanes[0] ^ l[0]) + bit_count(lanes[1] ^ l[1])")
-    best = rows.groupBy(F.col("node").alias("b")).agg(F.min(F.struct("alone", "a"))["a"].alias("x"), F.min(F.struct(bits, "a"))["a"].alias("y"))
+    company = F.sum("size").over(Window.partitionBy("node"))
+    lead = F.min(F.struct("alone", F.col("node").alias("leader"))).over(Window.partitionBy("k"))
+    led = crowded.select("node", "k", (-company).alias("alone")).select("node", lead.alias("f"))
+    pairs = led.groupBy("node", F.col("f.leader").alias("leader")).agg(F.min("f.alone").alias("alone")).where("node <> leader")
+    x, y = (nodes.select(F.col("node").alias(name), F.slice("fps", 1, 2).alias(f"lanes{side}"), F.col("n").alias(f"n{side}")) for name, side in (("node", "a"), ("leader", "b")))
+    far = F.expr("bit_count(lanesa[0] ^ lanesb[0]) + bit_count(lanesa[1] ^ lanesb[1])")
+    return pairs.join(x, "node").join(y, "leader").select("node", "leader", "alone", far.alias("far"), likely_pair("lanesa", "lanesb", "na", "nb").alias("likely"))
+
+
+def leader_pairs(leaders: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """(a, b): of the leaders of its large variant groups, for each member b the likely one with the most company and the nearest one.
+
+    Leaders that b is connected to are left out, so there are two pairs per member at most.
+    """
+    rows = in_classes(in_classes(leaders.where("likely"), classes), classes, "leader", "d").where("c <> d")
+    best = rows.groupBy(F.col("node").alias("b")).agg(F.min(F.struct("alone", "leader"))["leader"].alias("x"), F.min(F.struct("far", "leader"))["leader"].alias("y"))
     return best.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("a"), "b")
 
 
-def small_group_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b): the likely pairs of variant groups of at most ``NEAR_GROUP`` members that are not connected yet; repeats included."""
-    rows = in_classes(members, classes).select("node", "n", "lanes", "c", F.explode("small").alias("k"))
-    x, y = (rows.select("k", *[F.col(c).alias(c + side) for c in ("node", "n", "lanes", "c")]) for side in "ab")
-    wanted = (F.col("nodea") < F.col("nodeb")) & (F.col("ca") != F.col("cb")) & likely_pair("lanesa", "lanesb", "na", "nb")
-    return x.join(y, "k").where(wanted).select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"))
+def small_group_pairs(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): the likely pairs of variant groups of at most ``NEAR_GROUP`` members that are not connected yet."""
+    pairs = shared.where(F.size("near") > 0).select(F.explode("near").alias("a"), F.col("node").alias("b")).distinct()
+    return in_classes(in_classes(pairs, classes, "a", "ca"), classes, "b", "cb").where("ca <> cb").select("a", "b")
 
 
 def rarest_shingles(sets: DataFrame) -> DataFrame:
@@ -298,19 +342,18 @@ def rarest_shingles(sets: DataFrame) -> DataFrame:
     return sets.mapInPandas(run, f"node {kind}, m int, rare array<long>")
 
 
-def crowded_pairs(members: DataFrame, nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+def crowded_pairs(crowded: DataFrame, leaders: DataFrame, nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """(a, b): all pairs out of large variant groups that may be similar and are not connected yet; repeats included.
 
     Similar sets share a shingle among their rarest (prefix filter), which loses no pair, however large the groups are. Groups whose members are
-    connected already are done. Of a shingle's nodes those of its largest component are not paired among themselves, and fingerprints too
-    far apart are not paired at all.
+    connected already are done: if two members are not, one is not connected to the leader. Of a shingle's nodes those of its largest component
+    are not paired among themselves, and fingerprints too far apart are not paired at all.
     """
-    placed = in_classes(members, classes)
+    placed = in_classes(crowded.groupBy("node").agg(F.sum("size").alias("company")), classes)
     # One node speaks for each component, so that texts left alone meet the one their family was copied from.
     hubs = placed.groupBy("c").agg(F.max(F.struct("company", "node"))["node"].alias("node")).select("node")
-    groups = placed.select("c", F.explode("large").alias("k")).groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-    open_ = groups.where("low <> high").select("k")
-    left = members.select("node", F.explode("large").alias("k")).join(open_, "k", "left_semi").select("node").unionByName(hubs).distinct()
+    open_ = stage(in_classes(in_classes(leaders, classes), classes, "leader", "d").where("c <> d").select("leader").distinct(), "open-leaders")
+    left = leaders.join(open_, "leader", "left_semi").select("node").unionByName(open_.select(F.col("leader").alias("node"))).unionByName(hubs).distinct()
     known = in_classes(nodes.select("node", "fps").join(left, "node", "left_semi"), classes)
     members = stage(known, "crowded-nodes")
     texts = docs.join(members.select("node"), docs[key] == members["node"], "left_semi")
@@ -334,34 +377,27 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     A group: documents whose sets of five-word shingles are at least 0.8 similar (Jaccard), chains included. Texts with equal words,
     letter case aside, are one node; texts without words are copies of each other. Of 768 bits the fingerprints of such
     a pair differ in 116 on average, too many for a guarantee by segments of a useful length: of the 34 segments of 22 bits one differs by at most
-    one weak bit with a probability of about 0.985 at similarity 0.8 and 0.999 at 0.85. A member of a large variant
+    one bit, whichever, with a probability of about 0.99 at similarity 0.8. More documents have longer and more segments. A member of a large variant
     group is compared with the group's leader, in a few rounds with two of them at most; then small groups are compared whole, and in groups above
-    ``NEAR_GROUP`` all members that are not connected yet are found by their rarest shingles. What a node needs in its groups is joined once per node.
+    ``NEAR_GROUP`` all members that are not connected yet are found by their rarest shingles.
     Rows that share a key share a class. Null keys have no row; an empty table gives none; other columns are not read.
     """
-    rows = stage(near_signatures(docs, key, text), "near-signatures")
+    shape = segment_shape(docs.count())
+    rows = stage(near_signatures(docs, key, text, shape), "near-signatures")
     reps = rows.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     own = rows.join(reps.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("rep")))
-    nodes = stage(own.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "fps", "n", "bits", "weak"), "near-nodes")
-    segments = nodes.where("n > 0").select("node", "weak", F.posexplode("bits").alias("i", "v"))
-    blank = F.expr("transform(concat(array(cast(-1 as tinyint)), weak[i]), p -> shiftleft(cast(i as bigint), 40) | shiftleft(cast(p + 1 as bigint), 32)"
-                   " | (cast(v as bigint) & if(p < 0, -1L, ~shiftleft(1L, cast(p as int)))))")
-    variants = segments.select("node", F.explode(blank).alias("k"))
-    crowd = F.col("size") > NEAR_GROUP
-    # A node has some two hundred variants at most, so its lists are bounded.
-    shared = in_groups(variants, "k").withColumnRenamed("n", "size").groupBy("node").agg(
-        F.collect_list(F.when(crowd, F.col("k"))).alias("large"), F.collect_list(F.when(~crowd, F.col("k"))).alias("small"),
-        F.sum(F.when(crowd, F.col("size")).otherwise(0)).alias("company"))
-    members = stage(shared.join(nodes.select("node", "n", F.slice("fps", 1, 2).alias("lanes")), "node"), "near-variants")
-    crowded = members.where(F.size("large") > 0)
+    nodes = stage(own.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "fps", "n", "bits"), "near-nodes")
+    shared = stage(shared_variants(nodes, shape[0]), "near-variants")
+    crowded = shared.where(F.col("size") > NEAR_GROUP)
+    leaders = stage(group_leaders(crowded, nodes), "near-leaders")
     edges, classes = None, None
     for _ in range(LEADER_ROUNDS):
-        found = stage(similar_pairs(leader_pairs(crowded, classes), nodes, docs, key, text), "near-edges")
+        found = stage(similar_pairs(leader_pairs(leaders, classes), nodes, docs, key, text), "near-edges")
         edges = found if edges is None else edges.unionByName(found)
         classes = stage(components(edges), "near-classes")
-    edges = stage(edges.unionByName(similar_pairs(small_group_pairs(members, classes).distinct(), nodes, docs, key, text)), "near-edges")
+    edges = stage(edges.unionByName(similar_pairs(small_group_pairs(shared, classes), nodes, docs, key, text)), "near-edges")
     classes = stage(components(edges), "near-classes")
-    rest = crowded_pairs(crowded, nodes, classes, docs, key, text).distinct()
+    rest = crowded_pairs(crowded, leaders, nodes, classes, docs, key, text).distinct()
     linked = stage(components(edges.unionByName(similar_pairs(rest, nodes, docs, key, text))), "near-classes")
     named = reps.join(linked, reps["rep"] == linked["node"], "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     return rows.join(named, "digest").select("doc_id", "crc", "component_id")
