@@ -183,3 +183,15 @@ def test_mix_and_shards_leave_columns_of_any_name_alone(docs):
     assert sharded.columns == (named.columns if "shard" in named.columns else [*named.columns, "shard"]) and {r["__slot"] for r in sharded.collect()} == {3}
     again = sharding.with_shards(sharded, sharding.measured_map(named, 5))
     assert again.columns == sharded.columns and again.exceptAll(sharded).count() == 0
+
+
+def test_mix_numbers_no_whole_rows_unless_keys_repeat(spark):
+    """Sources and keys alone give the steps; both ways give the order of the schedule."""
+    rows = [(i, None if i % 7 == 0 else f"s{i % 3}", f"text {i}") for i in range(500)] + [(None, "s1", "no key")]
+    once = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    twice = spark.createDataFrame([*rows, rows[1]], once.schema).repartition(4)
+    for df, windows in ((once, 0), (twice, 2)):
+        got = mixing.mixed(df)
+        assert got._jdf.queryExecution().optimizedPlan().toString().count("Window") == windows
+        want = [r["doc_id"] for r in mixing.schedule(df).orderBy("step", "doc_id").collect()]
+        assert [r["doc_id"] for r in got.collect()] == want

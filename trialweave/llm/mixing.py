@@ -167,7 +167,14 @@ def mixed(df: DataFrame, weights: Mapping[str | None, float] | None = None, sour
     """All rows and columns of ``df`` in the order of the schedule, over range partitions.
 
     Null sources are a source, null keys and repeated rows rows like any other; an empty table stays empty. Columns may have any names.
+    Steps are found on sources and keys alone, so that whole rows are moved twice, to their step and into order. Only where several rows of
+    a source share a key, whole rows are numbered.
     """
     plain, name = numbered_columns(df)
-    placed = with_steps(plain, weights, name[source], name[key])
+    slim = plain.select(F.col(name[source]).alias("__source"), F.col(name[key]).alias("__key"))
+    steps = stage(with_steps(slim, weights, "__source", "__key").drop("__block"), "mix-places")
+    if steps.groupBy("__source", "__key").count().where("count > 1").head(1):
+        placed = with_steps(plain, weights, name[source], name[key])
+    else:
+        placed = plain.join(steps, plain[name[source]].eqNullSafe(steps["__source"]) & plain[name[key]].eqNullSafe(steps["__key"]))
     return placed.orderBy("__step", name[key]).select(*plain.columns).toDF(*df.columns)
