@@ -195,3 +195,24 @@ def test_mix_numbers_no_whole_rows_unless_keys_repeat(spark):
         assert got._jdf.queryExecution().optimizedPlan().toString().count("Window") == windows
         want = [r["doc_id"] for r in mixing.schedule(df).orderBy("step", "doc_id").collect()]
         assert [r["doc_id"] for r in got.collect()] == want
+
+
+def test_mix_moves_whole_rows_once(spark, monkeypatch):
+    """Steps are broadcast by the block however large the tables, and found the same in cells of any size."""
+    rows = [(f"k{i}" if i else None, None if i % 7 == 0 else f"s{i % 2}", f"text {i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id string, source string, text string").repartition(4)
+    want = [r["doc_id"] for r in mixing.schedule(df).orderBy("step", "doc_id").collect()]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for cell in (1, 5, 4096):
+            monkeypatch.setattr(mixing, "CELL_ROWS", cell)
+            got = mixing.mixed(df)
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+            assert [r["doc_id"] for r in got.collect()] == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # Too many to broadcast: the rows are joined to their steps.
+    monkeypatch.setattr(mixing, "MOST_BROADCAST", 10)
+    assert [r["doc_id"] for r in mixing.mixed(df).collect()] == want

@@ -17,7 +17,7 @@ import math
 from collections.abc import Iterator, Mapping
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -26,6 +26,9 @@ from trialweave.session import stage
 
 BLOCK_ROWS = 32
 SALTS = 64
+# About so many rows share a broadcast row of ``steps_by_hash``; tables of more rows than the other are joined to their steps instead.
+CELL_ROWS = 4096
+MOST_BROADCAST = 50_000_000
 
 
 def whole_parts(weights: Mapping[int, float], period: int) -> dict[int, int]:
@@ -114,13 +117,18 @@ def laid_out(spark: SparkSession, names: list, blocks: Mapping[int, int], weight
     return plan.join(named, plan["__n"] == named["__i"]).select("__s", "__b", "__step")
 
 
+def salt(key: str) -> Column:
+    """The slice of its source that a row is numbered in."""
+    return F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(SALTS)).cast("int")
+
+
 def numbered_blocks(df: DataFrame, source: str, key: str, block_rows: int) -> DataFrame:
     """Rows with ``__block``: the block of their source they fall into, at most ``block_rows`` rows each.
 
     A source is cut into salted slices whose counts are put one after another, so that no task orders a whole
     source. Rows follow a hash of their key; equal rows may change places.
     """
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(SALTS)).cast("int"))
+    salted = df.withColumn("__salt", salt(key))
     slices = salted.groupBy(F.col(source).alias("__s"), F.col("__salt").alias("__t")).agg(F.count("*").alias("__n"))
     before = Window.partitionBy("__s").orderBy("__t").rowsBetween(Window.unboundedPreceding, -1)
     starts = slices.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
@@ -163,18 +171,40 @@ def schedule(df: DataFrame, weights: Mapping[str | None, float] | None = None, s
     return placed.select("doc_id", "source", F.col("__block").alias("block"), F.col("__step").alias("step"))
 
 
+def steps_by_hash(df: DataFrame, steps: DataFrame, rows: int, source: str, key: str) -> DataFrame:
+    """``df`` with ``__step`` and no shuffle, if no two rows of a source have the same hash of their key.
+
+    In a slice of a source steps grow with that hash. A cell is a range of hashes of a slice; it has the steps of its rows and the hash at which
+    each begins: some 16 bytes for a block of rows, which are broadcast.
+    """
+    bits = max(1, (rows // (SALTS * CELL_ROWS)).bit_length())
+
+    def placed(frame: DataFrame, name: str) -> DataFrame:
+        hashed = frame.withColumn("__hash", F.xxhash64(F.col(name)))
+        return hashed.withColumn("__cell", F.shiftleft(salt(name).cast("long"), bits) + F.shiftright("__hash", 64 - bits))
+
+    begins = placed(steps, "__key").groupBy(F.col("__source").alias("__s"), F.col("__cell").alias("__c"), "__step").agg(F.min("__hash").alias("__from"))
+    ranges = begins.groupBy("__s", "__c").agg(F.array_sort(F.collect_list(F.struct("__from", "__step"))).alias("__ranges")).select(
+        "__s", "__c", F.col("__ranges.__from").alias("__from"), F.col("__ranges.__step").alias("__steps"))
+    found = placed(df, key).join(F.broadcast(ranges), F.col(source).eqNullSafe(F.col("__s")) & (F.col("__cell") == F.col("__c")))
+    step = F.expr("__steps[size(filter(__from, x -> x <= __hash)) - 1]")
+    return found.select(*df.columns, step.alias("__step"))
+
+
 def mixed(df: DataFrame, weights: Mapping[str | None, float] | None = None, source: str = "source", key: str = "doc_id") -> DataFrame:
     """All rows and columns of ``df`` in the order of the schedule, over range partitions.
 
     Null sources are a source, null keys and repeated rows rows like any other; an empty table stays empty. Columns may have any names.
-    Steps are found on sources and keys alone, so that whole rows are moved twice, to their step and into order. Only where several rows of
-    a source share a key, whole rows are numbered.
+    Steps are found on sources and keys alone and broadcast by the block, so that whole rows are moved once, into order; beyond ``MOST_BROADCAST``
+    rows twice, to their step and into order. Only where several rows of a source share a key, or its hash, whole rows are numbered.
     """
     plain, name = numbered_columns(df)
     slim = plain.select(F.col(name[source]).alias("__source"), F.col(name[key]).alias("__key"))
     steps = stage(with_steps(slim, weights, "__source", "__key").drop("__block"), "mix-places")
-    if steps.groupBy("__source", "__key").count().where("count > 1").head(1):
+    if steps.groupBy("__source", F.xxhash64("__key")).count().where("count > 1").head(1):
         placed = with_steps(plain, weights, name[source], name[key])
+    elif (rows := steps.count()) <= MOST_BROADCAST:
+        placed = steps_by_hash(plain, steps, rows, name[source], name[key])
     else:
         placed = plain.join(steps, plain[name[source]].eqNullSafe(steps["__source"]) & plain[name[key]].eqNullSafe(steps["__key"]))
     return placed.orderBy("__step", name[key]).select(*plain.columns).toDF(*df.columns)
