@@ -11,7 +11,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from trialweave.llm import benchmarks, graphs, repeats, simhash, surrogates
+from trialweave.llm import benchmarks, common, graphs, repeats, simhash, surrogates
+from trialweave.llm.common import split_by_keys
 
 
 def prose(rng, n, words=400):
@@ -144,6 +145,57 @@ def test_one_of_each_group_stays(rows, docs):
     assert simhash.without_near_copies(docs.limit(0)).count() == 0
 
 
+def test_few_texts_are_shuffled_for_a_join_with_few_keys(spark, monkeypatch):
+    rows = [(i if i % 50 else None, i % 3, f"text {i}") for i in range(20_000)]
+    df = spark.createDataFrame(rows, "doc_id long, __place long, text string").repartition(4)
+    wanted = [*((i, i % 3) for i in range(0, 20_000, 10)), (None, 0), (-1, 0)]
+    keys = spark.createDataFrame(wanted, "a long, b long")
+    some, others = (x.collect() for x in split_by_keys(df, ["doc_id", "__place"], keys))
+    assert Counter(some + others) == Counter(df.collect()) and some[0].__fields__ == df.columns
+    assert not {(r[0], r[1]) for r in others} & set(wanted) and len(others) > 0.85 * len(rows)
+    none, all_ = split_by_keys(df, ["doc_id", "__place"], keys.limit(0))
+    assert none.count() == 0 and all_.count() == len(rows)
+    # A filter that is too small lets more through and loses none.
+    monkeypatch.setattr(common, "BITMAP_BITS", 8)
+    monkeypatch.setattr(common, "MOST_BITMAPS", 600)
+    some, others = (x.collect() for x in split_by_keys(df, ["doc_id", "__place"], keys))
+    assert len(some) + len(others) == len(rows) and others and not {(r[0], r[1]) for r in others} & set(wanted)
+
+
+def test_near_copies_go_without_a_shuffle_of_the_texts_that_stay(spark):
+    rng = random.Random(4)
+    texts = [prose(rng, 60, 10**6) for _ in range(300)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(1000 + i, " ".join(t)) for i, t in enumerate(texts[:20])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = simhash.without_near_copies(docs)
+        union = kept._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert sum("Union" in line for line in union) == 1 and sum("LeftAnti" in line for line in union) == 1
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(300))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_leaders_meet_their_class_once_each(spark, monkeypatch):
+    """Not once for every member of their groups."""
+    rng = random.Random(6)
+    base = prose(rng, 200, 10**6)
+    family = [[f"own{rng.randrange(10**9)}" if p in (i % 40 * 5, i % 37 * 5 + 2) else w for p, w in enumerate(base)] for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(family)], "doc_id long, text string").repartition(4)
+    met, plain = [], simhash.in_classes
+
+    def in_classes(members, classes, node="node", c="c"):
+        if node == "leader" and "likely" not in members.columns:
+            met.append((members.count(), members.select("leader").distinct().count()))
+        return plain(members, classes, node, c)
+
+    monkeypatch.setattr(simhash, "in_classes", in_classes)
+    assert {r["component_id"] for r in simhash.near_copies(docs).collect()} == {0}
+    assert len(met) == 1 and met[0][0] == met[0][1] > 0
+
+
 @pytest.mark.parametrize("part", [400, 10**6])
 def test_repeated_windows_are_removed(rows, docs, part, monkeypatch):
     """With small parts texts meet only in the exchange."""

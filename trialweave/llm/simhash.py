@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trialweave.llm.common import short_batches
+from trialweave.llm.common import free_name, short_batches, split_by_keys
 from trialweave.llm.graphs import components
 from trialweave.session import stage
 
@@ -216,6 +216,12 @@ def shingle_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("node"), F.col(text).alias("text")).mapInPandas(run, f"node {kind}, sh array<long>")
 
 
+def texts_of(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
+    """Key and text of the documents whose key is in the only column of ``nodes``; few other texts are shuffled."""
+    some, _ = split_by_keys(docs.select(key, text), [key], nodes)
+    return some.join(nodes, some[key] == nodes[nodes.columns[0]], "left_semi")
+
+
 def differing_bits(a: str, b: str) -> Column:
     return F.expr(" + ".join(f"bit_count({a}[{i}] ^ {b}[{i}])" for i in range(NEAR_LANES)))
 
@@ -231,8 +237,7 @@ def similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str,
     near = stage(compared.where(few | (F.col("bits") <= FAR_BITS)).select("a", "b", (~few & (F.col("bits") <= SURE_BITS)).alias("sure")), "near-pairs")
     open_ = near.where("NOT sure").select("a", "b")
     wanted = stage(open_.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "open-nodes")
-    texts = docs.join(wanted, docs[key] == wanted["w"], "left_semi")
-    sets = stage(shingle_sets(texts, key, text).dropDuplicates(["node"]), "shingle-sets")
+    sets = stage(shingle_sets(texts_of(docs, wanted, key, text), key, text).dropDuplicates(["node"]), "shingle-sets")
     both = open_.join(sets.select(F.col("node").alias("a"), F.col("sh").alias("sa")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("sh").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
@@ -352,12 +357,13 @@ def crowded_pairs(crowded: DataFrame, leaders: DataFrame, nodes: DataFrame, clas
     placed = in_classes(crowded.groupBy("node").agg(F.sum("size").alias("company")), classes)
     # One node speaks for each component, so that texts left alone meet the one their family was copied from.
     hubs = placed.groupBy("c").agg(F.max(F.struct("company", "node"))["node"].alias("node")).select("node")
-    open_ = stage(in_classes(in_classes(leaders, classes), classes, "leader", "d").where("c <> d").select("leader").distinct(), "open-leaders")
+    # A row per leader, not per pair, meets the leader's class.
+    led = in_classes(leaders, classes).groupBy("leader").agg(F.min("c").alias("least"), F.max("c").alias("most"))
+    open_ = stage(in_classes(led, classes, "leader", "d").where("least <> d OR most <> d").select("leader"), "open-leaders")
     left = leaders.join(open_, "leader", "left_semi").select("node").unionByName(open_.select(F.col("leader").alias("node"))).unionByName(hubs).distinct()
     known = in_classes(nodes.select("node", "fps").join(left, "node", "left_semi"), classes)
     members = stage(known, "crowded-nodes")
-    texts = docs.join(members.select("node"), docs[key] == members["node"], "left_semi")
-    sets = stage(shingle_sets(texts, key, text).dropDuplicates(["node"]), "crowded-sets")
+    sets = stage(shingle_sets(texts_of(docs, members.select("node"), key, text), key, text).dropDuplicates(["node"]), "crowded-sets")
     rare = stage(rarest_shingles(sets).join(members, "node"), "rarest").select("node", "m", "fps", "c", F.posexplode("rare").alias("place", "shingle"))
     sizes = rare.groupBy("shingle", "c").agg(F.count("*").alias("s"))
     most = sizes.groupBy("shingle").agg(F.max(F.struct("s", "c")).alias("x"), F.sum("s").alias("all")).where(F.col("all") > F.col("x.s")).select("shingle", F.col("x.c").alias("main"))
@@ -410,8 +416,9 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     """
     classes = stage(near_copies(docs, key, text), "near-decisions")
     goes = stage(classes.where("doc_id <> component_id").select(F.col("doc_id").alias("__id"), F.col("crc").alias("__c")).distinct(), "near-copies")
-    crc = F.coalesce(F.crc32(docs[text]), F.lit(-1))
-    kept = docs.join(goes, (docs[key] == goes["__id"]) & (crc == goes["__c"]), "left_anti")
+    crc = free_name(docs, "__crc")
+    some, others = split_by_keys(docs.withColumn(crc, F.coalesce(F.crc32(F.col(text)), F.lit(-1))), [key, crc], goes)
+    kept = others.unionByName(some.join(goes, (some[key] == goes["__id"]) & (some[crc] == goes["__c"]), "left_anti")).drop(crc)
     repeated = stage(classes.groupBy("doc_id", "crc").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__id")).distinct(), "repeated-keys")
     if not repeated.head(1):
         return kept
