@@ -196,6 +196,50 @@ def test_leaders_meet_their_class_once_each(spark, monkeypatch):
     assert len(met) == 1 and met[0][0] == met[0][1] > 0
 
 
+def test_a_node_meets_its_class_once_whatever_the_number_of_its_leaders(spark, monkeypatch):
+    rng = random.Random(6)
+    base = prose(rng, 200, 10**6)
+    family = [[f"own{rng.randrange(10**9)}" if p in (i % 40 * 5, i % 37 * 5 + 2) else w for p, w in enumerate(base)] for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(family)], "doc_id long, text string").repartition(4)
+    met, most, plain, group = [], [], simhash.in_classes, simhash.group_leaders
+
+    def in_classes(members, classes, node="node", c="c"):
+        if node == "node" and classes is not None:
+            met.append((members.count(), members.select("node").distinct().count()))
+        return plain(members, classes, node, c)
+
+    def group_leaders(*given):
+        led = group(*given)
+        most.extend(r["n"] for r in led.select(F.size("of").alias("n")).collect())
+        return led
+
+    monkeypatch.setattr(simhash, "in_classes", in_classes)
+    monkeypatch.setattr(simhash, "group_leaders", group_leaders)
+    assert {r["component_id"] for r in simhash.near_copies(docs).collect()} == {0}
+    assert max(most) > 3 and len(met) == 3 and all(rows == nodes > 0 for rows, nodes in met), met
+
+
+def test_leaders_that_a_node_is_connected_to_are_left_out(spark):
+    """Also where classes have joined since the pairs were written."""
+    rng = random.Random(7)
+    early = {i: min(i, i // 3 * 3) for i in range(60)}
+    late = {i: early[i] // 12 * 12 if i < 48 else early[i] for i in early}
+    pairs = {(rng.randrange(60), rng.randrange(60)): (-rng.randrange(5), rng.randrange(60), rng.random() < 0.7) for _ in range(400)}
+    pairs = {k: v for k, v in pairs.items() if k[0] != k[1]}
+    met = spark.createDataFrame([(a, early[a], b, *v) for (a, b), v in pairs.items()], "node long, c long, leader long, alone long, far int, likely boolean").repartition(3)
+    classes = [spark.createDataFrame([(i, c) for i, c in x.items() if i != c], "node long, component long") for x in (early, late)]
+    for table, known in zip(classes, (early, late)):
+        got = {(r["node"], r["leader"]) for r in simhash.leaders_apart(met, table).select("node", F.inline("of")).collect()}
+        assert got == {(a, b) for (a, b), v in pairs.items() if v[2] and known[a] != known[b]} and got
+    whole = met.groupBy("node").agg(F.collect_list(F.struct("leader", "alone", "far", "likely")).alias("of"))
+    want = set()
+    for a in early:
+        of = [(v[0], v[1], b) for (x, b), v in pairs.items() if x == a and v[2]]
+        want |= {(min((y[0], y[2]) for y in of)[1], a), (min((y[1], y[2]) for y in of)[1], a)} if of else set()
+    got = [tuple(r) for r in simhash.leader_pairs(whole).select("a", "b").collect()]
+    assert sorted(got) == sorted(want)
+
+
 @pytest.mark.parametrize("part", [400, 10**6])
 def test_repeated_windows_are_removed(rows, docs, part, monkeypatch):
     """With small parts texts meet only in the exchange."""

@@ -245,14 +245,9 @@ def similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str,
     return near.where("sure").select("a", "b").unionByName(alike)
 
 
-def likely_pair(lanes_a: str, lanes_b: str, n_a: str, n_b: str) -> Column:
-    """What any similar pair meets: sizes within the similarity, and two lanes' bits within six standard deviations."""
-    far = F.expr(f"bit_count({lanes_a}[0] ^ {lanes_b}[0]) + bit_count({lanes_a}[1] ^ {lanes_b}[1])")
-    return (far <= LIKELY_BITS) & (F.least(n_a, n_b) >= NEAR_SIMILARITY * F.greatest(n_a, n_b))
-
-
 def shared_variants(nodes: DataFrame, width: int) -> DataFrame:
     """``node`` and ``k`` of every variant that other nodes have too, with the ``size`` of its group and ``near``, the likely pairs of a small one.
+    The node's two lanes ``l0`` and ``l1`` and number ``n`` of shingles come along, so that its group can judge it without a join.
 
     Variants are those of all segments of ``width`` bits with every single bit blanked. A variant goes to its task by the half of the segment that is
     whole, so that two rows a segment are shuffled and the blanked halves are made where they meet. Of a group of at most ``NEAR_GROUP``
@@ -271,7 +266,7 @@ def shared_variants(nodes: DataFrame, width: int) -> DataFrame:
     before = F.collect_list(F.struct("node", "l0", "l1", "n")).over(group.orderBy("node").rowsBetween(1 - NEAR_GROUP, -1))
     likely = F.expr(f"transform(filter(before, x -> bit_count(x.l0 ^ l0) + bit_count(x.l1 ^ l1) <= {LIKELY_BITS}"
                     f" AND least(x.n, n) >= {NEAR_SIMILARITY} * greatest(x.n, n)), x -> x.node)")
-    met = shared.withColumn("before", before).select("node", F.expr("shiftleft(cast(r as bigint), 32) | p").alias("k"), "size",
+    met = shared.withColumn("before", before).select("node", "l0", "l1", "n", F.expr("shiftleft(cast(r as bigint), 32) | p").alias("k"), "size",
                                                      F.when(F.col("size") <= NEAR_GROUP, likely).alias("near"))
     return met.where((F.col("size") > NEAR_GROUP) | (F.size("near") > 0))
 
@@ -284,29 +279,44 @@ def in_classes(members: DataFrame, classes: DataFrame | None, node: str = "node"
     return members.join(known, F.col(node) == F.col("known"), "left").withColumn(c, F.coalesce("component", node)).drop("known", "component")
 
 
-def group_leaders(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node`` and each ``leader`` of its large variant groups, one row per pair, with the leader's negative company ``alone``, the differing ``far`` bits of two lanes and ``likely``.
+def group_leaders(crowded: DataFrame) -> DataFrame:
+    """One row per ``node`` with ``of``, the leaders of its large variant groups: ``leader``, its negative company ``alone``, the differing ``far`` bits of two lanes, and ``likely``.
 
     A leader is the member with the most company in its groups, as the text has that the others were copied from. It comes to them
-    by a window, so no join ever meets a whole group with itself.
+    by a window, so no join ever meets a whole group with itself. Likely is what any similar pair is: sizes within the similarity, and two lanes'
+    bits within six standard deviations. A node has a leader per variant at most.
     """
     company = F.sum("size").over(Window.partitionBy("node"))
-    lead = F.min(F.struct("alone", F.col("node").alias("leader"))).over(Window.partitionBy("k"))
-    led = crowded.select("node", "k", (-company).alias("alone")).select("node", lead.alias("f"))
-    pairs = led.groupBy("node", F.col("f.leader").alias("leader")).agg(F.min("f.alone").alias("alone")).where("node <> leader")
-    x, y = (nodes.select(F.col("node").alias(name), F.slice("fps", 1, 2).alias(f"lanes{side}"), F.col("n").alias(f"n{side}")) for name, side in (("node", "a"), ("leader", "b")))
-    far = F.expr("bit_count(lanesa[0] ^ lanesb[0]) + bit_count(lanesa[1] ^ lanesb[1])")
-    return pairs.join(x, "node").join(y, "leader").select("node", "leader", "alone", far.alias("far"), likely_pair("lanesa", "lanesb", "na", "nb").alias("likely"))
+    lead = F.min(F.struct("alone", F.col("node").alias("leader"), "l0", "l1", "n")).over(Window.partitionBy("k"))
+    led = crowded.select("node", "l0", "l1", "n", "k", (-company).alias("alone")).select("node", "l0", "l1", "n", lead.alias("f")).where("node <> f.leader")
+    far = F.expr("bit_count(l0 ^ f.l0) + bit_count(l1 ^ f.l1)")
+    likely = (far <= LIKELY_BITS) & (F.least("n", "f.n") >= NEAR_SIMILARITY * F.greatest("n", "f.n"))
+    pairs = led.groupBy("node", F.col("f.leader").alias("leader")).agg(F.min("f.alone").alias("alone"), F.min(far).alias("far"), F.bool_or(likely).alias("likely"))
+    return pairs.groupBy("node").agg(F.collect_list(F.struct("leader", "alone", "far", "likely")).alias("of"))
 
 
-def leader_pairs(leaders: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """(a, b): of the leaders of its large variant groups, for each member b the likely one with the most company and the nearest one.
+def leader_classes(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """A row per ``leader`` and class ``c`` that its members were in when ``met`` was written, with the class ``now`` and whether one of them is ``likely``.
 
-    Leaders that b is connected to are left out, so there are two pairs per member at most.
+    Classes only ever join, so members that were in one stay together.
     """
-    rows = in_classes(in_classes(leaders.where("likely"), classes), classes, "leader", "d").where("c <> d")
-    best = rows.groupBy(F.col("node").alias("b")).agg(F.min(F.struct("alone", "leader"))["leader"].alias("x"), F.min(F.struct("far", "leader"))["leader"].alias("y"))
-    return best.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("a"), "b")
+    return in_classes(met.groupBy("leader", "c").agg(F.bool_or("likely").alias("likely")), classes, "c", "now")
+
+
+def leaders_apart(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """The nodes with a likely leader that they are not connected to, and ``of``, those leaders."""
+    known = in_classes(leader_classes(met, classes).where("likely"), classes, "leader", "d")
+    apart = met.where("likely").join(known.where("now <> d").select("leader", "c"), ["leader", "c"], "left_semi")
+    return apart.groupBy("node").agg(F.collect_list(F.struct("leader", "alone", "far", "likely")).alias("of"))
+
+
+def leader_pairs(leaders: DataFrame) -> DataFrame:
+    """(a, b): of the leaders given for each node b the likely one with the most company and the nearest one, so two pairs per node at most."""
+    def least(by: str) -> Column:
+        return F.array_min(F.transform(F.filter("of", lambda x: x["likely"]), lambda x: F.struct(x[by], x["leader"].alias("leader"))))["leader"]
+
+    best = leaders.select(F.col("node").alias("b"), F.array_compact(F.array_distinct(F.array(least("alone"), least("far")))).alias("x"))
+    return best.select(F.explode("x").alias("a"), "b")
 
 
 def small_group_pairs(shared: DataFrame, classes: DataFrame) -> DataFrame:
@@ -347,7 +357,7 @@ def rarest_shingles(sets: DataFrame) -> DataFrame:
     return sets.mapInPandas(run, f"node {kind}, m int, rare array<long>")
 
 
-def crowded_pairs(crowded: DataFrame, leaders: DataFrame, nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+def crowded_pairs(crowded: DataFrame, met: DataFrame, nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """(a, b): all pairs out of large variant groups that may be similar and are not connected yet; repeats included.
 
     Similar sets share a shingle among their rarest (prefix filter), which loses no pair, however large the groups are. Groups whose members are
@@ -358,9 +368,9 @@ def crowded_pairs(crowded: DataFrame, leaders: DataFrame, nodes: DataFrame, clas
     # One node speaks for each component, so that texts left alone meet the one their family was copied from.
     hubs = placed.groupBy("c").agg(F.max(F.struct("company", "node"))["node"].alias("node")).select("node")
     # A row per leader, not per pair, meets the leader's class.
-    led = in_classes(leaders, classes).groupBy("leader").agg(F.min("c").alias("least"), F.max("c").alias("most"))
+    led = leader_classes(met, classes).groupBy("leader").agg(F.min("now").alias("least"), F.max("now").alias("most"))
     open_ = stage(in_classes(led, classes, "leader", "d").where("least <> d OR most <> d").select("leader"), "open-leaders")
-    left = leaders.join(open_, "leader", "left_semi").select("node").unionByName(open_.select(F.col("leader").alias("node"))).unionByName(hubs).distinct()
+    left = met.join(open_, "leader", "left_semi").select("node").unionByName(open_.select(F.col("leader").alias("node"))).unionByName(hubs).distinct()
     known = in_classes(nodes.select("node", "fps").join(left, "node", "left_semi"), classes)
     members = stage(known, "crowded-nodes")
     sets = stage(shingle_sets(texts_of(docs, members.select("node"), key, text), key, text).dropDuplicates(["node"]), "crowded-sets")
@@ -395,15 +405,18 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     nodes = stage(own.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "fps", "n", "bits"), "near-nodes")
     shared = stage(shared_variants(nodes, shape[0]), "near-variants")
     crowded = shared.where(F.col("size") > NEAR_GROUP)
-    leaders = stage(group_leaders(crowded, nodes), "near-leaders")
-    edges, classes = None, None
+    leaders = stage(group_leaders(crowded), "near-leaders")
+    edges, met, apart = None, None, leaders
     for _ in range(LEADER_ROUNDS):
-        found = stage(similar_pairs(leader_pairs(leaders, classes), nodes, docs, key, text), "near-edges")
+        found = stage(similar_pairs(leader_pairs(apart), nodes, docs, key, text), "near-edges")
         edges = found if edges is None else edges.unionByName(found)
         classes = stage(components(edges), "near-classes")
+        # A node meets its class once, whatever the number of its leaders; from then on classes meet classes.
+        met = met or stage(in_classes(leaders, classes).select("node", "c", F.inline("of")), "near-met")
+        apart = leaders_apart(met, classes)
     edges = stage(edges.unionByName(similar_pairs(small_group_pairs(shared, classes), nodes, docs, key, text)), "near-edges")
     classes = stage(components(edges), "near-classes")
-    rest = crowded_pairs(crowded, leaders, nodes, classes, docs, key, text).distinct()
+    rest = crowded_pairs(crowded, met, nodes, classes, docs, key, text).distinct()
     linked = stage(components(edges.unionByName(similar_pairs(rest, nodes, docs, key, text))), "near-classes")
     named = reps.join(linked, reps["rep"] == linked["node"], "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     return rows.join(named, "digest").select("doc_id", "crc", "component_id")
