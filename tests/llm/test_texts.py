@@ -145,6 +145,20 @@ def test_one_of_each_group_stays(rows, docs):
     assert simhash.without_near_copies(docs.limit(0)).count() == 0
 
 
+def test_texts_that_share_a_key_are_compared_each(spark):
+    """A copy of any text of a repeated key goes, and no text goes for a copy of another text of its key."""
+    rng = random.Random(21)
+    rows, want = [], Counter()
+    for i in range(12):
+        texts = [prose(rng, 80, 10**6) for _ in range(3)]
+        # Key 100 + i has three texts: copies of the third have smaller and larger keys, one of the first the same key.
+        for key, j, edited in [(100 + i, 0, ""), (100 + i, 1, ""), (100 + i, 2, ""), (i, 2, "x"), (100 + i, 0, "x"), *((200 + 10 * i + j, j, "y") for j in range(3))]:
+            rows.append((key, " ".join([*texts[j], edited])))
+        want.update([(100 + i, texts[0][40]), (100 + i, texts[1][40]), (i, texts[2][40])])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert Counter((r["doc_id"], r["text"].split()[40]) for r in simhash.without_near_copies(docs).collect()) == want
+
+
 def test_few_texts_are_shuffled_for_a_join_with_few_keys(spark, monkeypatch):
     rows = [(i if i % 50 else None, i % 3, f"text {i}") for i in range(20_000)]
     df = spark.createDataFrame(rows, "doc_id long, __place long, text string").repartition(4)

@@ -173,7 +173,7 @@ def segment_shape(rows: int) -> tuple[int, int, int]:
 
 
 def near_signatures(docs: DataFrame, key: str, text: str, shape: tuple[int, int, int]) -> DataFrame:
-    """Per document ``fps`` (lanes of 64 bits) over its ``n`` distinct shingles, ``digest`` of its words, and the ``bits`` of each segment of the fingerprint."""
+    """Per document ``fps`` (lanes of 64 bits) over its ``n`` distinct shingles, ``hash`` of its text, ``digest`` of its words, and the ``bits`` of each segment of the fingerprint."""
     short_batches(docs.sparkSession)
 
     def run(batches):
@@ -194,12 +194,12 @@ def near_signatures(docs: DataFrame, key: str, text: str, shape: tuple[int, int,
                 out.append((np.packbits(bits[:64 * NEAR_LANES], bitorder="little").view(np.int64), len(h), xxh3_128_hexdigest(words), value))
             part = pd.DataFrame(out, columns=["fps", "n", "digest", "bits"])
             part.insert(0, "doc_id", pdf["doc_id"].to_numpy())
-            part.insert(1, "crc", pdf["crc"].to_numpy())
+            part.insert(1, "hash", pdf["hash"].to_numpy())
             yield part
 
     kind = dict(docs.dtypes)[key]
-    slim = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.coalesce(F.crc32(F.col(text)), F.lit(-1)).alias("crc"), F.col(text).alias("text"))
-    return slim.mapInPandas(run, f"doc_id {kind}, crc long, fps array<long>, n int, digest string, bits array<int>")
+    slim = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
+    return slim.mapInPandas(run, f"doc_id {kind}, hash long, fps array<long>, n int, digest string, bits array<int>")
 
 
 def shingle_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -217,9 +217,11 @@ def shingle_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
-    """Key and text of the documents whose key is in the only column of ``nodes``; few other texts are shuffled."""
-    some, _ = split_by_keys(docs.select(key, text), [key], nodes)
-    return some.join(nodes, some[key] == nodes[nodes.columns[0]], "left_semi")
+    """``node`` and its ``text`` for ``nodes`` given with the key ``rep`` and the ``hash`` of a row that holds it; few other texts are shuffled."""
+    known = nodes.select("node", F.col("rep").alias("r"), F.col("hash").alias("h"))
+    slim = docs.select(F.col(key).alias("rep"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
+    some, _ = split_by_keys(slim, ["rep", "hash"], known.select("r", "h"))
+    return some.join(known, (F.col("rep") == F.col("r")) & (F.col("hash") == F.col("h"))).select("node", "text")
 
 
 def differing_bits(a: str, b: str) -> Column:
@@ -236,8 +238,9 @@ def similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str,
     compared = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("na", "nb") >= NEAR_SIMILARITY * F.greatest("na", "nb")).withColumn("bits", far)
     near = stage(compared.where(few | (F.col("bits") <= FAR_BITS)).select("a", "b", (~few & (F.col("bits") <= SURE_BITS)).alias("sure")), "near-pairs")
     open_ = near.where("NOT sure").select("a", "b")
-    wanted = stage(open_.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "open-nodes")
-    sets = stage(shingle_sets(texts_of(docs, wanted, key, text), key, text).dropDuplicates(["node"]), "shingle-sets")
+    wanted = open_.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    known = stage(nodes.select("node", "rep", "hash").join(wanted, "node", "left_semi"), "open-nodes")
+    sets = stage(shingle_sets(texts_of(docs, known, key, text), "node", "text").dropDuplicates(["node"]), "shingle-sets")
     both = open_.join(sets.select(F.col("node").alias("a"), F.col("sh").alias("sa")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("sh").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
@@ -371,9 +374,9 @@ def crowded_pairs(crowded: DataFrame, met: DataFrame, nodes: DataFrame, classes:
     led = leader_classes(met, classes).groupBy("leader").agg(F.min("now").alias("least"), F.max("now").alias("most"))
     open_ = stage(in_classes(led, classes, "leader", "d").where("least <> d OR most <> d").select("leader"), "open-leaders")
     left = met.join(open_, "leader", "left_semi").select("node").unionByName(open_.select(F.col("leader").alias("node"))).unionByName(hubs).distinct()
-    known = in_classes(nodes.select("node", "fps").join(left, "node", "left_semi"), classes)
+    known = in_classes(nodes.select("node", "rep", "hash", "fps").join(left, "node", "left_semi"), classes)
     members = stage(known, "crowded-nodes")
-    sets = stage(shingle_sets(texts_of(docs, members.select("node"), key, text), key, text).dropDuplicates(["node"]), "crowded-sets")
+    sets = stage(shingle_sets(texts_of(docs, members, key, text), "node", "text").dropDuplicates(["node"]), "crowded-sets")
     rare = stage(rarest_shingles(sets).join(members, "node"), "rarest").select("node", "m", "fps", "c", F.posexplode("rare").alias("place", "shingle"))
     sizes = rare.groupBy("shingle", "c").agg(F.count("*").alias("s"))
     most = sizes.groupBy("shingle").agg(F.max(F.struct("s", "c")).alias("x"), F.sum("s").alias("all")).where(F.col("all") > F.col("x.s")).select("shingle", F.col("x.c").alias("main"))
@@ -388,7 +391,7 @@ def crowded_pairs(crowded: DataFrame, met: DataFrame, nodes: DataFrame, classes:
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document with a key: ``doc_id``, ``crc`` of its text and ``component_id``, the smallest key of its group.
+    """One row per document with a key: ``doc_id``, ``hash`` of its text, ``component_id``, the smallest key of its group, and ``component_hash``, the least hash of the group's texts with that key.
 
     A group: documents whose sets of five-word shingles are at least 0.8 similar (Jaccard), chains included. Texts with equal words,
     letter case aside, are one node; texts without words are copies of each other. Of 768 bits the fingerprints of such
@@ -396,13 +399,15 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     one bit, whichever, with a probability of about 0.99 at similarity 0.8. More documents have longer and more segments. A member of a large variant
     group is compared with the group's leader, in a few rounds with two of them at most; then small groups are compared whole, and in groups above
     ``NEAR_GROUP`` all members that are not connected yet are found by their rarest shingles.
-    Rows that share a key share a class. Null keys have no row; an empty table gives none; other columns are not read.
+    Texts that share a key are compared like any others, each in its own group. Null keys have no row; an empty table gives none; other columns are not read.
     """
     shape = segment_shape(docs.count())
     rows = stage(near_signatures(docs, key, text, shape), "near-signatures")
-    reps = rows.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    own = rows.join(reps.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("rep")))
-    nodes = stage(own.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "fps", "n", "bits"), "near-nodes")
+    # A node is a text, by number: keys may be shared by texts.
+    least = rows.groupBy(F.col("digest").alias("d")).agg(F.min("doc_id").alias("rep"))
+    own = rows.join(least, (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("rep"))).groupBy("d", "rep").agg(
+        F.min("hash").alias("hash"), *[F.first(c).alias(c) for c in ("fps", "n", "bits")])
+    nodes = stage(own.withColumnRenamed("d", "digest").withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     shared = stage(shared_variants(nodes, shape[0]), "near-variants")
     crowded = shared.where(F.col("size") > NEAR_GROUP)
     leaders = stage(group_leaders(crowded), "near-leaders")
@@ -418,21 +423,24 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     classes = stage(components(edges), "near-classes")
     rest = crowded_pairs(crowded, met, nodes, classes, docs, key, text).distinct()
     linked = stage(components(edges.unionByName(similar_pairs(rest, nodes, docs, key, text))), "near-classes")
-    named = reps.join(linked, reps["rep"] == linked["node"], "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
-    return rows.join(named, "digest").select("doc_id", "crc", "component_id")
+    placed = nodes.select("digest", "node", "rep", "hash").join(linked, "node", "left").select("digest", "rep", "hash", F.coalesce("component", "node").alias("c"))
+    first = placed.groupBy("c").agg(F.min(F.struct(F.col("rep").alias("component_id"), F.col("hash").alias("component_hash"))).alias("x")).select("c", "x.*")
+    named = placed.select("digest", "c").join(first, "c").drop("c")
+    return rows.join(named, "digest").select("doc_id", "hash", "component_id", "component_hash")
 
 
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each group, that with the smallest key; rows with a null key stay.
 
-    Of rows that agree in key and text one stays.
+    Of rows that agree in key and text one stays, and of a group's texts that share its smallest key that with the least hash.
     """
     classes = stage(near_copies(docs, key, text), "near-decisions")
-    goes = stage(classes.where("doc_id <> component_id").select(F.col("doc_id").alias("__id"), F.col("crc").alias("__c")).distinct(), "near-copies")
-    crc = free_name(docs, "__crc")
-    some, others = split_by_keys(docs.withColumn(crc, F.coalesce(F.crc32(F.col(text)), F.lit(-1))), [key, crc], goes)
-    kept = others.unionByName(some.join(goes, (some[key] == goes["__id"]) & (some[crc] == goes["__c"]), "left_anti")).drop(crc)
-    repeated = stage(classes.groupBy("doc_id", "crc").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__id")).distinct(), "repeated-keys")
+    other = (F.col("doc_id") != F.col("component_id")) | (F.col("hash") != F.col("component_hash"))
+    goes = stage(classes.where(other).select(F.col("doc_id").alias("__id"), F.col("hash").alias("__h")).distinct(), "near-copies")
+    mark = free_name(docs, "__hash")
+    some, others = split_by_keys(docs.withColumn(mark, F.xxhash64(text)), [key, mark], goes)
+    kept = others.unionByName(some.join(goes, (some[key] == goes["__id"]) & (some[mark] == goes["__h"]), "left_anti")).drop(mark)
+    repeated = stage(classes.groupBy("doc_id", "hash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__id")).distinct(), "repeated-keys")
     if not repeated.head(1):
         return kept
     once = kept.join(repeated, kept[key] == repeated["__id"], "left_semi").dropDuplicates([key, text])
