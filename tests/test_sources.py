@@ -204,3 +204,79 @@ def test_the_newest_document_of_a_trial_counts_once(spark):
     assert listings.newer_register(pages, "body", details, "doc").count() == 2
     rows = {r["eudract_nr"]: r for r in listings.newer_register(pages, "body", details, "doc", fetched="at", undeclared=True).collect()}
     assert rows["1"]["listing.note"] == "n" and rows["1"]["detail.seen"] == "new" and rows["2"]["listing.extra.e"] == "1" and len(rows) == 2
+
+
+def parse_here(monkeypatch, make, pages):
+    """What the worker makes of pages, without a session."""
+    import pyarrow as pa
+
+    made = []
+    with monkeypatch.context() as patch:
+        patch.setattr(html.F, "arrow_udf", lambda kind: lambda f: made.append(f) or (lambda c: None))
+        make()
+    return [x for part in made[0](iter([pa.array(pages, pa.string())])) for x in part.to_pylist()]
+
+
+def nested_page(rng, depth=0):
+    texts = ["a", " b\n", "\xa0", " \xa0 ", "é", "&amp;", "&nbsp;", "1 > 0", "日本", "", " ", "\x1c"]
+    out = []
+    for _ in range(rng.randrange(1, 4)):
+        kind = rng.random()
+        if kind < 0.5 and depth < 4:
+            rows = []
+            for _ in range(rng.randrange(4)):
+                cells = [rng.choice(["td", "TD", "th"]) for _ in range(rng.randrange(4))]
+                rows.append("<tr>" + "".join(f"<{c} class='x y'>{nested_page(rng, depth + 1)}</{c}>{rng.choice(texts)}" for c in cells) + "</tr>")
+            out.append(f"<table><tbody>{''.join(rows)}</tbody></table>")
+        else:
+            out.append(rng.choice([*texts, *texts, "<b>x</b>", "<br>", "<hr/>", "<!-- c -->", "<title>t</title>", "<script>s</script>", "<div/>", "</br>"]))
+    return "".join(out)
+
+
+def test_closed_pages_are_parsed_together_with_the_same_rows(monkeypatch):
+    """Only pages whose elements are not closed in their order pass a parser one by one."""
+    import random
+
+    rng = random.Random(4)
+    closed = [DETAIL_PAGE, PROGRAMMES, None, "", "no table", *(nested_page(rng) for _ in range(300))]
+    broken = [p[:i] + p[i + 3:] for p in closed if p and len(p) > 40 for i in [rng.randrange(len(p) - 3)]] + ODD_PAGES[5:]
+    single, parser = [], html.HTMLParser
+
+    class Counted(parser):
+        def __init__(self, **options):
+            single.append(1)
+            super().__init__(**options)
+
+    monkeypatch.setattr(html, "HTMLParser", Counted)
+
+    def rows(pages):
+        return parse_here(monkeypatch, lambda: html.table_rows(None), pages)
+
+    together = rows(closed)
+    assert not single
+    mixed = [p for pair in zip(closed, broken) for p in pair]
+    found = rows(mixed)
+    assert 0 < len(single) < len(mixed)
+    # A pattern that fits nothing sends every page to the standard parser.
+    monkeypatch.setattr(html, "_TAG", __import__("re").compile("(?!)()()()()"))
+    assert together == rows(closed) and found == rows(mixed)
+
+
+def test_texts_of_rows_by_code_and_label(monkeypatch):
+    def page(*rows):
+        return "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in row) + "</tr>" for row in rows) + "</table>"
+
+    inner = "<table><tr><td>n1</td></tr><tr><td> n2 </td></tr></table>"
+    pages = [
+        page(("A.\n 1", "L", "x<b>y</b>"), ("A. 1", "L", "z" + inner)), page(("A. 1", "L", ""), ("A. 1 ", "M", "late")),
+        page(("A. 1", "L", "first"), ("A. 1", "L")), page(("p A. 1", "\xa0K\x1c", " v "), ("A. 1",)), None, "<td>A. 1", page()]
+    got = parse_here(monkeypatch, lambda: html.row_texts(
+        None, {"one": ("code", "A. 1", "all"), "own": ("label", "L", "own"), "has": ("contains", "A.", "all")}, {"every": ("code", "A. 1", "nested"), "labels": ("label", "L", "all")},
+        {"pairs": "A. 1"}), pages)
+    assert [r["one"] for r in got] == ["x", "late", None, None, None, None, None]
+    assert [r["own"] for r in got] == ["x", None, None, None, None, None, None]
+    assert [r["has"] for r in got] == ["x", "late", None, None, None, None, None]
+    assert [r["every"] for r in got] == [["n1", " n2 "], [], None, None, [], [], []]
+    assert [r["labels"] for r in got] == [["x", "y", "z", "n1", " n2 "], [], None, [], [], [], []]
+    assert [[tuple(p.values()) for p in r["pairs"]] for r in got] == [
+        [("L", "z")], [("L", ""), ("M", "late")], [("L", "first"), ("L", None)], [("K", "v"), (None, None)], [], [], []]
